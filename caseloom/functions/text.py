@@ -37,9 +37,21 @@ def search(c: Column, pattern: str, ignore_case: bool = True) -> Column:
     return c.rlike(f"(?{'i' if ignore_case else ''}{_FLAGS}){pattern}")
 
 
+def any_of(patterns: Sequence[str]) -> str:
+    """One pattern for all; a word boundary they share is tested once per position."""
+    def alternatives(p: str) -> bool:
+        while (flat := re.sub(r"\([^()]*\)", "", p)) != p:
+            p = flat
+        return "|" in p
+
+    if len(patterns) > 1 and all(p.startswith(r"\b") and not alternatives(p) for p in patterns):
+        return r"\b(?:" + "|".join(p[2:] for p in patterns) + ")"
+    return "|".join(patterns)
+
+
 def matches_any(c: Column, patterns: Sequence[str], ignore_case: bool = True) -> Column:
     """True where any pattern is found; null text counts as no match."""
-    return F.coalesce(search(c, "|".join(patterns), ignore_case), F.lit(False))
+    return F.coalesce(search(c, any_of(patterns), ignore_case), F.lit(False))
 
 
 def mentions_brand(c: Column, brand: str) -> Column:

@@ -23,7 +23,7 @@ def _share(hits: Column, total: Column) -> Column:
     return F.coalesce(F.try_divide(hits.cast("double"), total.cast("double")), F.lit(0.0))
 
 
-def _hit_rate(condition: Column) -> Column:
+def hit_rate(condition: Column) -> Column:
     """Share of all rows where the condition holds; null does not."""
     return F.try_divide(F.count_if(condition).cast("double"), F.count("*").cast("double"))
 
@@ -67,7 +67,7 @@ def share_true(df: DataFrame, col: str) -> DataFrame:
 
 
 def accuracy(df: DataFrame, truth: str, pred: str) -> DataFrame:
-    return df.agg(_hit_rate(F.col(truth) == F.col(pred)).alias("accuracy"))
+    return df.agg(hit_rate(F.col(truth) == F.col(pred)).alias("accuracy"))
 
 
 def _label_pairs(df: DataFrame, truth: str, pred: str) -> DataFrame:
@@ -140,8 +140,8 @@ def system_comparison(systems: Mapping[str, DataFrame], intent: tuple[str, str]
     rows = None
     for name, df in systems.items():
         row = df.agg(F.lit(name).alias("system"),
-                     _hit_rate(F.col(intent[0]) == F.col(intent[1])).alias("intent_accuracy"),
-                     _hit_rate(F.col(routing[0]) == F.col(routing[1])).alias("routing_accuracy"))
+                     hit_rate(F.col(intent[0]) == F.col(intent[1])).alias("intent_accuracy"),
+                     hit_rate(F.col(routing[0]) == F.col(routing[1])).alias("routing_accuracy"))
         rows = row if rows is None else rows.unionByName(row)
     return rows
 
@@ -174,11 +174,11 @@ def join_human_judge(human: DataFrame, judge: DataFrame, key: str = "customer_tw
 
 
 def exact_match_rate(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.agg(_hit_rate(F.col(a) == F.col(b)).alias("exact_match"))
+    return df.agg(hit_rate(F.col(a) == F.col(b)).alias("exact_match"))
 
 
 def within_one_rate(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.agg(_hit_rate(F.abs(F.col(a) - F.col(b)) <= 1).alias("within_one"))
+    return df.agg(hit_rate(F.abs(F.col(a) - F.col(b)) <= 1).alias("within_one"))
 
 
 def score_spread(df: DataFrame, *cols: str) -> DataFrame:
@@ -245,11 +245,11 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
         df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
         .groupBy(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
         .agg(F.count("*").alias("n")), "score-pairs")
-    n = pairs.agg(F.sum("n")).scalar()
+    n, distinct_pairs = pairs.agg(F.sum("n")).scalar(), pairs.count()
 
     def centred_ranks(side: str) -> DataFrame:
         values = pairs.groupBy(side).agg(F.sum("n").alias("ties"))
-        below = running_total(values, side, "ties", "below")
+        below = running_total(values, side, "ties", "below", rows=distinct_pairs)
         # mid-rank minus the mean rank (n + 1) / 2
         return below.select(side, (F.col("below") + (F.col("ties") - n) / 2.0).alias(f"r{side}"))
 

@@ -14,11 +14,8 @@ from pyspark.sql import functions as F
 _RANGE, _KEY = "_range", "_range_key"
 
 
-def add_ranges(df: DataFrame, key: str, rows_per_range: int) -> DataFrame:
+def _cut(df: DataFrame, key: str, ranges: int) -> DataFrame:
     """Column _range, increasing with the numeric key."""
-    ranges = -(-df.count() // rows_per_range)
-    if ranges <= 1:
-        return df.withColumn(_RANGE, F.lit(0.0))
     numeric = df.withColumn(_KEY, F.col(key).cast("double"))
     probabilities = [i / ranges for i in range(1, ranges)]
     cuts = sorted(set(numeric.approxQuantile(_KEY, probabilities, 0.1 / ranges)))
@@ -26,10 +23,17 @@ def add_ranges(df: DataFrame, key: str, rows_per_range: int) -> DataFrame:
     return cut.setHandleInvalid("keep").transform(numeric).drop(_KEY)
 
 
-def running_total(df: DataFrame, key: str, amount: str, out: str,
+def running_total(df: DataFrame, key: str, amount: str, out: str, rows: int | None = None,
                   rows_per_range: int = 1_000_000) -> DataFrame:
-    """out = sum of amount over all rows with a smaller key.  Keys must be unique."""
-    ranged = add_ranges(df, key, rows_per_range)
+    """out = sum of amount over all rows with a smaller key.
+
+    Keys must be unique.  rows is the row count, or a bound of it, if known.
+    """
+    ranges = -(-(df.count() if rows is None else rows) // rows_per_range)
+    if ranges <= 1:  # counted: at most rows_per_range rows meet in the one task
+        below = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.coalesce(F.sum(amount).over(below), F.lit(0)))
+    ranged = _cut(df, key, ranges)
     inside = Window.partitionBy(_RANGE).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     # One row per range: this window is as small as the number of ranges.
     before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
@@ -44,5 +48,5 @@ def running_total(df: DataFrame, key: str, amount: str, out: str,
 def global_row_number(df: DataFrame, key: str, out: str, rows_per_range: int = 1_000_000) -> DataFrame:
     """1-based position of every row in the order of a unique numeric key."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return (running_total(one, key, "_one", out, rows_per_range)
+    return (running_total(one, key, "_one", out, rows_per_range=rows_per_range)
             .withColumn(out, F.col(out) + 1).drop("_one"))

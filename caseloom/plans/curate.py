@@ -15,9 +15,9 @@ AGREEMENT = {"intent": ("true_intent", "suggested_intent"),
 
 
 def golden_template(pairs: DataFrame, target: int = fv.GOLDEN_TARGET, seed: int = fv.SAMPLE_SEED,
-                    rules: Rules = fv.INTENT_RULES) -> DataFrame:
+                    rules: Rules = fv.INTENT_RULES, default: str = fv.CATCH_ALL) -> DataFrame:
     """Stratified sample with blank labels, in shuffled order."""
-    bucketed = pairs.withColumn("_stratify_bucket", bucket_intent(F.col("customer_text"), rules))
+    bucketed = pairs.withColumn("_stratify_bucket", bucket_intent(F.col("customer_text"), rules, default))
     sample = s.stratified_sample(bucketed, "_stratify_bucket", target, seed=seed)
     full = s.topup_sample(bucketed, sample, target, seed=seed)
     blank = c.add_blank_labels(s.shuffle_rows(full, seed=seed))

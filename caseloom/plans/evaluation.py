@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,12 +30,10 @@ def judge_agreement(human: DataFrame, judge: DataFrame,
                     dimensions: Sequence[str] = fv.JUDGE_DIMENSIONS) -> DataFrame:
     """A row per dimension: rho, p, n, exact_match, within_one."""
     merged = e.join_human_judge(human, judge)
-    rows = None
-    for d in dimensions:
-        a, b = f"human_{d}", f"judge_{d}"
-        one = merged.select(F.col(a), F.col(b))
-        row = (e.spearman(one, a, b).withColumn("dimension", F.lit(d))
-               .join(e.exact_match_rate(one, a, b).withColumn("dimension", F.lit(d)), "dimension")
-               .join(e.within_one_rate(one, a, b).withColumn("dimension", F.lit(d)), "dimension"))
-        rows = row if rows is None else rows.unionByName(row)
-    return rows
+    columns = [(d, F.col(f"human_{d}"), F.col(f"judge_{d}")) for d in dimensions]
+    rates = merged.agg(F.array(*[F.struct(
+        F.lit(d).alias("dimension"), e.hit_rate(h == j).alias("exact_match"),
+        e.hit_rate(F.abs(h - j) <= 1).alias("within_one")) for d, h, j in columns]).alias("rates"))
+    correlations = reduce(DataFrame.unionByName, [
+        e.spearman(merged, f"human_{d}", f"judge_{d}").withColumn("dimension", F.lit(d)) for d in dimensions])
+    return correlations.join(rates.select(F.inline("rates")), "dimension")
