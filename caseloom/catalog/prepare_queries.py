@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from caseloom.catalog import inputs as t
 from caseloom.catalog.registry import query
-from caseloom.functions import text as x
 from caseloom.operators import pairs as p
 from caseloom.operators import sampling as s
 from caseloom.operators.retrieval import embed_text
@@ -109,15 +108,13 @@ def pair_posts_with_replies(spark, sf):
     return _paired(spark, sf).select("customer_tweet_id", "apple_tweet_id")
 
 
-# A document answered by every document that repeats its wording: one post, many replies.
-@query("pair_first_reply_only", f"""SELECT q.post AS customer_tweet_id, min(q.reply) AS apple_tweet_id FROM
- (SELECT min(customer_tweet_id) OVER (PARTITION BY {DEDUP_KEY}) AS post, customer_tweet_id AS reply FROM pairs) q
- GROUP BY q.post""", ("pairs",))
+# Ten documents answer the first of their ten; later documents count as earlier replies.
+@query("pair_first_reply_only", """SELECT doc_id // 10 * 10 AS customer_tweet_id, min(-doc_id) AS apple_tweet_id FROM documents
+ GROUP BY doc_id // 10 * 10""")
 def pair_first_reply_only(spark, sf):
-    docs = t.table(spark, sf, "documents").withColumn("wording", F.sha2(x.reply_dedup_key(F.col("text")), 256))
-    first = docs.groupBy("wording").agg(F.min("doc_id").alias("in_response_to_tweet_id"))
-    replies = docs.join(first, "wording").select(
-        F.col("doc_id").alias("tweet_id"), "text", "in_response_to_tweet_id")
+    docs = t.table(spark, sf, "documents")
+    answered = (F.floor(F.col("doc_id") / 10) * 10).alias("in_response_to_tweet_id")
+    replies = docs.select((-F.col("doc_id")).alias("tweet_id"), "text", answered)
     posts = docs.select(F.col("doc_id").alias("tweet_id"), "text", F.col("source").alias("author_id"))
     return p.pair_posts_with_replies(posts, replies, first_only=True).select("customer_tweet_id", "apple_tweet_id")
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from caseloom.catalog import inputs as t
 from caseloom.catalog.registry import query
+from caseloom.functions.parsing import let
 from caseloom.operators import retrieval as r
 from caseloom.operators import scoring as sc
 from caseloom.plans.triage import run_triage
@@ -179,14 +180,16 @@ def pack_batches(spark, sf):
 
 def _label_scorer():
     """Ten items per prompt; one label in sixteen is not in the vocabulary."""
-    def label(digit):
-        return F.when(digit == 15, "bogus").when(digit < 5, "abusive").when(digit < 9, "markup").otherwise("plain")
+    def items(digest):
+        def item(i):
+            digit = F.instr(F.lit("0123456789abcdef"), F.substring(digest, i, 1)) - 1
+            label = F.when(digit == 15, "bogus").when(digit < 5, "abusive").when(digit < 9, "markup").otherwise("plain")
+            return F.concat(F.lit('{"id": '), i.cast("string"), F.lit(', "intent": "'), label, F.lit('"}'))
 
-    def answer(_, prompt):
-        items = [F.concat(F.lit(f'{{"id": {i}, "intent": "'), label(_hex(prompt, i)), F.lit('"}')) for i in range(1, 11)]
-        return F.concat(F.lit("```json\n["), F.concat_ws(", ", *items), F.lit("]\n```"))
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.lit(10)), item), ", ")
 
-    return sc.column_scorer(answer)
+    return sc.column_scorer(lambda _, prompt: F.concat(
+        F.lit("```json\n["), let(F.md5(prompt), items), F.lit("]\n```")))
 
 
 def _sql_classified(rows: str) -> str:

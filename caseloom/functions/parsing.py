@@ -6,7 +6,8 @@ invalid instead of silently null.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,10 +18,18 @@ from caseloom.functions.text import strip_code_fence
 _JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
-def _read(body: Column, schema: str, brackets: str) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _read(c: Column, schema: str, brackets: str) -> Column:
     """from_json, only for text that opens and closes as the schema demands."""
-    whole = body.startswith(brackets[0]) & body.endswith(brackets[1])
-    return F.when(whole, F.from_json(body, schema, _JSON))
+    def parse(text: Column) -> Column:
+        whole = text.startswith(brackets[0]) & text.endswith(brackets[1])
+        return F.when(whole, F.from_json(text, schema, _JSON))
+
+    return let(strip_code_fence(c), parse)
 
 
 def _integer(c: Column) -> Column:
@@ -41,50 +50,59 @@ def parse_label_array(c: Column, labels: Sequence[str], n: Column, fallback: str
     skip    only that item is ignored
     reject  the whole batch falls back
     """
-    raw = _read(strip_code_fence(c), "array<struct<id:string,intent:string>>", "[]")
-    items = F.transform(raw, lambda x: F.struct(
-        _integer(x["id"]).alias("id"),
-        F.when(x["intent"].isin(list(labels)), x["intent"]).alias("intent")))
-    good = F.transform(items, lambda x: x["id"].isNotNull() & x["intent"].isNotNull())
-    first_bad = F.array_position(good, False)
-    if on_bad_item == "stop":
-        usable = F.when(first_bad > 0, F.slice(items, F.lit(1), (first_bad - 1).cast("int"))).otherwise(items)
-    elif on_bad_item == "reject":
-        usable = F.when(first_bad == 0, items)
-    elif on_bad_item == "skip":
-        usable = items
-    else:
+    if on_bad_item not in ("stop", "skip", "reject"):
         raise ValueError(f"on_bad_item must be stop, skip or reject, not {on_bad_item!r}")
 
-    def label_at(position: Column) -> Column:
-        named = F.filter(usable, lambda x: (x["id"] == position) & x["intent"].isNotNull())
-        return F.coalesce(F.try_element_at(named, F.lit(-1))["intent"], F.lit(fallback))
+    def check(x: Column) -> Column:
+        known = F.when(x["intent"].isin(list(labels)), x["intent"])
+        return F.struct(_integer(x["id"]).alias("id"), known.alias("intent"))
+
+    def good(x: Column) -> Column:
+        return x["id"].isNotNull() & x["intent"].isNotNull()
+
+    def usable(items: Column) -> Column:
+        if on_bad_item == "skip":
+            return F.filter(items, good)
+        first_bad = F.array_position(F.transform(items, good), False).cast("int")
+        kept = F.slice(items, F.lit(1), first_bad - 1) if on_bad_item == "stop" else F.slice(items, 1, 0)
+        return F.when(first_bad > 0, kept).otherwise(items)
 
-    return F.transform(F.sequence(F.lit(1), n.cast("int")), label_at)
+    def assign(items: Column) -> Column:
+        def label_at(position: Column) -> Column:
+            named = F.filter(items, lambda x: x["id"] == position)
+            return F.coalesce(F.try_element_at(named, F.lit(-1))["intent"], F.lit(fallback))
+
+        return F.transform(F.sequence(F.lit(1), n.cast("int")), label_at)
+
+    raw = _read(c, "array<struct<id:string,intent:string>>", "[]")
+    return let(let(F.transform(raw, check), usable), assign)
 
 
 def parse_suggestion(c: Column, intents: Sequence[str] = fv.INTENTS,
                      routings: Sequence[str] = fv.ROUTINGS) -> Column:
     """struct of the four suggestion columns, with the failure row for bad input."""
-    s = _read(strip_code_fence(c),
-              "intent string, routing string, escalation_reason string, confidence_note string", "{}")
-    valid = F.coalesce(s["intent"].isin(list(intents)) & s["routing"].isin(list(routings)), F.lit(False))
+    def row(s: Column) -> Column:
+        valid = F.coalesce(s["intent"].isin(list(intents)) & s["routing"].isin(list(routings)), F.lit(False))
+
+        def pick(field: str, failed: str) -> Column:
+            return F.when(valid, F.coalesce(s[field], F.lit(""))).otherwise(failed)
 
-    def pick(field: str, failed: str) -> Column:
-        return F.when(valid, F.coalesce(s[field], F.lit(""))).otherwise(failed)
+        return F.struct(
+            pick("intent", "").alias("suggested_intent"),
+            pick("routing", "").alias("suggested_routing"),
+            pick("escalation_reason", "").alias("suggested_reason"),
+            pick("confidence_note", fv.FAILED_NOTE).alias("model_confidence_note"))
 
-    return F.struct(
-        pick("intent", "").alias("suggested_intent"),
-        pick("routing", "").alias("suggested_routing"),
-        pick("escalation_reason", "").alias("suggested_reason"),
-        pick("confidence_note", fv.FAILED_NOTE).alias("model_confidence_note"))
+    return let(_read(c, "intent string, routing string, escalation_reason string, confidence_note string", "{}"), row)
 
 
 def parse_judge_score(c: Column, dimensions: Sequence[str] = fv.JUDGE_DIMENSIONS) -> Column:
     """struct<judge_*: int>; all scores within 1..5 or all null."""
-    s = _read(strip_code_fence(c), ", ".join(f"{d} string" for d in dimensions), "{}")
-    scores = {d: _integer(s[d]) for d in dimensions}
-    valid = F.lit(True)
-    for score in scores.values():
-        valid = valid & score.between(1, 5)
-    return F.struct(*[F.when(valid, v).alias(f"judge_{d}") for d, v in scores.items()])
+    def scores(s: Column) -> Column:
+        return F.struct(*[_integer(s[d]).alias(d) for d in dimensions])
+
+    def row(s: Column) -> Column:
+        valid = reduce(lambda a, b: a & b, [s[d].between(1, 5) for d in dimensions])
+        return F.struct(*[F.when(valid, s[d]).alias(f"judge_{d}") for d in dimensions])
+
+    return let(let(_read(c, ", ".join(f"{d} string" for d in dimensions), "{}"), scores), row)

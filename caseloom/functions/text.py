@@ -80,13 +80,14 @@ def repair_mojibake(c: Column) -> Column:
     so emoji or CJK next to a damaged word do not block its repair.
     """
     def decode(run: Column) -> Column:
-        raw = F.encode(F.translate(run, _SPECIALS, _CONTROLS), "ISO-8859-1").cast("string")
-        byte_like = run.rlike(rf"\A[{_BYTE_LIKE}]+\z")
-        # The guard is a branch: encode() raises on characters it cannot map.
-        return F.when(byte_like, F.when(F.is_valid_utf8(raw), raw).otherwise(run)).otherwise(run)
+        """Encode only behind the test: it raises on characters it cannot map."""
+        one_byte = F.translate(run, _SPECIALS, _CONTROLS)
+        raw = F.encode(one_byte, "ISO-8859-1").cast("string")
+        return F.when(one_byte.rlike(r"\A[\x00-\xff]+\z"), F.coalesce(F.try_validate_utf8(raw), run))
 
     runs = F.regexp_extract_all(c, F.lit(rf"[{_BYTE_LIKE}]+|[^{_BYTE_LIKE}]+"), F.lit(0))
-    return F.when(c.rlike(_SUSPECT), F.array_join(F.transform(runs, decode), "")).otherwise(c)
+    by_run = F.array_join(F.transform(runs, lambda run: F.coalesce(decode(run), run)), "")
+    return F.when(~c.rlike(_SUSPECT), c).otherwise(F.coalesce(decode(c), by_run))
 
 
 def straighten_quotes(c: Column) -> Column:

@@ -43,7 +43,7 @@ def embed_text(df: DataFrame, col: str, dim: int = 256, fit_on: DataFrame | None
     corpus must share it for their distances to mean anything.
     """
     steps = Pipeline(stages=[
-        RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\W+"),
+        RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"(?U)\W+"),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dim),
         IDF(inputCol="_counts", outputCol="_weighted"),
         Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0)])
@@ -268,16 +268,26 @@ def attach_precedents(neighbours: DataFrame, corpus: DataFrame,
     return found.groupBy("query_id").agg(F.array_sort(F.collect_list("p")).alias("precedents"))
 
 
-def retrieve_precedent(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
-                       key: str = "customer_tweet_id", approximate: bool = False, **options) -> DataFrame:
-    """The query rows with their precedents; an empty array where none exist."""
+def find_precedents(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K, key: str = "customer_tweet_id",
+                    approximate: bool = False, **options) -> DataFrame:
+    """query_id, precedents for every query that has any."""
     search = knn_approx if approximate else knn_exact
-    found = attach_precedents(search(queries, corpus, k, query_key=key, corpus_key=key, **options), corpus, key)
+    found = search(queries.select(key, "embedding"), corpus, k, query_key=key, corpus_key=key, **options)
+    return attach_precedents(found, corpus, key)
+
+
+def join_precedents(queries: DataFrame, found: DataFrame, key: str = "customer_tweet_id") -> DataFrame:
+    """The query rows with their precedents; an empty array where none exist."""
     joined = queries.join(found.withColumnRenamed("query_id", key), key, "left")
     nothing = F.array().cast(found.schema["precedents"].dataType)
     return joined.withColumn("precedents", F.coalesce("precedents", nothing))
 
 
+def retrieve_precedent(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
+                       key: str = "customer_tweet_id", approximate: bool = False, **options) -> DataFrame:
+    return join_precedents(queries, find_precedents(queries, corpus, k, key, approximate, **options), key)
+
+
 def retrieval_probe(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
                     key: str = "customer_tweet_id") -> DataFrame:
     """A readable line per neighbour: rank, distance, flag, clipped texts."""

@@ -9,6 +9,7 @@ from caseloom import fixed_values as fv
 from caseloom.functions.rules import Rules, bucket_intent
 from caseloom.operators import curation as c
 from caseloom.operators import sampling as s
+from caseloom.session import materialize
 
 AGREEMENT = {"intent": ("true_intent", "suggested_intent"),
              "routing": ("true_routing", "suggested_routing")}
@@ -17,10 +18,12 @@ AGREEMENT = {"intent": ("true_intent", "suggested_intent"),
 def golden_template(pairs: DataFrame, target: int = fv.GOLDEN_TARGET, seed: int = fv.SAMPLE_SEED,
                     rules: Rules = fv.INTENT_RULES, default: str = fv.CATCH_ALL) -> DataFrame:
     """Stratified sample with blank labels, in shuffled order."""
-    bucketed = pairs.withColumn("_stratify_bucket", bucket_intent(F.col("customer_text"), rules, default))
-    sample = s.stratified_sample(bucketed, "_stratify_bucket", target, seed=seed)
-    full = s.topup_sample(bucketed, sample, target, seed=seed)
-    blank = c.add_blank_labels(s.shuffle_rows(full, seed=seed))
+    bucket = bucket_intent(F.col("customer_text"), rules, default).alias("_stratify_bucket")
+    # The rules run once over all texts; the draws then work on ids and buckets alone.
+    buckets = materialize(pairs.select("customer_tweet_id", bucket), "buckets")
+    sample = s.stratified_sample(buckets, "_stratify_bucket", target, seed=seed)
+    drawn = s.topup_sample(buckets, sample, target, seed=seed)
+    blank = c.add_blank_labels(s.shuffle_rows(pairs.join(drawn, "customer_tweet_id"), seed=seed))
     return c.project_columns(blank, fv.GOLDEN_TEMPLATE_COLUMNS)
 
 

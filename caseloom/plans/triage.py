@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from caseloom import fixed_values as fv
 from caseloom.functions.rules import RoutingRules, route_decision
 from caseloom.functions.text import over_limit, precedent_summary
-from caseloom.operators.retrieval import retrieve_precedent
+from caseloom.operators.retrieval import find_precedents, join_precedents
 from caseloom.operators.scoring import Scorer, classify_intents, draft_replies
+from caseloom.session import materialize
 
 
 def run_triage(posts: DataFrame, corpus: DataFrame, classifier: Scorer, drafter: Scorer,
@@ -24,9 +25,12 @@ def run_triage(posts: DataFrame, corpus: DataFrame, classifier: Scorer, drafter:
     posts and corpus carry customer_tweet_id and "embedding".  Retrieval comes
     before routing because routing counts how the precedents were handled.
     """
-    classified = classify_intents(posts, classifier, labels, fallback, cache, brand=brand,
-                                  store=store and f"{store}/classify")
-    grounded = retrieve_precedent(classified, corpus, k, approximate=approximate)
+    texts = posts.select("customer_tweet_id", "customer_text")
+    intents = classify_intents(texts, classifier, labels, fallback, cache, brand=brand,
+                               store=store and f"{store}/classify").drop("customer_text")
+    # The search feeds both the drafts and the result, and must not run twice.
+    found = materialize(find_precedents(posts, corpus, k, approximate=approximate), "precedents")
+    grounded = join_precedents(posts.drop("embedding"), found).join(intents, "customer_tweet_id")
     decision = route_decision(F.col("customer_text"), F.col("precedents"), rules)
     routed = (grounded.withColumn("_d", decision)
               .withColumn("routing_decision", F.col("_d.routing"))
@@ -34,4 +38,4 @@ def run_triage(posts: DataFrame, corpus: DataFrame, classifier: Scorer, drafter:
     drafted = draft_replies(routed, drafter, cache, brand, rules.opt_out, store=store and f"{store}/draft")
     out = drafted.withColumn("retrieved_precedent", precedent_summary(F.col("precedents")))
     out = out.withColumn("over_280", over_limit(F.col("drafted_reply")))
-    return out.drop("embedding", *([] if keep_precedents else ["precedents"]))
+    return out if keep_precedents else out.drop("precedents")
