@@ -257,12 +257,12 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     w, ra, rb = F.col("n"), F.col("ra"), F.col("rb")
     sums = ranked.agg(F.sum(w).alias("n"), F.sum(w * ra * rb).alias("ab"),
                       F.sum(w * ra * ra).alias("aa"), F.sum(w * rb * rb).alias("bb"))
-    rho = F.try_divide("ab", F.sqrt("aa") * F.sqrt("bb"))
-    rho = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), rho))
+    raw = F.try_divide("ab", F.sqrt("aa") * F.sqrt("bb"))
+    rho = F.when(raw.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw)))
     unexplained = 1 - F.col("rho") * F.col("rho")
     t_squared = F.when(unexplained > 1e-15,
                        F.try_divide(F.col("rho") * F.col("rho") * (F.col("n") - 2), unexplained)
                        ).when(F.col("rho").isNotNull(), F.lit(float("inf")))
     p_value = _t_two_sided()
-    return (sums.select(F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("aa").isNotNull(), rho).alias("rho"))
+    return (sums.select(F.coalesce("n", F.lit(0)).alias("n"), rho.alias("rho"))
             .select("rho", F.when(F.col("n") > 2, p_value(t_squared, (F.col("n") - 2).cast("double"))).alias("p"), "n"))

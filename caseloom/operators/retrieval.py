@@ -154,12 +154,15 @@ def _nearest_cell(centers: np.ndarray):
     return nearest_cell
 
 
-def _fit_cells(corpus: DataFrame, n_cells: int, seed: int) -> tuple[DataFrame, _Cells]:
+def _fit_cells(corpus: DataFrame, n_cells: int, dim: int, seed: int) -> tuple[DataFrame, _Cells]:
     """Cell of every corpus row.  Only the placing of centres uses a sample."""
-    sample = corpus.orderBy(*sample_order("id", seed)).limit(n_cells * TRAIN_ROWS_PER_CELL)
-    model = (KMeans(k=n_cells, seed=seed, maxIter=10)
-             .fit(sample.select(array_to_vector("v").alias("features"))))
-    centers = np.stack(model.clusterCenters())
+    if n_cells == 1:
+        centers = np.zeros((1, dim))
+    else:
+        sample = corpus.orderBy(*sample_order("id", seed)).limit(n_cells * TRAIN_ROWS_PER_CELL)
+        model = (KMeans(k=n_cells, seed=seed, maxIter=10)
+                 .fit(sample.select(array_to_vector("v").alias("features"))))
+        centers = np.stack(model.clusterCenters())
     celled = corpus.withColumn("at", _nearest_cell(centers)(F.col("v"))).select(
         "id", "v", F.col("at.cell").alias("cell"), F.col("at.reach").alias("reach"))
     stats = celled.groupBy("cell").agg(F.count("*").alias("rows"), F.max("reach").alias("radius")).collect()
@@ -198,9 +201,9 @@ def _blocks_to_visit(cells: _Cells, k: int, probes: int | None):
     return visit, first_block, counts
 
 
-def _join_by_block(queries: DataFrame, corpus: DataFrame, k: int, n_queries: int, n_cells: int,
+def _join_by_block(queries: DataFrame, corpus: DataFrame, k: int, n_queries: int, dim: int, n_cells: int,
                    probes: int | None, seed: int) -> DataFrame:
-    celled, cells = _fit_cells(corpus, n_cells, seed)
+    celled, cells = _fit_cells(corpus, n_cells, dim, seed)
     visit, first_block, counts = _blocks_to_visit(cells, k, probes)
     chunks = max(1, -(-n_queries // CHUNK_ROWS))
     matrix, _, nearest = _kernels(k)
@@ -240,7 +243,7 @@ def _knn(queries: DataFrame, corpus: DataFrame, k: int, query_key: str, corpus_k
     else:
         if n_cells is None:
             n_cells = -(-c.count() // BLOCK_ROWS)
-        found = _join_by_block(q, c, k, n_queries, max(1, min(MAX_CELLS, n_cells)), probes, seed)
+        found = _join_by_block(q, c, k, n_queries, dim, max(1, min(MAX_CELLS, n_cells)), probes, seed)
     return top_k_neighbours(found, k)
 
 
