@@ -1,6 +1,6 @@
 """Text columns: search, repair, keys, clipping.
 
-All functions are Column -> Column and stay inside the JVM.
+The functions are Column -> Column and stay inside the JVM.
 """
 
 from __future__ import annotations
@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
@@ -103,10 +103,23 @@ def unescape_entities(c: Column) -> Column:
     return F.when(c.contains("&") & ~c.contains("<"), out).otherwise(c)
 
 
-def clean_text(c: Column) -> Column:
-    """Repair one text column: entities, encoding, quotes, line ends."""
-    fixed = straighten_quotes(repair_mojibake(unescape_entities(c)))
-    return F.regexp_replace(fixed, "\\r\\n|[\\r\\x85\\u2028\\u2029]", "\n")
+def plain_line_ends(c: Column) -> Column:
+    return F.regexp_replace(c, "\\r\\n|[\\r\\x85\\u2028\\u2029]", "\n")
+
+
+# The repair of a text column, step by step.
+REPAIRS = (unescape_entities, repair_mojibake, lambda c: plain_line_ends(straighten_quotes(c)))
+
+
+def clean_text(df: DataFrame, *cols: str) -> DataFrame:
+    """Repair text columns: entities, encoding, quotes, line ends.
+
+    Each step is a projection of its own, because the encoding repair reads
+    its input several times and the input should be computed once.
+    """
+    for repair in REPAIRS:
+        df = df.withColumns({c: repair(F.col(c)) for c in cols})
+    return df
 
 
 def reply_dedup_key(c: Column, strip_handles: bool = False) -> Column:

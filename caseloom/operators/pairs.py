@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.functions.text import clean_text, flag_dm_redirect, mentions_brand, reply_dedup_key
+from caseloom.functions.text import flag_dm_redirect, mentions_brand, reply_dedup_key
 from caseloom.operators.sampling import first_per_key
 
 
@@ -49,10 +49,6 @@ def pair_posts_with_replies(posts: DataFrame, replies: DataFrame,
         replies.alias("reply"), F.expr("post.tweet_id = reply.in_response_to_tweet_id")))
 
 
-def clean_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumns({c: clean_text(F.col(c)) for c in ("customer_text", "apple_reply_text")})
-
-
 def add_dm_flag(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("is_dm_redirect", flag_dm_redirect(F.col("apple_reply_text")))
 

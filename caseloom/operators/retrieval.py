@@ -27,7 +27,7 @@ from caseloom import fixed_values as fv
 from caseloom.functions.text import truncate_text
 from caseloom.operators.sampling import sample_order
 
-MAX_BROADCAST_FLOATS = 4_000_000  # 32 MB of query vectors per task
+MAX_BROADCAST_FLOATS = 4_000_000  # 32 MB of query vectors in a task
 MAX_CELLS = 1024
 BLOCK_ROWS = 8192
 CHUNK_ROWS = 8192
@@ -57,19 +57,19 @@ def embed_text(df: DataFrame, col: str, dim: int = 256, fit_on: DataFrame | None
 
 
 def _vectors(df: DataFrame, key: str) -> DataFrame:
-    """id, v: the rows that have a vector, in double precision."""
+    """id, v: the rows that have a vector."""
     return df.where(F.col("embedding").isNotNull()).select(
-        F.col(key).cast("bigint").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+        F.col(key).cast("bigint").alias("id"), F.col("embedding").alias("v"))
 
 
 def _kernels(k: int):
     """The functions tasks run, as closures: executors need no copy of this package."""
 
     def matrix(column) -> np.ndarray:
-        """A list<double> column as a 2-d array, without going through Python objects."""
+        """A list column as a 2-d array of doubles, without going through Python objects."""
         column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
         flat = column.flatten().to_numpy(zero_copy_only=False)
-        return flat.reshape(len(column), -1)
+        return flat.astype("float64").reshape(len(column), -1)
 
     def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         d = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
@@ -145,7 +145,7 @@ def _nearest_cell(centers: np.ndarray):
 
     @F.pandas_udf("struct<cell:int,reach:double>")
     def nearest_cell(v: pd.Series) -> pd.DataFrame:
-        x = np.stack(v.to_numpy())
+        x = np.stack(v.to_numpy()).astype("float64")
         d = (x * x).sum(1)[:, None] + (matrix_of * matrix_of).sum(1)[None, :] - 2.0 * (x @ matrix_of.T)
         cell = d.argmin(1)
         reach = np.sqrt(((x - matrix_of[cell]) ** 2).sum(1))

@@ -16,6 +16,10 @@ from caseloom.session import materialize
 
 _RANK, _PART = "_rank", "_part"
 
+# Up to this n Spark cuts groups before the shuffle (its default threshold);
+# beyond it every task's share of a group is a slice of its own at first.
+MAX_PARTIAL_LIMIT, PER_TASK = 1000, 1 << 20
+
 
 def sample_order(key: str, seed: int = fv.SAMPLE_SEED) -> list[Column]:
     """Sort columns of the seeded permutation."""
@@ -36,12 +40,18 @@ def top_n_per_group(df: DataFrame, group: list[Column], order_by: list[Column],
     """
     names = [f"_group{i}" for i in range(len(group))]
     out = df.withColumns(dict(zip(names, group)))
-    if fan_in > 1:
-        out = out.withColumn(_PART, F.spark_partition_id() % fan_in)
-        sliced = Window.partitionBy(*names, _PART).orderBy(*order_by)
-        out = out.withColumn(_RANK, F.row_number().over(sliced)).where(F.col(_RANK) <= n).drop(_RANK, _PART)
-    whole = Window.partitionBy(*names).orderBy(*order_by)
-    return out.withColumn(_RANK, F.row_number().over(whole)).where(F.col(_RANK) <= n).drop(_RANK, *names)
+    slices = [fan_in] if fan_in > 1 else []
+    if n > MAX_PARTIAL_LIMIT:
+        slices = [PER_TASK, *slices]
+    for count in slices:
+        out = out.withColumn(_PART, F.spark_partition_id() % count)
+        out = _first_rows(out, [*names, _PART], order_by, n).drop(_PART)
+    return _first_rows(out, names, order_by, n).drop(*names)
+
+
+def _first_rows(df: DataFrame, keys: list[str], order_by: list[Column], n: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
+    return df.withColumn(_RANK, rank).where(F.col(_RANK) <= n).drop(_RANK)
 
 
 def head_per_intent(df: DataFrame, group: str, order: str, n: int) -> DataFrame:

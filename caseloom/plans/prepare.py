@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from caseloom.functions.text import clean_text
 from caseloom.operators import pairs as p
 from caseloom.sources.retrieval_store import Embedder, build_retrieval_table
 
 
 def prepare_pairs(posts: DataFrame, brand: str, first_only: bool = False,
                   strip_handles: bool = False) -> DataFrame:
-    """Filter, pair, repair, flag, count and deduplicate; one lazy plan."""
+    """Filter, pair, repair, deduplicate, flag and count; one lazy plan.
+
+    Only the reply decides what is a duplicate, so the customer text, the flag
+    and the volume follow after the duplicates are gone.
+    """
     brand_posts = p.filter_brand_posts(posts, brand)
     inbound = p.filter_inbound(brand_posts)
     pairs = p.pair_posts_with_replies(inbound, p.filter_brand_replies(brand_posts, brand), first_only)
-    flagged = p.add_dm_flag(p.clean_pairs(pairs))
-    unique = p.dedup_templated_replies(flagged, strip_handles=strip_handles)
-    # The volume only depends on the author, so it joins after the rows are fewer.
-    counted = p.attach_author_volume(unique, p.author_volume(brand_posts))
+    unique = p.dedup_templated_replies(clean_text(pairs, "apple_reply_text"), strip_handles=strip_handles)
+    flagged = p.add_dm_flag(clean_text(unique, "customer_text"))
+    counted = p.attach_author_volume(flagged, p.author_volume(brand_posts))
     return counted.select("customer_tweet_id", "customer_text", "apple_tweet_id", "apple_reply_text",
                           "is_dm_redirect", "thread_depth")
 

@@ -32,10 +32,10 @@ GOLDEN_FINAL = _table(customer_tweet_id=_LONG, customer_text=_STR, apple_reply_t
                       escalation_reason=_STR)
 OVERRIDES = _table(customer_tweet_id=_LONG, true_intent=_STR, true_routing=_STR,
                    escalation_reason=_STR)
-PIPELINE_OUTPUT = T.StructType(GOLDEN_FINAL.fields + _table(
+RUN_OUTPUT = T.StructType(GOLDEN_FINAL.fields + _table(
     predicted_intent=_STR, routing_decision=_STR, escalation_reason_predicted=_STR,
     drafted_reply=_STR, retrieved_precedent=_STR).fields)
-JUDGE_SCORES = T.StructType(PIPELINE_OUTPUT.fields + _table(
+JUDGE_SCORES = T.StructType(RUN_OUTPUT.fields + _table(
     judge_relevance=_INT, judge_groundedness=_INT, judge_tone=_INT).fields)
 HUMAN_SCORES = _table(customer_tweet_id=_LONG, human_relevance=_INT,
                       human_groundedness=_INT, human_tone=_INT)

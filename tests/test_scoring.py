@@ -138,7 +138,7 @@ def test_run(spark):
          (12, "old three", "DM us", True, [0.9, 0.0])],
         "customer_tweet_id long, customer_text string, apple_reply_text string, is_dm_redirect boolean, embedding array<float>")
     classifier = sc.column_scorer(lambda s, p: F.lit('[{"id": 1, "intent": "battery_power_drain"}]'))
-    drafter = sc.column_scorer(lambda s, p: F.when(p == "hello", "​Here is how it works.").otherwise("cut o"))
+    drafter = sc.column_scorer(lambda s, p: F.when(p == "hello", "\u200bHere is how it works.").otherwise("cut o"))
     store = scratch_path(spark, "run")
     rows = {r.customer_tweet_id: r for r in run_triage(posts, corpus, classifier, drafter, k=2, store=store).collect()}
     assert (rows[1].routing_decision, rows[1].escalation_reason_predicted) == ("escalate", "safety_hazard")
