@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,18 +42,17 @@ def embed_text(df: DataFrame, col: str, dim: int = 256, fit_on: DataFrame | None
     fit_on gives the texts the word weights are learned from; queries and
     corpus must share it for their distances to mean anything.
     """
-    steps = Pipeline(stages=[
-        RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"(?U)\W+"),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dim),
-        IDF(inputCol="_counts", outputCol="_weighted"),
-        Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0)])
+    steps = Pipeline(stages=[HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dim),
+                             IDF(inputCol="_counts", outputCol="_weighted"),
+                             Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0)])
 
     def words(table: DataFrame) -> DataFrame:
-        return table.withColumn("_text", F.coalesce(F.col(col), F.lit("")))
+        text = F.lower(F.coalesce(F.col(col), F.lit("")))
+        return table.withColumn("_words", F.array_remove(F.split(text, r"[^\p{L}\p{N}_]+"), ""))
 
-    model = steps.fit(words(fit_on if fit_on is not None else df).select("_text"))
+    model = steps.fit(words(fit_on if fit_on is not None else df).select("_words"))
     vectors = model.transform(words(df)).withColumn("embedding", vector_to_array("_unit", "float32"))
-    return vectors.drop("_text", "_words", "_counts", "_weighted", "_unit")
+    return vectors.drop("_words", "_counts", "_weighted", "_unit")
 
 
 def _vectors(df: DataFrame, key: str) -> DataFrame:
