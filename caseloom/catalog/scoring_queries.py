@@ -28,6 +28,13 @@ def embed_text(spark, sf):
     return r.embed_text(t.pairs(spark, sf).select("customer_tweet_id", "customer_text"), "customer_text", 128)
 
 
+@query("embed_text_unit_length", """SELECT doc_id AS customer_tweet_id, 128 AS dim,
+ CASE WHEN regexp_matches(text, '[a-zA-Z]') THEN 1.0 ELSE 0.0 END::DOUBLE AS norm FROM documents""")
+def embed_text_unit_length(spark, sf):
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
+    return embed_text(spark, sf).select("customer_tweet_id", F.size("embedding").alias("dim"), F.round(norm, 3).alias("norm"))
+
+
 ALL_DISTANCES = """SELECT a.vec_id AS query_id, c.vec_id AS corpus_id,
  list_sum(list_transform(list_zip(a.embedding::DOUBLE[], c.embedding::DOUBLE[]), lambda z: pow(z[1] - z[2], 2))) AS distance
  FROM embeddings a CROSS JOIN embeddings c"""
@@ -60,6 +67,14 @@ def knn_approx(spark, sf):
     return r.knn_approx(v, v, 3, "vec_id", "vec_id", n_cells=16, probes=4)
 
 
+@query("knn_approx_every_cell", f"""SELECT query_id, corpus_id, round(distance, 6) AS distance, rank FROM (SELECT *,
+ row_number() OVER (PARTITION BY query_id ORDER BY distance, corpus_id) AS rank FROM ({ALL_DISTANCES})) WHERE rank <= 3""")
+def knn_approx_every_cell(spark, sf):
+    v = t.table(spark, sf, "embeddings")
+    found = r.knn_approx(v, v, 3, "vec_id", "vec_id", n_cells=4, probes=4)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
 # The neighbours by value: lines of each order, closest in price per unit.
 @query("top_k_neighbours", """SELECT l_orderkey AS query_id, l_linenumber AS corpus_id, l_discount AS distance,
  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_discount, l_linenumber, l_partkey) AS rank FROM lineitem

@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
@@ -103,26 +104,35 @@ def make_requests(df: DataFrame, system: Column | str, prompt: Column, model: st
             .withColumn("key", request_key(F.lit(model), F.lit(effort), F.col("system"), F.col("prompt"))))
 
 
+def open_store(spark: SparkSession, store: str) -> DataFrame:
+    """The answers kept at a path by earlier runs; none where there is no table yet."""
+    try:
+        return spark.read.schema(RESPONSE_CACHE).parquet(store)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RESPONSE_CACHE)
+
+
 def score_requests(requests: DataFrame, cache: DataFrame | None, scorer: Scorer,
                    validator: Validator | None = None, store: str | None = None) -> DataFrame:
     """requests plus "response"; null where no valid answer came back.
 
-    With store, new answers are appended there and read back: a lost executor
-    then costs no second call, and the next run finds them in its cache.
+    With store, answers kept there count as cached, new ones are appended and
+    read back: a lost executor or a second run repeats no call.
     """
     spark = requests.sparkSession
     cache = empty_cache(requests) if cache is None else cache
+    if store is not None:
+        cache = cache.unionByName(open_store(spark, store))
     misses = cache_miss(requests.select("key", "system", "prompt"), cache, validator)
-    answers = scorer(misses).withColumn("written_at", F.current_timestamp())
-    answers = answers.where(F.col("response").isNotNull())
+    answers = scorer(misses).where(F.col("response").isNotNull())
     if validator is not None:
         answers = answers.where(F.coalesce(validator(F.col("response")), F.lit(False)))
+    answers = answers.select("key", "response", F.current_timestamp().alias("written_at"))
     if store is not None:
         answers.write.mode("append").parquet(store)
-        answers = spark.read.schema(RESPONSE_CACHE).parquet(store)
-        known = latest_responses(cache.unionByName(answers.select(cache.columns))).select("key", "response")
-        if validator is not None:
-            known = known.where(F.coalesce(validator(F.col("response")), F.lit(False)))
+        known = _usable(cache.unionByName(open_store(spark, store)), validator)
     else:
         known = _usable(cache, validator).unionByName(answers.select("key", "response"))
     return requests.join(known, "key", "left")

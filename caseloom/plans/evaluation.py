@@ -20,6 +20,14 @@ def baseline_comparison(golden: DataFrame, run: DataFrame | None = None) -> Data
     return e.system_comparison(systems)
 
 
+def prediction_report(predictions: DataFrame, labels: Sequence[str] = fv.INTENTS, truth: str = "true_intent",
+                      pred: str = "predicted_intent") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Report and confusion matrix of the rows that got a label, and the number that did not."""
+    scored = e.drop_failed_predictions(predictions, pred)
+    return (e.classification_report(scored, truth, pred, labels), e.confusion_matrix(scored, truth, pred, labels),
+            e.failed_count(predictions, pred))
+
+
 def review_sheet(judged: DataFrame, n: int = fv.HUMAN_SAMPLE_SIZE, seed: int = fv.SAMPLE_SEED) -> DataFrame:
     """Rows for a person to score: low, high and other judge scores."""
     mean = e.row_mean_score(*[F.col(f"judge_{d}") for d in fv.JUDGE_DIMENSIONS])

@@ -116,6 +116,13 @@ def test_failures(spark):
     assert e.accuracy(df, "t", "p").first().accuracy == pytest.approx(2 / 3)
 
 
+def test_prediction_report_leaves_failures_out(spark):
+    df = predicted(spark, "aab", ["FAILED", "a", "b"])
+    report, matrix, failed = evaluation.prediction_report(df, ["a", "b"], "t", "p")
+    assert {r.label: r.support for r in report.collect()}["accuracy"] == 2
+    assert [(r.a, r.b) for r in matrix.orderBy("position").collect()] == [(1, 0), (0, 1)] and failed.first().failed == 1
+
+
 def test_judge_means(spark):
     df = scores(spark, [5, None], [4, 2])
     rows = {r.dimension: r for r in e.mean_judge_scores(df, ["a", "b"]).collect()}

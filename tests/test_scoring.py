@@ -44,6 +44,14 @@ def test_one_call_per_distinct_miss(spark, calls):
     assert calls.value == 3
 
 
+def test_a_second_run_finds_its_answers_in_the_store(spark, calls):
+    store, reqs = scratch_path(spark, "store"), requests(spark, "a", "b")
+    first = answers(sc.score_requests(reqs, None, echo(calls), store=store))
+    more = requests(spark, "a", "b", "c")
+    assert answers(sc.score_requests(more, None, echo(calls), store=store)) == {**first, 2: "re: c"}
+    assert calls.value == 3 and sc.cache_stats(sc.open_store(spark, store)).first().entries == 3
+
+
 def test_invalid_answers_are_not_used_not_stored_and_asked_again(spark, calls):
     store = scratch_path(spark, "store")
     reqs = requests(spark, "good", "bad")
