@@ -74,7 +74,9 @@ def parse_label_array(c: Column, labels: Sequence[str], n: Column, fallback: str
 
         return F.transform(F.sequence(F.lit(1), n.cast("int")), label_at)
 
-    raw = _read(c, "array<struct<id:string,intent:string>>", "[]")
+    # Items are opened one by one: something else among them spoils only itself.
+    raw = F.transform(_read(c, "array<string>", "[]"),
+                      lambda x: F.from_json(x, "id string, intent string", _JSON))
     return let(let(F.transform(raw, check), usable), assign)
 
 

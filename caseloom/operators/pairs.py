@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import flag_dm_redirect, mentions_brand, reply_dedup_key
+from caseloom.operators.joins import join_lookup
 from caseloom.operators.sampling import first_per_key
 
 
@@ -59,7 +60,7 @@ def author_volume(posts: DataFrame) -> DataFrame:
 
 
 def attach_author_volume(pairs: DataFrame, volume: DataFrame) -> DataFrame:
-    return pairs.join(volume, "author_id", "left")
+    return join_lookup(pairs, volume, "author_id")
 
 
 def dedup_templated_replies(pairs: DataFrame, order_by: list[Column] | None = None,

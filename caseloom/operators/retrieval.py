@@ -159,7 +159,7 @@ def _fit_cells(corpus: DataFrame, n_cells: int, dim: int, seed: int) -> tuple[Da
         centers = np.zeros((1, dim))
     else:
         sample = corpus.orderBy(*sample_order("id", seed)).limit(n_cells * TRAIN_ROWS_PER_CELL)
-        model = (KMeans(k=n_cells, seed=seed, maxIter=10)
+        model = (KMeans(k=n_cells, seed=seed, maxIter=5)
                  .fit(sample.select(array_to_vector("v").alias("features"))))
         centers = np.stack(model.clusterCenters())
     celled = corpus.withColumn("at", _nearest_cell(centers)(F.col("v"))).select(
@@ -255,7 +255,7 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
 
 def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
                query_key: str = "id", corpus_key: str = "id", n_cells: int | None = None,
-               probes: int = 4, seed: int = fv.SAMPLE_SEED) -> DataFrame:
+               probes: int = 8, seed: int = fv.SAMPLE_SEED) -> DataFrame:
     """As knn_exact, looking only into the nearest cells of each query."""
     return _knn(queries, corpus, k, query_key, corpus_key, probes, n_cells, seed, 0)
 

@@ -21,6 +21,7 @@ from caseloom.functions.prompts import (classify_system, draft_system, judge_mes
 from caseloom.functions.rules import Rules
 from caseloom.functions.text import (fallback_text, format_examples, numbered_prompt, reply_is_malformed,
                                      request_key, search, strip_invisible, truncate_text)
+from caseloom.operators.joins import join_lookup
 from caseloom.operators.pairs import exclude_golden
 from caseloom.operators.ranks import global_row_number
 from caseloom.operators.sampling import head_per_intent
@@ -69,7 +70,7 @@ def latest_responses(cache: DataFrame) -> DataFrame:
 
 def cache_hit(requests: DataFrame, cache: DataFrame, validator: Validator | None = None) -> DataFrame:
     """Requests with the cached response, where there is a (valid) one."""
-    return requests.join(_usable(cache, validator), "key")
+    return join_lookup(requests, _usable(cache, validator), "key", "inner")
 
 
 def cache_miss(requests: DataFrame, cache: DataFrame, validator: Validator | None = None) -> DataFrame:
@@ -135,7 +136,7 @@ def score_requests(requests: DataFrame, cache: DataFrame | None, scorer: Scorer,
         known = _usable(cache.unionByName(open_store(spark, store)), validator)
     else:
         known = _usable(cache, validator).unionByName(answers.select("key", "response"))
-    return requests.join(known, "key", "left")
+    return join_lookup(requests, known, "key")
 
 
 def pack_batches(df: DataFrame, key: str = "customer_tweet_id", text: str = "customer_text",

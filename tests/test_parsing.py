@@ -25,6 +25,9 @@ def items(*pairs):
     (items((1, "a")) + " and more", "stop", ["x", "x", "x"]),
     (None, "stop", ["x", "x", "x"]),
     ("[]", "reject", ["x", "x", "x"]),
+    ('[{"id": 1, "intent": "a"}, 5, {"id": 3, "intent": "c"}]', "stop", ["a", "x", "x"]),
+    ('[{"id": 1, "intent": "a"}, "b", null, {"id": 3, "intent": "c"}]', "skip", ["a", "x", "c"]),
+    ('[{"id": 1, "intent": {"name": "a"}}, {"id": 2, "intent": "b", "why": [1]}]', "skip", ["x", "b", "x"]),
 ])
 def test_label_array(values, response, mode, expected):
     assert values(lambda c: p.parse_label_array(c, LABELS, F.lit(3), "x", mode), "string", response) == [expected]
