@@ -19,7 +19,6 @@ LABELS = ["abusive", "markup", "table", "plain"]
 DEFAULT = "plain"
 LEXICON = [("abusive", r"idiot|worthless|trash"), ("markup", r"[#*%]{3}"), ("table", r"\|")]
 MOVED = [r"ing the ", r"license"]
-NOTE_MARKERS = ["either", "unclear"]
 ROUTES = RoutingRules(
     escalations=[("abuse_report", r"\b(idiot|scum)\b"), ("legal_matter", r"license"),
                  ("leaked_secret", r"token = "), ("shouting", r"worthless")],

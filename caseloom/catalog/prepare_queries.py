@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 
 from caseloom.catalog import inputs as t
 from caseloom.catalog.registry import query
+from caseloom.functions.rules import bucket_intent
+from caseloom.operators import evaluate
 from caseloom.operators import pairs as p
 from caseloom.operators import sampling as s
 from caseloom.operators.retrieval import embed_text
+from caseloom.plans.evaluation import review_sheet
 from caseloom.plans.prepare import build_index, prepare_pairs
 from caseloom.session import scratch_path
 from caseloom.sources import retrieval_store as store
-from caseloom.sources import tables as tables
+from caseloom.sources import tables
 
 BRAND_POSTS = f"(author_id = '{t.BRAND}' OR regexp_matches(text, '(?i)@{t.BRAND}'))"
 DEDUP_KEY = r"regexp_replace(regexp_replace(lower(apple_reply_text), '\s+', ' ', 'g'), 'https?://\S+', '<link>', 'g')"
@@ -160,9 +163,7 @@ def exclude_golden(spark, sf):
 @query("share_true", "SELECT avg(CASE WHEN is_dm_redirect THEN 1 ELSE 0 END) AS is_dm_redirect_share FROM pairs",
        ("pairs",))
 def share_true(spark, sf):
-    from caseloom.operators.evaluate import share_true as share
-
-    return share(t.pairs(spark, sf), "is_dm_redirect")
+    return evaluate.share_true(t.pairs(spark, sf), "is_dm_redirect")
 
 
 # The whole job: filter, pair, repair, flag, deduplicate, count.
@@ -222,8 +223,6 @@ def head_per_intent(spark, sf):
 
 @query("distinct_buckets", f"SELECT DISTINCT {t.sql_rule('lower(customer_text)')} AS bucket FROM pairs", ("pairs",))
 def distinct_buckets(spark, sf):
-    from caseloom.functions.rules import bucket_intent
-
     bucketed = t.pairs(spark, sf).withColumn("bucket", bucket_intent(F.col("customer_text"), t.LEXICON, t.DEFAULT))
     return s.distinct_buckets(bucketed, "bucket")
 
@@ -231,8 +230,6 @@ def distinct_buckets(spark, sf):
 @query("value_counts", f"""SELECT bucket, count(*) AS count FROM
  (SELECT {t.sql_rule('lower(customer_text)')} AS bucket FROM pairs) GROUP BY bucket""", ("pairs",))
 def value_counts(spark, sf):
-    from caseloom.functions.rules import bucket_intent
-
     bucketed = t.pairs(spark, sf).withColumn("bucket", bucket_intent(F.col("customer_text"), t.LEXICON, t.DEFAULT))
     return s.value_counts(bucketed, "bucket")
 
@@ -248,8 +245,6 @@ ENDS = f"""SELECT customer_tweet_id FROM (SELECT customer_tweet_id FROM judged
  (SELECT customer_tweet_id FROM judged WHERE customer_tweet_id NOT IN ({ENDS}) ORDER BY {ORDER} LIMIT 9)""",
        ("golden", "judged"))
 def spread_sample(spark, sf):
-    from caseloom.plans.evaluation import review_sheet
-
     return review_sheet(t.judged(spark, sf)).select("customer_tweet_id")
 
 

@@ -18,7 +18,6 @@ from caseloom import fixed_values as fv
 from caseloom.functions.parsing import parse_judge_score, parse_label_array, parse_suggestion
 from caseloom.functions.prompts import (classify_system, draft_system, judge_message, judge_system,
                                         precedent_blocks, suggest_message, suggest_system)
-from caseloom.functions.rules import Rules
 from caseloom.functions.text import (fallback_text, format_examples, numbered_prompt, reply_is_malformed,
                                      request_key, search, strip_invisible, truncate_text)
 from caseloom.operators.joins import join_lookup
