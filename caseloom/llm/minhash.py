@@ -214,17 +214,11 @@ def _block_pairs(least: float):
     return run
 
 
-def _pairs_of_buckets(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs: all of a small bucket, each row with the least of a large one; and the rows of large buckets."""
+def _buckets(classes: DataFrame) -> DataFrame:
+    """(band, node, least, n): rows of buckets of at least two texts."""
     rows = classes.select("node", F.explode("bands").alias("band"))
     stats = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
-    rows = join_lookup(rows, stats, "band", "inner")
-    small = rows.where(F.col("n") <= SMALL_BUCKET).select("band", "node")
-    large = rows.where(F.col("n") > SMALL_BUCKET).select("band", "node", "least", "n")
-    inside = (small.select("band", F.col("node").alias("a")).join(small.select("band", F.col("node").alias("b")), "band")
-              .where("a < b").select("a", "b"))
-    stars = large.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    return inside.union(stars).distinct(), large.select("band", "node", "n")
+    return join_lookup(rows, stats, "band", "inner").select("band", "node", "least", "n")
 
 
 def _near(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
@@ -258,9 +252,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
     components of pairs whose five-word shingle sets have a Jaccard similarity of
     at least the threshold.  weighted=True throws darts at shingle counts rather
     than at sets; the exact check is on sets either way.  Copies (equal word
-    sequences) form one node before any pair is made.  A bucket of more than 32
-    texts is joined to its least text first; what does not fall into one component
-    that way is compared in blocks, so no link is lost to a limit.  Null texts count
+    sequences) form one node before any pair is made.  The texts of a
+    bucket are compared with its least text first; where that leaves several
+    components, texts of different components are compared with each other, in blocks
+    where a bucket has more than 32, so no link is lost to a limit.  Null texts count
     as empty, empty texts are copies of each other, null ids stay in their class and
     have no say in class_id unless all are null; other columns are ignored.
     """
@@ -269,33 +264,35 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
     signed = materialize(signatures(docs, weighted), "signatures")
     first = Window.partitionBy("node").orderBy(F.asc_nulls_last("doc_id"))
     classes = materialize(signed.withColumn("r", F.row_number().over(first)).where("r = 1").drop("r"), "classes")
-    candidates, large = _pairs_of_buckets(classes)
-    near = materialize(_near(candidates, classes, least), "pairs")
-    edges = materialize(_verified(near, docs, classes, threshold), "edges")
+    buckets = materialize(_buckets(classes), "buckets")
+    stars = buckets.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    edges = materialize(_verified(materialize(_near(stars, classes, least), "pairs"), docs, classes, threshold), "edges")
     roots = components(edges)
-    more = _within_large(large, roots, classes, least)
-    if more is not None:
-        further = _verified(more, docs, classes, threshold)
-        roots = components(materialize(edges.union(further), "edges"))
+    more = _across_components(buckets, roots, classes, least)
+    if not more.isEmpty():
+        roots = components(materialize(edges.union(_verified(more, docs, classes, threshold)), "edges"))
     return _classes_of(signed, roots)
 
 
-def _within_large(large: DataFrame, roots: DataFrame, classes: DataFrame, least: float) -> DataFrame | None:
-    """Near pairs inside large buckets that still hold several components, compared block by block."""
-    named = join_lookup(large, roots.select("node", "root"), "node").withColumn("root", F.coalesce("root", "node"))
+def _across_components(buckets: DataFrame, roots: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Near pairs of different components that share a bucket: small buckets by a join, larger ones block by block."""
+    named = join_lookup(buckets, roots.select("node", "root"), "node").withColumn("root", F.coalesce("root", "node"))
     open_ = (named.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
              .where("low < high").select("band"))
-    rows = materialize(join_lookup(named, open_, "band", "inner"), "large")
-    if rows.isEmpty():
-        return None
+    rows = materialize(join_lookup(named, open_, "band", "inner").select("band", "node", "root", "least", "n"), "open")
+    small = rows.where(F.col("n") <= SMALL_BUCKET)
+    left, right = (small.select("band", F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
+    # pairs with the bucket's least text have been looked at
+    inside = (left.join(small.select("band", "least").distinct(), "band").where("a > least")
+              .join(right, "band").where("a < b and root_a <> root_b").select("a", "b").distinct())
     blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    cut = rows.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+    cut = rows.where(F.col("n") > SMALL_BUCKET).withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("node"), blocks).cast("int")})
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "band", "node", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
     signed = cut.join(classes.select("node", "sig"), "node")
-    pairs = signed.groupBy("band", "i", "j").applyInArrow(_block_pairs(least), "a binary, b binary")
-    return materialize(pairs.distinct(), "pairs")
+    across = signed.groupBy("band", "i", "j").applyInArrow(_block_pairs(least), "a binary, b binary")
+    return materialize(_near(inside, classes, least).union(across).distinct(), "pairs")
 
 
 def _classes_of(signed: DataFrame, roots: DataFrame) -> DataFrame:
