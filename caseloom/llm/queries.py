@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.llm import minhash
+from caseloom.llm import minhash, toxicity
 from caseloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,9 @@ def query(name: str, sql: str | None = None):
 def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate class, its rows and its different texts."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_string_kernel")
+def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

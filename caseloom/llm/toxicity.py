@@ -288,8 +288,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -
     kernel = Kernel(landmarks)
     n_telling = len(landmarks) - min(CLEAN_LANDMARKS, len(landmarks) - 1)
     sentences = materialize(sample.mapInArrow(_sampled_sentences(kernel, n_telling), "label double, row array<double>"), "sentences")
-    svm = LinearSVC(maxIter=60, regParam=REG, standardization=False).fit(
-        sentences.select("label", array_to_vector("row").alias("features")))
+    share = sentences.agg(F.avg("label")).first()[0]
+    weight = F.when(F.col("label") == 1, 0.5 / share).otherwise(0.5 / (1 - share))  # both labels weigh the same
+    svm = LinearSVC(maxIter=60, regParam=REG, standardization=False, weightCol="weight").fit(
+        sentences.select("label", array_to_vector("row").alias("features"), weight.alias("weight")))
     model = Model(landmarks, kernel.root @ np.array(svm.coefficients.toArray()), float(svm.intercept), [], 0.0)
     as_lists = lambda rows: pa.array(rows.tolist(), pa.list_(pa.float64()))
     rows = sample.mapInArrow(_document_rows(model, "toxic", "row", as_lists), "toxic int, row array<double>")
