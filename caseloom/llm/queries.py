@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.llm import minhash, toxicity
+from caseloom.llm import minhash, pii, toxicity
 from caseloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,9 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score of every document."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_personal_data")
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule spans and added spans of personal data in every document."""
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
