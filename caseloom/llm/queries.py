@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.llm import minhash, pii, toxicity
-from caseloom.llm.common import table
+from caseloom.llm import minhash, mixing, pii, sharding, toxicity
+from caseloom.llm.common import SEED, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,46 @@ def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule spans and added spans of personal data in every document."""
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+#: The hot source gets twice the weight of any other one, whatever its size.
+MIX_WEIGHTS, OTHER_WEIGHT = {"src0": 2.0}, 1.0
+
+#: Draws, copies and places of the Poisson mix, from md5 digests.
+OP1_SQL = f"""
+WITH sizes AS (
+  SELECT coalesce(source, '{mixing.ABSENT}') AS name, sum(length(coalesce(text, ''))) AS size,
+         CASE WHEN source = 'src0' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
+  FROM documents GROUP BY ALL),
+sums AS (SELECT sum(size) AS size, sum(weight) AS weight FROM sizes WHERE size > 0),
+rates AS (
+  SELECT name, CASE WHEN sizes.size > 0 THEN sizes.weight * sums.size::DOUBLE / (sums.weight * sizes.size) ELSE 1.0 END AS rate
+  FROM sizes, sums),
+parts AS (
+  SELECT d.*, coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, ''))) AS key, greatest(ceil(rate / 16), 1)::BIGINT AS parts,
+         rate / greatest(ceil(rate / 16), 1) AS part
+  FROM documents d JOIN rates ON coalesce(source, '{mixing.ABSENT}') = name),
+draws AS (
+  SELECT *, list_sum(list_transform(generate_series(1, parts), lambda i:
+    list_reduce(list_prepend({{'k': 0, 'n': 0, 'term': exp(-part), 'sum': exp(-part), 'u':
+        ('0x' || substr(md5(concat_ws('|', 'copies {SEED}', key || '|' || i)), 1, 13))::BIGINT / {mixing.UNIT}.0::DOUBLE, 'part': part}},
+      list_transform(generate_series(1, 96), lambda k: {{'k': k, 'n': 0, 'term': 0.0::DOUBLE, 'sum': 0.0::DOUBLE, 'u': 0.0::DOUBLE, 'part': 0.0::DOUBLE}})),
+      lambda a, b: CASE WHEN a.sum <= a.u
+        THEN {{'k': b.k, 'n': a.n + 1, 'term': a.term * a.part / b.k, 'sum': a.sum + a.term * a.part / b.k, 'u': a.u, 'part': a.part}}
+        ELSE a END).n))::INT AS copies
+  FROM parts)
+SELECT doc_id, text, lang, source, n_chars, copy::INT AS copy, md5(concat_ws('|', 'place {SEED}', key, copy)) AS place
+FROM (SELECT *, unnest(generate_series(1, copies)) AS copy FROM draws WHERE copies > 0)"""
+
+
+@query("op1_poisson_mix", OP1_SQL)
+def op1_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole mix: every copy of every document, shuffled."""
+    mix = mixing.replicate(table(spark, sf_dir, "documents"), MIX_WEIGHTS, OTHER_WEIGHT)
+    return mixing.shuffled(mix).select("doc.*", "copy", "place")
+
+
+@query("op2_two_pass_shuffle")
+def op2_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharding.placements(table(spark, sf_dir, "documents"))
