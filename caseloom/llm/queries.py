@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.llm import minhash, mixing, pii, sharding, toxicity
+from caseloom.llm import minhash, mixing, packing, pii, sharding, toxicity
 from caseloom.llm.common import SEED, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def op1_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return sharding.placements(table(spark, sf_dir, "documents"))
+
+
+@query("op6_mixture_packing")
+def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows that keep the sources' shares."""
+    return packing.pack_windows(table(spark, sf_dir, "documents"))
