@@ -28,6 +28,7 @@ from caseloom.session import materialize
 
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
 BANDS, BAND_ROWS = 25, 5  # a pair at 0.8 misses every band once in 20,000 times
+STAR_ROUNDS = 3  # how often a bucket's texts are compared with one of them before all others are
 SMALL_BUCKET = 32  # up to this size a bucket's pairs are all compared at once
 BLOCK_ROWS = 256  # rows of a block of a larger bucket
 SLACK = 0.17  # over four standard deviations of the share of equal coordinates
@@ -215,10 +216,10 @@ def _block_pairs(least: float):
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(band, node, least, n): rows of buckets of at least two texts."""
+    """(band, node, n): rows of buckets of at least two texts."""
     rows = classes.select("node", F.explode("bands").alias("band"))
-    stats = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
-    return join_lookup(rows, stats, "band", "inner").select("band", "node", "least", "n")
+    stats = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    return join_lookup(rows, stats, "band", "inner").select("band", "node", "n")
 
 
 def _near(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
@@ -229,16 +230,18 @@ def _near(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(lambda it: _agree(it, least), "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of an exact Jaccard similarity of shingle sets of at least the threshold."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    ids = classes.join(needed, "node", "left_semi").select("node", F.col("doc_id").alias("_id"))
+def _sets_of(needed: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes needed, from whole texts."""
+    ids = classes.join(needed, "node", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
     words = word_list(F.col("text"))
-    texts = (docs.select("doc_id", "text").join(ids.select("_id").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-             .select(words.alias("w"))
+    texts = (docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(words.alias("w"))
              .select(F.unhex(F.md5(F.array_join("w", " "))).alias("node"), F.transform("w", lambda w: F.xxhash64(w)).alias("words"))
              .join(needed, "node", "left_semi").dropDuplicates(["node"]))
-    sets = materialize(texts.mapInArrow(_sets, "node binary, shingles array<bigint>"), "shingles")
+    return texts.mapInArrow(_sets, "node binary, shingles array<bigint>")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of an exact Jaccard similarity of shingle sets of at least the threshold."""
     with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
     both = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
     shared = F.size(F.array_intersect("of_a", "of_b"))
@@ -253,7 +256,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
     at least the threshold.  weighted=True throws darts at shingle counts rather
     than at sets; the exact check is on sets either way.  Copies (equal word
     sequences) form one node before any pair is made.  The texts of a
-    bucket are compared with its least text first; where that leaves several
+    bucket are compared with one of them, a few times over; where that leaves several
     components, texts of different components are compared with each other, in blocks
     where a bucket has more than 32, so no link is lost to a limit.  Null texts count
     as empty, empty texts are copies of each other, null ids stay in their class and
@@ -265,38 +268,63 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
     first = Window.partitionBy("node").orderBy(F.asc_nulls_last("doc_id"))
     classes = materialize(signed.withColumn("r", F.row_number().over(first)).where("r = 1").drop("r"), "classes")
     buckets = materialize(_buckets(classes), "buckets")
-    stars = buckets.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    edges = materialize(_verified(materialize(_near(stars, classes, least), "pairs"), docs, classes, threshold), "edges")
-    roots = components(edges)
-    more = _across_components(buckets, roots, classes, least)
-    if not more.isEmpty():
-        roots = components(materialize(edges.union(_verified(more, docs, classes, threshold)), "edges"))
+    sets = materialize(_sets_of(buckets.select("node").distinct(), docs, classes), "shingles")
+    edges, roots = None, None
+    for turn in range(STAR_ROUNDS + 1):
+        rows = materialize(_open(buckets, roots), "open")
+        if rows.isEmpty():
+            break
+        pairs = _stars(rows, turn) if turn < STAR_ROUNDS else _across_small(rows)
+        near = _near(pairs, classes, least)
+        if turn == STAR_ROUNDS:
+            near = near.union(_across_blocks(rows, classes, least)).distinct()
+        found = _verified(materialize(near, "pairs"), sets, threshold)
+        edges = materialize(found if edges is None else edges.union(found), "edges")
+        roots = components(edges)
     return _classes_of(signed, roots)
 
 
-def _across_components(buckets: DataFrame, roots: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Near pairs of different components that share a bucket: small buckets by a join, larger ones block by block."""
-    named = join_lookup(buckets, roots.select("node", "root"), "node").withColumn("root", F.coalesce("root", "node"))
-    open_ = (named.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-             .where("low < high").select("band"))
-    rows = materialize(join_lookup(named, open_, "band", "inner").select("band", "node", "root", "least", "n"), "open")
-    small = rows.where(F.col("n") <= SMALL_BUCKET)
-    left, right = (small.select("band", F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-    # pairs with the bucket's least text have been looked at
-    inside = (left.join(small.select("band", "least").distinct(), "band").where("a > least")
-              .join(right, "band").where("a < b and root_a <> root_b").select("a", "b").distinct())
+def _open(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(band, node, root, n): rows of buckets that hold several components."""
+    if roots is None:
+        return buckets.withColumn("root", F.col("node"))
+    named = join_lookup(buckets, roots, "node").withColumn("root", F.coalesce("root", "node"))
+    open_ = named.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
+    return join_lookup(named, open_, "band", "inner").select("band", "node", "root", "n")
+
+
+def _pair(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _stars(rows: DataFrame, turn: int) -> DataFrame:
+    """Each row of a bucket with one leader, another one every turn, where they are of different components."""
+    leaders = rows.groupBy("band").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "root")).alias("leader"))
+    led = join_lookup(rows, leaders, "band", "inner").where(F.col("root") != F.col("leader.root"))
+    return led.select(F.col("leader.node").alias("x"), F.col("node").alias("y")).select(*_pair("x", "y")).distinct()
+
+
+def _across_small(rows: DataFrame) -> DataFrame:
+    """All pairs of different components in buckets of at most SMALL_BUCKET rows."""
+    left, right = (rows.where(F.col("n") <= SMALL_BUCKET).select("band", F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
+    return left.join(right, "band").where("a < b and root_a <> root_b").select("a", "b").distinct()
+
+
+def _across_blocks(rows: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Near pairs of different components in larger buckets, compared block by block."""
     blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
     cut = rows.where(F.col("n") > SMALL_BUCKET).withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("node"), blocks).cast("int")})
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "band", "node", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
     signed = cut.join(classes.select("node", "sig"), "node")
-    across = signed.groupBy("band", "i", "j").applyInArrow(_block_pairs(least), "a binary, b binary")
-    return materialize(_near(inside, classes, least).union(across).distinct(), "pairs")
+    return signed.groupBy("band", "i", "j").applyInArrow(_block_pairs(least), "a binary, b binary")
 
 
-def _classes_of(signed: DataFrame, roots: DataFrame) -> DataFrame:
-    rows = join_lookup(signed.select("doc_id", "node"), roots, "node").withColumn("root", F.coalesce("root", "node"))
+def _classes_of(signed: DataFrame, roots: DataFrame | None) -> DataFrame:
+    rows = signed.select("doc_id", "node", F.col("node").alias("root"))
+    if roots is not None:
+        rows = join_lookup(signed.select("doc_id", "node"), roots, "node").withColumn("root", F.coalesce("root", "node"))
     texts = rows.groupBy("root", "node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     classes = texts.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("copies"), F.count("*").alias("texts"))
     return join_lookup(rows, classes, "root").select("doc_id", "class_id", "copies", "texts")
