@@ -22,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -32,16 +33,16 @@ from caseloom.llm.common import pack, unpack, word_list
 from caseloom.session import materialize
 
 ORDER, LAMBDA, MAX_SPAN = 3, 0.5, 6
-MAX_TRAINING_DOCS = 20_000  # labelled documents a fit reads at most, about; picked by hash of the id
-LANDMARKS, CLEAN_LANDMARKS, CANDIDATES = 48, 12, 2000
+MAX_TRAINING_DOCS = 10_000  # labelled documents a fit reads at most, about; picked by hash of the id
+LANDMARKS, CLEAN_LANDMARKS, CANDIDATES = 40, 8, 2000
 PREFIXES = (4, 5, 6, 7, 8)
 WORST = 3  # sentences that a document's score looks at
 HARD, OTHER = 3, 3  # sentences of a document the fit sees: the most telling ones, and others
 REG, ROOT_FLOOR = 1e-3, 1e-2
-CACHED_WORDS, WORDS_AT_ONCE, DOCS_AT_ONCE = 120_000, 8_000, 500
+WORDS_AT_ONCE, CHARS_AT_ONCE = 8_000, 6 << 20  # bound what a Python worker holds
+LEAST_LIKENESS = 0.3  # less counts as none
 
-_SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
-_SPREAD = re.compile(r"(?:^|(?<=\s))\S\s+\S\s+\S(?:\s|$)")
+_SPREAD = re.compile(r"(?:^|\s)\S\s+\S\s+\S(?:\s|$)")
 _PLAIN = re.compile(r"[\W_]+")
 _GAPS = [(i, j) for i in range(1, MAX_SPAN) for j in range(1, MAX_SPAN - i)]
 _CHARS = 0x600  # code points below this have letters of their own; others are gaps
@@ -103,70 +104,68 @@ class Kernel:
                 own, terms = own[order], self.phi[triple[order]] * weights[order, None]
                 first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
                 out[low + own[first]] = np.add.reduceat(terms, first, axis=0)
+        out[out < LEAST_LIKENESS] = 0
         return np.minimum(out, 1.25)
 
 
-class Reader:
-    """Sentences of texts as rows of likenesses; words seen before are looked up."""
-
-    def __init__(self, kernel: Kernel):
-        self.kernel, self.known, self.table = kernel, {}, np.zeros((1, len(kernel.landmarks)), np.float32)
-
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.table) > CACHED_WORDS or len(self.known) > 8 * CACHED_WORDS:
-            self.known, self.table = {}, self.table[:1]
-        new = [p for p in pieces if p not in self.known]
-        rows = self.kernel.rows([_PLAIN.sub("", p) for p in new])
-        useful = np.flatnonzero(rows.max(axis=1, initial=0) > 0.2)
-        self.known.update(dict.fromkeys(new, 0))
-        self.known.update(zip((new[i] for i in useful), range(len(self.table), len(self.table) + len(useful))))
-        self.table = np.concatenate([self.table, rows[useful]])
-
-    def sentences(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(document number, likenesses) per sentence that has words; likenesses is the maximum over its words."""
-        doc, cut = [], []
-        for d, text in enumerate(texts):
-            text = (text or "").lower()
-            spread = _SPREAD.search(text) is not None
-            for sentence in _SENTENCE.split(text):
-                pieces = sentence.split()
-                if pieces:
-                    doc.append(d)
-                    cut.append(pieces + _spread(pieces) if spread else pieces)
-        if not doc:
-            return np.zeros(0, np.int64), self.table[:0]
-        pieces = set(chain.from_iterable(cut))
-        if not pieces <= self.known.keys():
-            self._learn(pieces)
-            if not pieces <= self.known.keys():
-                self._learn(pieces)
-        get = self.known.__getitem__
-        words = np.fromiter(map(get, chain.from_iterable(cut)), np.int64)
-        sizes = np.fromiter(map(len, cut), np.int64)
-        sentence = np.repeat(np.arange(len(cut)), sizes)
-        out = np.zeros((len(cut), self.table.shape[1]), np.float32)
-        telling = np.flatnonzero(words > 0)
-        if len(telling):
-            sentence, words = sentence[telling], words[telling]
-            first = np.flatnonzero(np.r_[True, sentence[1:] != sentence[:-1]])
-            for low in range(0, len(first), 5_000):  # bounds the gathered rows
-                a = first[low]
-                b = first[low + 5_000] if low + 5_000 < len(first) else len(words)
-                out[sentence[first[low: low + 5_000]]] = np.maximum.reduceat(self.table[words[a:b]], first[low: low + 5_000] - a, axis=0)
-        return np.array(doc), out
-
-
-def _spread(pieces: list[str]) -> list[str]:
-    """Words spelled with a space after each letter: runs of three or more single characters."""
+def sentences(kernel: Kernel, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(document number, likenesses) per sentence that has words; likenesses is the maximum over its words.
+
+    Words are cut, and counted once each, by Arrow; a sentence ends with a piece that ends in . ! or ?.
+    """
+    texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.string()), ""))
+    spelled = pc.match_substring_regex(texts, _SPREAD.pattern)
+    if pc.any(spelled).as_py():
+        texts = pa.array([f"{t} . {_spread(t)}" if s else t for t, s in zip(texts.to_pylist(), spelled.to_pylist())])
+    lists = pc.utf8_split_whitespace(texts)
+    pieces = pc.dictionary_encode(lists.flatten())
+    if isinstance(pieces, pa.ChunkedArray):
+        pieces = pieces.combine_chunks()
+    starts = lists.offsets.to_numpy().astype(np.int64)
+    doc = np.repeat(np.arange(len(texts)), np.diff(starts))
+    word, own = pieces.indices.to_numpy(), pieces.dictionary.to_pylist()
+    plain = [_PLAIN.sub("", p) for p in own]
+    there = np.fromiter(map(bool, plain), bool, len(plain))
+    ends = np.fromiter((p.endswith((".", "!", "?")) for p in own), bool, len(own))
+    rows = kernel.rows(plain)
+    # a piece begins a sentence if it begins a document or follows an end
+    begins = np.r_[True, (doc[1:] != doc[:-1]) | ends[word[:-1]]] if len(word) else np.zeros(0, bool)
+    sentence = np.cumsum(begins) - 1
+    number = int(sentence[-1]) + 1 if len(word) else 0
+    of_doc = doc[begins]
+    likeness = np.zeros((number, rows.shape[1]), np.float32)
+    telling = np.flatnonzero((rows.max(axis=1, initial=0) > 0)[word]) if len(word) else np.zeros(0, np.int64)
+    if len(telling):
+        at, hit = sentence[telling], word[telling]
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        for low in range(0, len(first), 5_000):  # bounds the gathered rows
+            x, y = first[low], first[low + 5_000] if low + 5_000 < len(first) else len(hit)
+            likeness[at[first[low: low + 5_000]]] = np.maximum.reduceat(rows[hit[x:y]], first[low: low + 5_000] - x, axis=0)
+    spoken = np.bincount(sentence[there[word]], minlength=number) > 0 if number else np.zeros(0, bool)
+    return of_doc[spoken], likeness[spoken]
+
+
+def _spread(text: str) -> str:
+    """Words spelled with a space after each letter: the runs of three or more single characters, joined."""
     out, run = [], ""
-    for p in [*pieces, "  "]:
+    for p in [*text.split(), "  "]:
         if len(p) == 1:
             run += p
         else:
             if len(run) > 2:
                 out.append(run)
             run = ""
-    return out
+    return " ".join(out)
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about CHARS_AT_ONCE bytes of text."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < batch.num_rows:
+        high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + CHARS_AT_ONCE, "right")))
+        yield batch.slice(low, high - low)
+        low = high
 
 
 @dataclass
@@ -179,10 +178,10 @@ class Model:
     curve: list[float]  # of the WORST largest margins and the logarithm of the number of sentences
     offset: float
 
-    def document_rows(self, reader: Reader, texts: list[str | None]) -> np.ndarray:
+    def document_rows(self, kernel: Kernel, texts: pa.Array) -> np.ndarray:
         """Per text: its WORST largest sentence margins, and log(1 + sentences)."""
         out = np.full((len(texts), WORST + 1), self.bias)
-        doc, likeness = reader.sentences(texts)
+        doc, likeness = sentences(kernel, texts)
         margin = likeness @ self.weights.astype(np.float32) + self.bias
         order = np.lexsort((-margin, doc))
         doc, margin = doc[order], margin[order]
@@ -245,23 +244,19 @@ def _landmarks(sample: DataFrame) -> list[str]:
 
 def _sampled_sentences(kernel: Kernel, n_telling: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(kernel)
-        for batch in batches:
-            toxic, texts = batch.column("toxic").to_pylist(), batch.column("text").to_pylist()
-            for low in range(0, len(texts), DOCS_AT_ONCE):
-                doc, likeness = reader.sentences(texts[low: low + DOCS_AT_ONCE])
-                evidence = likeness[:, :n_telling].max(axis=1, initial=0)
-                labels, rows = [], []
-                for d in np.unique(doc):
-                    own = np.flatnonzero(doc == d)
-                    own = own[np.argsort(-evidence[own], kind="stable")]
-                    if toxic[low + d]:
-                        take = [own[0], *[i for i in own[1: 1 + HARD] if evidence[i] >= 0.9]]
-                    else:
-                        take = [*own[:HARD], *own[HARD:][:: max(1, len(own) // OTHER)][:OTHER]]
-                    labels += [float(toxic[low + d])] * len(take)
-                    rows += [likeness[i] @ kernel.root for i in take]
-                yield pa.RecordBatch.from_arrays([pa.array(labels, pa.float64()), pa.array([r.tolist() for r in rows], pa.list_(pa.float64()))], ["label", "row"])
+        for batch in chain.from_iterable(map(_parts, batches)):
+            toxic = np.array(batch.column("toxic").to_pylist())
+            doc, likeness = sentences(kernel, batch.column("text"))
+            evidence = likeness[:, :n_telling].max(axis=1, initial=0)
+            order = np.lexsort((-evidence, doc))
+            doc, likeness, evidence = doc[order], likeness[order], evidence[order]
+            place = np.arange(len(doc)) - np.searchsorted(doc, doc)
+            bad = toxic[doc] > 0
+            # of a toxic document its most telling sentences, of others the most telling ones and some more
+            some = (place < HARD) | (place % 7 == 6) & (place < HARD + 7 * OTHER)
+            take = np.where(bad, (place == 0) | (place <= HARD) & (evidence >= 0.9), some)
+            rows = likeness[take] @ kernel.root
+            yield pa.RecordBatch.from_arrays([pa.array(bad[take].astype(float)), pa.array(rows.tolist(), pa.list_(pa.float64()))], ["label", "row"])
 
     return run
 
@@ -270,11 +265,10 @@ def _document_rows(model: Model, column: str, out: str, finish):
     """A column that stays, and one that is made of each text's sentences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(Kernel(model.landmarks))
-        for batch in batches:
-            for low in range(0, batch.num_rows, DOCS_AT_ONCE):
-                rows = model.document_rows(reader, batch.column("text").slice(low, DOCS_AT_ONCE).to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column(column).slice(low, DOCS_AT_ONCE), finish(rows)], [column, out])
+        kernel = Kernel(model.landmarks)
+        for batch in chain.from_iterable(map(_parts, batches)):
+            rows = model.document_rows(kernel, batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column(column), finish(rows)], [column, out])
 
     return run
 
@@ -289,12 +283,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -
     n_telling = len(landmarks) - min(CLEAN_LANDMARKS, len(landmarks) - 1)
     sentences = materialize(sample.mapInArrow(_sampled_sentences(kernel, n_telling), "label double, row array<double>"), "sentences")
     share = sentences.agg(F.avg("label")).first()[0]
-    weight = F.when(F.col("label") == 1, 0.5 / share).otherwise(0.5 / (1 - share))  # both labels weigh the same
+    weight = F.when(F.col("label") == 1, math.sqrt((1 - share) / share)).otherwise(1.0)  # between one each and equal sums
     svm = LinearSVC(maxIter=60, regParam=REG, standardization=False, weightCol="weight").fit(
         sentences.select("label", array_to_vector("row").alias("features"), weight.alias("weight")))
     model = Model(landmarks, kernel.root @ np.array(svm.coefficients.toArray()), float(svm.intercept), [], 0.0)
     as_lists = lambda rows: pa.array(rows.tolist(), pa.list_(pa.float64()))
-    rows = sample.mapInArrow(_document_rows(model, "toxic", "row", as_lists), "toxic int, row array<double>")
+    rows = materialize(sample.mapInArrow(_document_rows(model, "toxic", "row", as_lists), "toxic int, row array<double>"), "curve")
     curve = LogisticRegression(maxIter=60, regParam=1e-4).fit(
         rows.select(F.col("toxic").cast("double").alias("label"), array_to_vector("row").alias("features")))
     model.curve, model.offset = [float(x) for x in curve.coefficients], float(curve.intercept)
