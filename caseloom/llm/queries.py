@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from caseloom.llm import minhash, mixing, packing, pii, sharding, toxicity
+from caseloom.llm import fingerprints, minhash, mixing, neighbours, packing, pii, sharding, toxicity, urls
 from caseloom.llm.common import SEED, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +89,21 @@ def op2_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows that keep the sources' shares."""
     return packing.pack_windows(table(spark, sf_dir, "documents"))
+
+
+@query("op4_spot_signatures")
+def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.compare_with_following(table(spark, sf_dir, "documents"))
+
+
+@query("op7_block_matrix_join")
+def op7_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % neighbours.QUERY_STEP == 0)
+
+
+@query("op9_url_trees")
+def op9_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
