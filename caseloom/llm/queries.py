@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import fingerprints, minhash, mixing, neighbours, packing, pii, sharding, toxicity, urls
+from caseloom.llm import fingerprints, licenses, minhash, mixing, neighbours, packing, pii, sharding, toxicity, urls
 from caseloom.llm.common import SEED, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,9 @@ def op7_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's URL."""
     return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op8_license_dice", licenses.oracle_sql())
+def op8_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences found in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
