@@ -48,9 +48,10 @@ def shingle_sets(words: np.ndarray, starts: np.ndarray, size: int = SHINGLE_WORD
     lengths = np.diff(starts)
     with np.errstate(over="ignore"):
         w = mix(words.astype(np.int64).view(np.uint64) + _GOLD)
-        rolled = np.zeros(max(len(w) - size + 1, 0), np.uint64)
+        places = max(len(w) - size + 1, 0)
+        rolled = np.zeros(places, np.uint64)
         for j in range(size):
-            rolled = rolled * _FRAC + w[j: len(w) - size + 1 + j]
+            rolled = rolled * _FRAC + w[j: places + j]
         n = np.maximum(lengths - size + 1, 0)
         doc = np.repeat(np.arange(len(lengths)), n)
         place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[:-1], n)

@@ -84,8 +84,8 @@ def replicate(docs: DataFrame, weights: dict[str | None, float], other: float =
     """(doc, copy, place): the packed row, its copy number from 1, and the key of its place in the mix.
 
     A document without copies is not in the mix: that is what its source's rate
-    says.  A null source is a source of its own; empty texts of a source without
-    any characters stay once; rows that repeat an id draw alike; an empty table gives no rows.
+    says.  A null source is a source of its own; a source without any
+    characters has a mean of one; rows that repeat an id draw alike; an empty table gives no rows.
     """
     rates = source_rates(docs, weights, other, total)
     rows = pack(docs).withColumn("name", F.coalesce("doc.source", F.lit(ABSENT)))
