@@ -199,17 +199,27 @@ def _agree(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
             yield batch.select(["a", "b"]).filter(near)
 
 
-def _block_pairs(least: float):
+def _block_links(least: float, threshold: float):
     def run(batch):
-        """Near pairs of two blocks of one bucket, or of one block with itself."""
-        node, part = batch.column("node").to_pylist(), np.array(batch.column("side").to_pylist())
-        root = batch.column("root").to_pylist()
+        """Links of different components between two blocks of one bucket, or inside one block.
+
+        A pair that shares an earlier band is left to that band's bucket.
+        """
+        node, side, root = (np.array(batch.column(c).to_pylist(), object) for c in ("node", "side", "root"))
         sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(len(node), -1)
-        left, right = np.flatnonzero(part != 1), np.flatnonzero(part != 0)
+        bands = np.array(batch.column("bands").to_pylist(), np.int64).reshape(len(node), -1)
+        flat, starts = _lists(batch.column("shingles"))
+        sets = [flat[x:y] for x, y in zip(starts, starts[1:])]
+        earlier = int(np.flatnonzero(bands[0] == batch.column("band")[0].as_py())[0])
         found = []
-        for i in left:
-            near = right[(sig[right] == sig[i]).mean(axis=1) >= least]
-            found += [(min(node[i], node[j]), max(node[i], node[j])) for j in near if root[i] != root[j]]
+        right = np.flatnonzero(side != 0)
+        for i in np.flatnonzero(side != 1):
+            others = right[root[right] != root[i]]
+            others = others[(bands[others, :earlier] != bands[i, :earlier]).all(axis=1)]
+            for j in others[(sig[others] == sig[i]).mean(axis=1) >= least]:
+                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if shared >= threshold * (len(sets[i]) + len(sets[j]) - shared):
+                    found.append((min(node[i], node[j]), max(node[i], node[j])))
         found = sorted(set(found))
         return pa.table({"a": pa.array([x for x, _ in found], pa.binary()), "b": pa.array([x for _, x in found], pa.binary())})
 
@@ -276,10 +286,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
         if rows.isEmpty():
             break
         pairs = _stars(rows, turn) if turn < STAR_ROUNDS else _across_small(rows)
-        near = _near(pairs, classes, least)
+        found = _verified(materialize(_near(pairs, classes, least), "pairs"), sets, threshold)
         if turn == STAR_ROUNDS:
-            near = near.union(_across_blocks(rows, classes, least)).distinct()
-        found = _verified(materialize(near, "pairs"), sets, threshold)
+            found = found.union(_across_blocks(rows, classes, sets, least, threshold))
         edges = materialize(found if edges is None else edges.union(found), "edges")
         roots = components(edges)
     return _classes_of(signed, roots)
@@ -311,15 +320,15 @@ def _across_small(rows: DataFrame) -> DataFrame:
     return left.join(right, "band").where("a < b and root_a <> root_b").select("a", "b").distinct()
 
 
-def _across_blocks(rows: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Near pairs of different components in larger buckets, compared block by block."""
+def _across_blocks(rows: DataFrame, classes: DataFrame, sets: DataFrame, least: float, threshold: float) -> DataFrame:
+    """Links of different components in larger buckets, checked block by block; only true links leave a block."""
     blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
     cut = rows.where(F.col("n") > SMALL_BUCKET).withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("node"), blocks).cast("int")})
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "band", "node", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
-    signed = cut.join(classes.select("node", "sig"), "node")
-    return signed.groupBy("band", "i", "j").applyInArrow(_block_pairs(least), "a binary, b binary")
+    full = cut.join(classes.select("node", "sig", "bands"), "node").join(sets, "node")
+    return full.groupBy("band", "i", "j").applyInArrow(_block_links(least, threshold), "a binary, b binary")
 
 
 def _classes_of(signed: DataFrame, roots: DataFrame | None) -> DataFrame:
