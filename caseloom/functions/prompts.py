@@ -36,14 +36,14 @@ def judge_system() -> str:
 
 
 def suggest_message(customer_text: Column, reply: Column) -> Column:
-    return F.concat(F.lit("Customer post: "), customer_text,
+    return F.concat(F.lit("Customer post: "), F.coalesce(customer_text, F.lit("")),
                     F.lit("\n\nActual reply: "), F.coalesce(reply, F.lit("")))
 
 
 def judge_message(customer_text: Column, precedent: Column, reply: Column) -> Column:
-    return F.concat(F.lit("Customer message: "), customer_text,
+    return F.concat(F.lit("Customer message: "), F.coalesce(customer_text, F.lit("")),
                     F.lit("\n\nHistorical precedent: "), F.coalesce(precedent, F.lit("")),
-                    F.lit("\n\nDrafted reply: "), reply)
+                    F.lit("\n\nDrafted reply: "), F.coalesce(reply, F.lit("")))
 
 
 def precedent_blocks(precedents: Column) -> Column:

@@ -173,9 +173,9 @@ def format_examples(blocks: Column) -> Column:
 def numbered_prompt(texts: Column) -> Column:
     """'1. first' / '2. second' / ..."""
     return F.array_join(
-        F.transform(texts, lambda t, i: F.concat((i + 1).cast("string"), F.lit(". "), t)), "\n")
+        F.transform(texts, lambda t, i: F.concat((i + 1).cast("string"), F.lit(". "), F.coalesce(t, F.lit("")))), "\n")
 
 
 def request_key(*parts: Column) -> Column:
-    """Hash that identifies a model request by everything that shapes it."""
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    """Hash that identifies a model request by everything that shapes it; a null part is not an absent or empty one."""
+    return F.sha2(F.concat_ws("|", *[F.coalesce(p, F.lit("\u0000null")) for p in parts]), 256)

@@ -211,8 +211,8 @@ def _t_two_sided():
                 c = c if abs(c) > tiny else tiny
                 h *= d * c
             if abs(d * c - 1.0) < 1e-15:
-                break
-        return h
+                return h
+        raise ArithmeticError(f"no convergence for a={a}, b={b}, x={x}")
 
     def p(t2, dof):
         if pd.isna(t2) or dof < 1:
@@ -245,11 +245,11 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
         df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
         .groupBy(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
         .agg(F.count("*").alias("n")), "score-pairs")
-    n, distinct_pairs = pairs.agg(F.sum("n")).scalar(), pairs.count()
+    n = pairs.agg(F.sum("n")).scalar()
 
     def centred_ranks(side: str) -> DataFrame:
         values = pairs.groupBy(side).agg(F.sum("n").alias("ties"))
-        below = running_total(values, side, "ties", "below", rows=distinct_pairs)
+        below = running_total(values, side, "ties", "below")
         # mid-rank minus the mean rank (n + 1) / 2
         return below.select(side, (F.col("below") + (F.col("ties") - n) / 2.0).alias(f"r{side}"))
 

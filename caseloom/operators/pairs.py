@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseloom import fixed_values as fv
 from caseloom.functions.text import flag_dm_redirect, mentions_brand, reply_dedup_key
 from caseloom.operators.joins import join_lookup
 from caseloom.operators.sampling import first_per_key
@@ -50,8 +53,8 @@ def pair_posts_with_replies(posts: DataFrame, replies: DataFrame,
         replies.alias("reply"), F.expr("post.tweet_id = reply.in_response_to_tweet_id")))
 
 
-def add_dm_flag(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumn("is_dm_redirect", flag_dm_redirect(F.col("apple_reply_text")))
+def add_dm_flag(pairs: DataFrame, patterns: Sequence[str] = fv.DM_REDIRECT_PATTERNS) -> DataFrame:
+    return pairs.withColumn("is_dm_redirect", flag_dm_redirect(F.col("apple_reply_text"), patterns))
 
 
 def author_volume(posts: DataFrame) -> DataFrame:

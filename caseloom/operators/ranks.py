@@ -1,52 +1,51 @@
-"""Global order without a global task.
+"""Global order without a global task, at every size by the same path.
 
-A window without partitions would pull every row into one task.  Here the key
-is cut at its quantiles, rows are numbered inside each range, and the running
-total of the ranges before is added.
+A window without partitions would pull every row into one task.  Here rows are
+range-partitioned and sorted by the key, written once with their place, and
+the totals of the partitions before are added.  Keys may be null (they come
+first), repeat, or be of any type with an order; a hash of the row breaks ties,
+so a key that repeats very often is split as well.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_RANGE, _KEY = "_range", "_range_key"
-
-
-def _cut(df: DataFrame, key: str, ranges: int) -> DataFrame:
-    """Column _range, increasing with the numeric key."""
-    numeric = df.withColumn(_KEY, F.col(key).cast("double"))
-    probabilities = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(numeric.approxQuantile(_KEY, probabilities, 0.1 / ranges)))
-    cut = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol=_KEY, outputCol=_RANGE)
-    return cut.setHandleInvalid("keep").transform(numeric).drop(_KEY)
-
-
-def running_total(df: DataFrame, key: str, amount: str, out: str, rows: int | None = None,
-                  rows_per_range: int = 1_000_000) -> DataFrame:
-    """out = sum of amount over all rows with a smaller key.
-
-    Keys must be unique.  rows is the row count, or a bound of it, if known.
-    """
-    ranges = -(-(df.count() if rows is None else rows) // rows_per_range)
-    if ranges <= 1:  # counted: at most rows_per_range rows meet in the one task
-        below = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.coalesce(F.sum(amount).over(below), F.lit(0)))
-    ranged = _cut(df, key, ranges)
-    inside = Window.partitionBy(_RANGE).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range: this window is as small as the number of ranges.
-    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy(_RANGE).agg(F.sum(amount).alias("_total"))
-               .select(_RANGE, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset")))
-    local = ranged.withColumn("_local", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
-    return (local.join(offsets, _RANGE)
-            .withColumn(out, F.col("_offset") + F.col("_local"))
-            .drop(_RANGE, "_offset", "_local"))
-
-
-def global_row_number(df: DataFrame, key: str, out: str, rows_per_range: int = 1_000_000) -> DataFrame:
-    """1-based position of every row in the order of a unique numeric key."""
-    one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return (running_total(one, key, "_one", out, rows_per_range=rows_per_range)
-            .withColumn(out, F.col(out) + 1).drop("_one"))
+from caseloom.session import materialize
+
+_PLACE, _PART, _TIE, _OFFSET = "_place", "_part", "_tie", "_offset"
+_ROW_BITS = 33  # of monotonically_increasing_id: the rest is the partition
+
+
+def _placed(df: DataFrame, key: str) -> DataFrame:
+    """Rows with their partition in key order and their place inside it."""
+    tied = df.withColumn(_TIE, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    ranged = tied.repartitionByRange(F.col(key), F.col(_TIE)).sortWithinPartitions(F.col(key), F.col(_TIE)).drop(_TIE)
+    table = materialize(ranged.withColumn(_PLACE, F.monotonically_increasing_id()), "ordered")
+    return table.withColumn(_PART, F.shiftright(_PLACE, _ROW_BITS))
+
+
+def _offsets(totals: DataFrame, total: str) -> DataFrame:
+    """Sum of the totals of all partitions before; one row per partition."""
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(_PART, F.coalesce(F.sum(total).over(before), F.lit(0)).alias(_OFFSET))
+
+
+def running_total(df: DataFrame, key: str, amount: str, out: str) -> DataFrame:
+    """out = sum of amount over all rows before, in the order of the key."""
+    placed = _placed(df, key)
+    inside = Window.partitionBy(_PART).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _offsets(placed.groupBy(_PART).agg(F.sum(amount).alias("_total")), "_total")
+    local = placed.withColumn("_local", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+    return (local.join(offsets, _PART).withColumn(out, F.col(_OFFSET) + F.col("_local"))
+            .drop(_PART, _PLACE, _OFFSET, "_local"))
+
+
+def global_row_number(df: DataFrame, key: str, out: str) -> DataFrame:
+    """1-based position of every row in the order of the key; no window, one shuffle."""
+    placed = _placed(df, key)
+    offsets = _offsets(placed.groupBy(_PART).agg(F.count("*").alias("_total")), "_total")
+    inside = F.col(_PLACE).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return (placed.join(offsets, _PART).withColumn(out, F.col(_OFFSET) + inside + 1)
+            .drop(_PART, _PLACE, _OFFSET))

@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.functions.text import truncate_text
-from caseloom.operators.sampling import sample_order
+from caseloom.operators.joins import join_lookup
+from caseloom.operators.sampling import first_per_key, sample_order
+from caseloom.session import materialize
 
 MAX_BROADCAST_FLOATS = 4_000_000  # 32 MB of query vectors in a task
 MAX_CELLS = 1024
@@ -56,9 +58,10 @@ def embed_text(df: DataFrame, col: str, dim: int = 256, fit_on: DataFrame | None
 
 
 def _vectors(df: DataFrame, key: str) -> DataFrame:
-    """id, v: the rows that have a vector."""
-    return df.where(F.col("embedding").isNotNull()).select(
+    """id, v: one row per id that has a vector, the least of its vectors; written once, as it feeds several steps."""
+    rows = df.where(F.col("embedding").isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).cast("bigint").alias("id"), F.col("embedding").alias("v"))
+    return materialize(rows.groupBy("id").agg(F.min("v").alias("v")), "vectors")
 
 
 def _kernels(k: int):
@@ -68,6 +71,8 @@ def _kernels(k: int):
         """A list column as a 2-d array of doubles, without going through Python objects."""
         column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
         flat = column.flatten().to_numpy(zero_copy_only=False)
+        if len(np.unique(np.diff(column.offsets.to_numpy()))) > 1:
+            raise ValueError("vectors of different lengths cannot be compared")
         return flat.astype("float64").reshape(len(column), -1)
 
     def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -200,21 +205,23 @@ def _blocks_to_visit(cells: _Cells, k: int, probes: int | None):
     return visit, first_block, counts
 
 
-def _join_by_block(queries: DataFrame, corpus: DataFrame, k: int, n_queries: int, dim: int, n_cells: int,
+def _join_by_block(queries: DataFrame, corpus: DataFrame, k: int, dim: int, n_cells: int,
                    probes: int | None, seed: int) -> DataFrame:
     celled, cells = _fit_cells(corpus, n_cells, dim, seed)
     visit, first_block, counts = _blocks_to_visit(cells, k, probes)
-    chunks = max(1, -(-n_queries // CHUNK_ROWS))
     matrix, _, nearest = _kernels(k)
 
     def spread(values: np.ndarray):
         return F.array(*[F.lit(int(x)) for x in values])[F.col("cell")]
 
     block = spread(first_block) + F.pmod(F.xxhash64("id"), spread(counts)).cast("int")
-    left = celled.select("id", "v", block.alias("block"),
-                         F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
-    right = queries.select("id", "v", F.explode(visit(F.col("v"))).alias("block"),
-                           F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"))
+    # A block is copied once per CHUNK_ROWS queries that visit it; blocks without visits stay at home.
+    visits = materialize(queries.select("id", "v", F.explode(visit(F.col("v"))).alias("block")), "visits")
+    chunks = visits.groupBy("block").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
+    left = join_lookup(celled.select("id", "v", block.alias("block")), chunks, "block", "inner").select(
+        "id", "v", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    right = join_lookup(visits, chunks, "block", "inner").select(
+        "id", "v", "block", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
 
     def meet(c: pa.Table, q: pa.Table) -> pa.Table:
         if not c.num_rows or not q.num_rows:
@@ -242,7 +249,7 @@ def _knn(queries: DataFrame, corpus: DataFrame, k: int, query_key: str, corpus_k
     else:
         if n_cells is None:
             n_cells = -(-c.count() // BLOCK_ROWS)
-        found = _join_by_block(q, c, k, n_queries, dim, max(1, min(MAX_CELLS, n_cells)), probes, seed)
+        found = _join_by_block(q, c, k, dim, max(1, min(MAX_CELLS, n_cells)), probes, seed)
     return top_k_neighbours(found, k)
 
 
@@ -264,7 +271,8 @@ def attach_precedents(neighbours: DataFrame, corpus: DataFrame,
                       key: str = "customer_tweet_id") -> DataFrame:
     """query_id, precedents: array of structs, nearest first."""
     fields = [F.col(c) for c in ("customer_text", "apple_reply_text", "is_dm_redirect")]
-    payload = corpus.select(F.col(key).alias("corpus_id"), *fields)
+    # an id that repeats stands for one post: one of its rows speaks for it
+    payload = first_per_key(corpus.select(F.col(key).alias("corpus_id"), *fields), [F.col("corpus_id")], fields)
     found = neighbours.join(payload, "corpus_id").select(
         "query_id", F.struct("rank", "distance", F.col("corpus_id").alias("id"), *fields).alias("p"))
     return found.groupBy("query_id").agg(F.array_sort(F.collect_list("p")).alias("precedents"))
@@ -298,5 +306,6 @@ def retrieval_probe(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
         F.col(key).alias("corpus_id"), "is_dm_redirect",
         truncate_text(F.col("customer_text"), fv.PROBE_QUERY_CLIP).alias("matched_text"),
         truncate_text(F.col("apple_reply_text"), fv.EXAMPLE_CLIP).alias("reply_text"))
+    payload = first_per_key(payload, [F.col("corpus_id")], [F.col("matched_text"), F.col("reply_text"), F.col("is_dm_redirect")])
     return found.join(payload, "corpus_id").select(
         "query_id", "rank", "distance", "is_dm_redirect", "matched_text", "reply_text")

@@ -6,6 +6,7 @@ partitioning, any cluster and any other engine.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,9 +22,18 @@ _RANK, _PART = "_rank", "_part"
 MAX_PARTIAL_LIMIT, PER_TASK = 1000, 1 << 20
 
 
-def sample_order(key: str, seed: int = fv.SAMPLE_SEED) -> list[Column]:
-    """Sort columns of the seeded permutation."""
-    return [F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)]
+Key = str | Sequence[str]
+
+
+def key_list(key: Key) -> list[str]:
+    """A row's key: one column, or several where the first one repeats (a post with many replies)."""
+    return [key] if isinstance(key, str) else list(key)
+
+
+def sample_order(key: Key, seed: int = fv.SAMPLE_SEED) -> list[Column]:
+    """Sort columns of the seeded permutation; further key columns break ties."""
+    columns = [F.col(k) for k in key_list(key)]
+    return [F.md5(F.concat_ws(":", columns[0].cast("string"), F.lit(str(seed)))), *columns]
 
 
 def first_per_key(df: DataFrame, keys: list[Column], order_by: list[Column]) -> DataFrame:
@@ -67,19 +77,22 @@ def value_counts(df: DataFrame, bucket: str) -> DataFrame:
 
 
 def stratified_sample(df: DataFrame, bucket: str, target: int = fv.GOLDEN_TARGET,
-                      key: str = "customer_tweet_id", seed: int = fv.SAMPLE_SEED) -> DataFrame:
+                      key: Key = "customer_tweet_id", seed: int = fv.SAMPLE_SEED) -> DataFrame:
     """max(1, target // buckets) rows of every bucket, without replacement."""
     buckets = distinct_buckets(df, bucket).count()
     per_bucket = max(1, target // max(1, buckets))
     return top_n_per_group(df, [F.col(bucket)], sample_order(key, seed), per_bucket)
 
 
-def sample_remainder(df: DataFrame, sample: DataFrame, key: str = "customer_tweet_id") -> DataFrame:
-    return df.join(sample.select(key), key, "left_anti")
+def sample_remainder(df: DataFrame, sample: DataFrame, key: Key = "customer_tweet_id") -> DataFrame:
+    keys = key_list(key)
+    taken = sample.select(*[F.col(k).alias(f"_taken_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_taken_{k}")) for k in keys])
+    return df.join(taken, same, "left_anti")
 
 
 def topup_sample(df: DataFrame, sample: DataFrame, target: int = fv.GOLDEN_TARGET,
-                 key: str = "customer_tweet_id", seed: int = fv.SAMPLE_SEED) -> DataFrame:
+                 key: Key = "customer_tweet_id", seed: int = fv.SAMPLE_SEED) -> DataFrame:
     """Fill the sample up to the target from the rows it left out."""
     drawn = materialize(sample, "sample")
     shortfall = target - drawn.count()
@@ -89,13 +102,27 @@ def topup_sample(df: DataFrame, sample: DataFrame, target: int = fv.GOLDEN_TARGE
     return union_samples(drawn, fixed_size_sample(rest, shortfall, key, seed))
 
 
-def fixed_size_sample(df: DataFrame, n: int, key: str = "customer_tweet_id",
+def fixed_size_sample(df: DataFrame, n: int, key: Key = "customer_tweet_id",
                       seed: int = fv.SAMPLE_SEED) -> DataFrame:
-    """n rows in seeded order; 0 means all rows."""
-    return df.orderBy(*sample_order(key, seed)).limit(n) if n else df
+    """The first n rows of the seeded order; 0 means all rows.
+
+    The keys alone are cut, by a tree over the tasks, to find where the n-th row
+    stands; the rows up to there are then read.  Texts never meet in one task.
+    """
+    return _first_in_order(df, sample_order(key, seed), n) if n else df
+
+
+def _first_in_order(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    names = [F.col(f"_place.o{i}") for i in range(len(order))]
+    first = top_n_per_group(df.select(place.alias("_place")), [F.lit(0)], names, n)
+    last = materialize(first.agg(F.max("_place").alias("_last")), "cut")  # one row
+    near = df.withColumn("_place", place).join(F.broadcast(last), F.col("_place") <= F.col("_last")).drop("_last")
+    # only rows of equal keys can be more than n
+    return top_n_per_group(near, [F.lit(0)], names, n).drop("_place")
 
 
-def shuffle_rows(df: DataFrame, key: str = "customer_tweet_id", seed: int = fv.SAMPLE_SEED) -> DataFrame:
+def shuffle_rows(df: DataFrame, key: Key = "customer_tweet_id", seed: int = fv.SAMPLE_SEED) -> DataFrame:
     """Seeded permutation, by a distributed sort."""
     return df.orderBy(*sample_order(key, seed))
 
@@ -108,11 +135,12 @@ def spread_sample(df: DataFrame, score: str, n: int = fv.HUMAN_SAMPLE_SIZE,
     request the parts overlap, and every id is returned once.
     """
     third = n // 3
-    low = df.orderBy(F.asc_nulls_first(score), F.col(key)).limit(max(third, 1))
-    high = df.orderBy(F.desc_nulls_last(score), F.desc(key)).limit(max(third, 1))
+    known = F.coalesce(F.col(score).cast("double"), F.lit(float("-inf")))
+    low = _first_in_order(df, [known, F.col(key)], max(third, 1))
+    high = _first_in_order(df, [-known, -F.col(key)], max(third, 1))
     ends = materialize(unique_by_id(union_samples(low, high), key), "spread")
     middle = fixed_size_sample(not_in_set(df, ends, key=key), n - 2 * third, key, seed)
-    return union_samples(ends, middle)
+    return unique_by_id(union_samples(ends, middle), key)
 
 
 def union_samples(*parts: DataFrame) -> DataFrame:

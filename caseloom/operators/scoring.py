@@ -24,6 +24,7 @@ from caseloom.operators.joins import join_lookup
 from caseloom.operators.pairs import exclude_golden
 from caseloom.operators.ranks import global_row_number
 from caseloom.operators.sampling import head_per_intent
+from caseloom.session import materialize
 from caseloom.sources.tables import RESPONSE_CACHE
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -140,8 +141,11 @@ def score_requests(requests: DataFrame, cache: DataFrame | None, scorer: Scorer,
 
 def pack_batches(df: DataFrame, key: str = "customer_tweet_id", text: str = "customer_text",
                  size: int = fv.BATCH_SIZE) -> DataFrame:
-    """batch, ids, texts: groups of size consecutive rows in id order."""
-    numbered = global_row_number(df.select(key, text), key, "_pos")
+    """batch, ids, texts: groups of size consecutive rows in id order; ids may be null or repeat."""
+    return _packed(global_row_number(df.select(key, text), key, "_pos"), key, text, size)
+
+
+def _packed(numbered: DataFrame, key: str, text: str, size: int) -> DataFrame:
     batch = F.floor((F.col("_pos") - 1) / size).cast("bigint").alias("batch")
     rows = F.array_sort(F.collect_list(F.struct("_pos", key, text))).alias("rows")
     packed = numbered.groupBy(batch).agg(rows)
@@ -158,14 +162,16 @@ def classify_intents(posts: DataFrame, scorer: Scorer, labels: Sequence[str] = f
     The agent uses the catch-all as fallback; the stand-alone classifier uses
     fallback="FAILED" with on_bad_item="reject".
     """
-    batches = pack_batches(posts, key, text, size)
-    requests = make_requests(batches.select("ids", "texts"), system or classify_system(brand, labels),
+    # The position stands for the row: ids may repeat.
+    numbered = materialize(global_row_number(posts, key, "_pos"), "numbered")
+    batches = _packed(numbered, key, text, size)
+    requests = make_requests(batches, system or classify_system(brand, labels),
                              numbered_prompt(F.col("texts")), model)
     scored = score_requests(requests, cache, scorer, store=store)
     named = parse_label_array(F.col("response"), labels, F.size("ids"), fallback, on_bad_item)
-    rows = scored.select(F.explode(F.arrays_zip(F.col("ids").alias(key), named.alias("intent"))).alias("r"))
-    predicted = rows.select(F.col(f"r.{key}").alias(key), F.col("r.intent").alias("predicted_intent"))
-    return posts.join(predicted, key, "left").withColumn(
+    rows = scored.select("batch", F.posexplode(named).alias("_at", "predicted_intent"))
+    predicted = rows.select((F.col("batch") * size + F.col("_at") + 1).alias("_pos"), "predicted_intent")
+    return numbered.join(predicted, "_pos", "left").drop("_pos").withColumn(
         "predicted_intent", F.coalesce("predicted_intent", F.lit(fallback)))
 
 

@@ -20,10 +20,12 @@ def golden_template(pairs: DataFrame, target: int = fv.GOLDEN_TARGET, seed: int
     """Stratified sample with blank labels, in shuffled order."""
     bucket = bucket_intent(F.col("customer_text"), rules, default).alias("_stratify_bucket")
     # The rules run once over all texts; the draws then work on ids and buckets alone.
-    buckets = materialize(pairs.select("customer_tweet_id", bucket), "buckets")
-    sample = s.stratified_sample(buckets, "_stratify_bucket", target, seed=seed)
-    drawn = s.topup_sample(buckets, sample, target, seed=seed)
-    blank = c.add_blank_labels(s.shuffle_rows(pairs.join(drawn, "customer_tweet_id"), seed=seed))
+    # A post with several replies is several rows: the reply's id tells them apart.
+    keys = [k for k in ("customer_tweet_id", "apple_tweet_id") if k in pairs.columns]
+    buckets = materialize(pairs.select(*keys, bucket), "buckets")
+    sample = s.stratified_sample(buckets, "_stratify_bucket", target, keys, seed)
+    drawn = s.topup_sample(buckets, sample, target, keys, seed)
+    blank = c.add_blank_labels(s.shuffle_rows(pairs.join(drawn, keys), keys, seed))
     return c.project_columns(blank, fv.GOLDEN_TEMPLATE_COLUMNS)
 
 

@@ -11,6 +11,7 @@ from caseloom import fixed_values as fv
 from caseloom.functions.rules import RoutingRules, route_decision
 from caseloom.functions.text import over_limit, precedent_summary
 from caseloom.operators.retrieval import find_precedents, join_precedents
+from caseloom.operators.sampling import fixed_size_sample
 from caseloom.operators.scoring import Scorer, classify_intents, draft_replies
 from caseloom.session import materialize
 
@@ -19,18 +20,20 @@ def run_triage(posts: DataFrame, corpus: DataFrame, classifier: Scorer, drafter:
                cache: DataFrame | None = None, brand: str = "the brand",
                labels: Sequence[str] = fv.INTENTS, fallback: str = fv.CATCH_ALL,
                rules: RoutingRules = RoutingRules(), k: int = fv.TOP_K, approximate: bool = False,
-               store: str | None = None, keep_precedents: bool = False) -> DataFrame:
+               store: str | None = None, keep_precedents: bool = False, sample: int = 0) -> DataFrame:
     """classify -> retrieve -> route -> draft.
 
     posts and corpus carry customer_tweet_id and "embedding".  Retrieval comes
-    before routing because routing counts how the precedents were handled.
+    before routing because routing counts how the precedents were handled.  One row
+    per row of posts, also where ids repeat.  sample runs that many posts
+    (fixed_values.RUN_SAMPLE_SIZE is the usual number), 0 all of them.
     """
-    texts = posts.select("customer_tweet_id", "customer_text")
-    intents = classify_intents(texts, classifier, labels, fallback, cache, brand=brand,
-                               store=store and f"{store}/classify").drop("customer_text")
+    posts = fixed_size_sample(posts, sample)
+    classified = classify_intents(posts, classifier, labels, fallback, cache, brand=brand,
+                                  store=store and f"{store}/classify")
     # The search feeds both the drafts and the result, and must not run twice.
     found = materialize(find_precedents(posts, corpus, k, approximate=approximate), "precedents")
-    grounded = join_precedents(posts.drop("embedding"), found).join(intents, "customer_tweet_id")
+    grounded = join_precedents(classified.drop("embedding"), found)
     decision = route_decision(F.col("customer_text"), F.col("precedents"), rules)
     routed = (grounded.withColumn("_d", decision)
               .withColumn("routing_decision", F.col("_d.routing"))

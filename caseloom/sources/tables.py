@@ -61,9 +61,12 @@ def scan_csv_table(spark: SparkSession, path: str, schema: T.StructType,
     return header.select([header[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def scan_raw_posts(spark: SparkSession, path: str) -> DataFrame:
-    """The raw export; of its columns only the five that are used."""
-    return scan_csv_table(spark, path, RAW_POSTS)
+def scan_raw_posts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The raw export; of its columns only the five that are used.
+
+    multi_line=False, for exports without line breaks inside quotes, lets many tasks share a file.
+    """
+    return scan_csv_table(spark, path, RAW_POSTS, multi_line)
 
 
 def scan_optional_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

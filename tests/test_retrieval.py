@@ -125,3 +125,35 @@ def test_embedding(spark):
     assert np.allclose(got[0], got[1]) and np.isclose(np.linalg.norm(got[2]), 1)
     assert not got[3].any() and not got[4].any()
     assert got[0] @ got[2] < 0.5
+
+
+def test_repeated_ids_count_once(spark):
+    from caseloom.operators.retrieval import knn_exact
+    q = spark.createDataFrame([(1, [0.0, 0.0]), (1, [0.0, 0.0])], "id long, embedding array<float>")
+    c = spark.createDataFrame([(i % 5, [float(i % 5), 0.0]) for i in range(20)], "id long, embedding array<float>")
+    for options in ({}, {"n_cells": 2}):
+        got = knn_exact(q, c, 3, **options).orderBy("rank").collect()
+        assert [(r.query_id, r["rank"], r.corpus_id) for r in got] == [(1, 1, 0), (1, 2, 1), (1, 3, 2)]
+
+
+def test_vectors_of_mixed_length_are_refused(spark):
+    from caseloom.operators.retrieval import knn_exact
+    q = spark.createDataFrame([(1, [0.0, 0.0])], "id long, embedding array<float>")
+    c = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [1.0])], "id long, embedding array<float>").coalesce(1)
+    with pytest.raises(Exception, match="different lengths"):
+        knn_exact(q, c, 1).collect()
+
+
+def test_only_visited_blocks_are_copied(spark):
+    from caseloom.operators import retrieval as r
+    c = spark.range(200).selectExpr("id", "array(cast(id % 20 as float), cast(id as float)) as embedding")
+    seen = []
+    whole = r.join_lookup
+    r.join_lookup = lambda rows, lookup, *a, **k: seen.append(whole(rows, lookup, *a, **k)) or seen[-1]
+    size, r.CHUNK_ROWS = r.CHUNK_ROWS, 10
+    try:
+        r.knn_approx(c, c, 3, n_cells=8, probes=1).collect()
+        left = seen[0].selectExpr("sum(chunks)").first()[0]
+    finally:
+        r.join_lookup, r.CHUNK_ROWS = whole, size
+    assert left < 200 * 8

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.operators import sampling as s
+from caseloom.plans.curate import golden_template
 from caseloom.operators.ranks import global_row_number, running_total
 
 
@@ -83,13 +84,39 @@ def test_set_operations(spark):
     assert keys(s.sample_remainder(a, b)) == [0, 1, 2]
 
 
-@pytest.mark.parametrize("rows_per_range", [10, 64, 10_000])
-def test_global_order_in_ranges(spark, rows_per_range):
+def test_global_order(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1000 - 500).alias("k"), (F.col("id") % 3).alias("amount"))
-    numbered = global_row_number(df, "k", "pos", rows_per_range).orderBy("k").collect()
+    numbered = global_row_number(df, "k", "pos").orderBy("k").collect()
     assert [r.pos for r in numbered] == list(range(1, 1001))
-    totals = running_total(df, "k", "amount", "below", rows_per_range=rows_per_range).orderBy("k").collect()
+    totals = running_total(df, "k", "amount", "below").orderBy("k").collect()
     below = 0
     for r in totals:
         assert r.below == below
         below += r.amount
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_global_order_of_null_and_repeated_keys(spark, kind):
+    rows = [(None, 1), (3, 2), (3, 2), (3, 4), (None, 5), (1, 6)] + [(7, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k bigint, v int").withColumn("k", F.col("k").cast(kind))
+    got = global_row_number(df, "k", "pos").orderBy("pos").collect()
+    assert [r.pos for r in got] == list(range(1, 507))
+    assert [r.k for r in got] == sorted((r.k for r in df.collect()), key=lambda k: (k is not None, k or 0))
+
+
+def test_golden_template_with_several_replies_per_post(spark):
+    pairs = spark.range(400).select((F.col("id") % 200).alias("customer_tweet_id"), F.concat(F.lit("text "), "id").alias("customer_text"),
+                                    F.col("id").alias("apple_tweet_id"), F.lit("reply").alias("apple_reply_text"), F.lit(False).alias("is_dm_redirect"))
+    assert golden_template(pairs, target=100).count() == 100
+
+
+def test_spread_sample_is_unique_by_id(spark):
+    df = spark.range(60).select((F.col("id") % 40).alias("customer_tweet_id"), F.col("id").cast("double").alias("score"))
+    ids = [r.customer_tweet_id for r in s.spread_sample(df, "score", 25).collect()]
+    assert len(ids) == len(set(ids))
+
+
+def test_fixed_size_sample_is_the_start_of_the_order(spark):
+    df = spark.range(300).select((F.col("id") % 100).alias("customer_tweet_id"), F.lit("long text").alias("text"))
+    want = [r.customer_tweet_id for r in df.orderBy(*s.sample_order("customer_tweet_id")).limit(10).collect()]
+    assert sorted(r.customer_tweet_id for r in s.fixed_size_sample(df, 10).collect()) == sorted(want)

@@ -169,3 +169,20 @@ def test_suggest_and_judge(spark):
         '```json\n{"relevance": 5, "groundedness": 4, "tone": 3}\n```'))
     judged = sc.judge_replies(df, seen).first()
     assert (judged.judge_relevance, judged.judge_groundedness, judged.judge_tone) == (5, 4, 3)
+
+
+def test_repeated_and_null_ids_keep_their_rows(spark):
+    from caseloom.operators.scoring import classify_intents, column_scorer, pack_batches
+    from pyspark.sql import functions as F
+    posts = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, None)], "customer_tweet_id long, customer_text string")
+    assert sum(len(r.ids) for r in pack_batches(posts, size=2).collect()) == 5
+    scorer = column_scorer(lambda system, prompt: F.lit("[]"))
+    out = classify_intents(posts, scorer, ["x", "y"], "y", size=2).collect()
+    assert sorted((r.customer_tweet_id or 0, r.customer_text or "") for r in out) == [(0, ""), (0, "d"), (1, "a"), (1, "b"), (2, "c")]
+
+
+def test_requests_with_null_parts_stay_apart(spark):
+    from caseloom.functions.text import request_key
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([("a", None), (None, "a"), ("a", ""), ("", "a"), (None, None)], "x string, y string")
+    assert rows.select(request_key(F.col("x"), F.col("y")).alias("k")).distinct().count() == 5
