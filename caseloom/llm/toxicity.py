@@ -23,8 +23,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
@@ -39,7 +37,7 @@ PREFIXES = (4, 5, 6, 7, 8)
 WORST = 3  # sentences that a document's score looks at
 HARD, OTHER = 3, 3  # sentences of a document the fit sees: the most telling ones, and others
 REG, ROOT_FLOOR = 1e-3, 1e-2
-WORDS_AT_ONCE, CHARS_AT_ONCE = 8_000, 6 << 20  # bound what a Python worker holds
+WORDS_AT_ONCE, CHARS_AT_ONCE = 8_000, 2 << 20  # bound what a Python worker holds
 LEAST_LIKENESS = 0.3  # less counts as none
 
 _SPREAD = re.compile(r"(?:^|\s)\S\s+\S\s+\S(?:\s|$)")
@@ -91,9 +89,13 @@ class Kernel:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         return tuple(np.concatenate(x) for x in zip(*parts))
 
-    def rows(self, words: list[str]) -> np.ndarray:
-        """Likeness of each word to each landmark: shared triples, as a share of the landmark's own."""
-        out = np.zeros((len(words), len(self.landmarks)), np.float32)
+    def rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Likeness of words to each landmark: shared triples, as a share of the landmark's own.
+
+        Row 0 is zero and stands for all words that are like no landmark; the
+        second result is each word's row.
+        """
+        found, row, n = [np.zeros((1, len(self.landmarks)), np.float32)], np.zeros(len(words), np.int64), 1
         for low in range(0, len(words), WORDS_AT_ONCE):
             own, codes, weights = self._triples(words[low: low + WORDS_AT_ONCE])
             triple = self.place[codes]
@@ -103,9 +105,13 @@ class Kernel:
                 order = np.argsort(own, kind="stable")
                 own, terms = own[order], self.phi[triple[order]] * weights[order, None]
                 first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                out[low + own[first]] = np.add.reduceat(terms, first, axis=0)
-        out[out < LEAST_LIKENESS] = 0
-        return np.minimum(out, 1.25)
+                alike = np.minimum(np.add.reduceat(terms, first, axis=0), 1.25)
+                alike[alike < LEAST_LIKENESS] = 0
+                some = alike.any(axis=1)
+                found.append(alike[some])
+                row[low + own[first[some]]] = np.arange(n, n + len(found[-1]))
+                n += len(found[-1])
+        return np.concatenate(found), row
 
 
 def sentences(kernel: Kernel, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -127,16 +133,16 @@ def sentences(kernel: Kernel, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     plain = [_PLAIN.sub("", p) for p in own]
     there = np.fromiter(map(bool, plain), bool, len(plain))
     ends = np.fromiter((p.endswith((".", "!", "?")) for p in own), bool, len(own))
-    rows = kernel.rows(plain)
+    rows, row = kernel.rows(plain)
     # a piece begins a sentence if it begins a document or follows an end
     begins = np.r_[True, (doc[1:] != doc[:-1]) | ends[word[:-1]]] if len(word) else np.zeros(0, bool)
     sentence = np.cumsum(begins) - 1
     number = int(sentence[-1]) + 1 if len(word) else 0
     of_doc = doc[begins]
     likeness = np.zeros((number, rows.shape[1]), np.float32)
-    telling = np.flatnonzero((rows.max(axis=1, initial=0) > 0)[word]) if len(word) else np.zeros(0, np.int64)
+    telling = np.flatnonzero(row[word])
     if len(telling):
-        at, hit = sentence[telling], word[telling]
+        at, hit = sentence[telling], row[word[telling]]
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         for low in range(0, len(first), 5_000):  # bounds the gathered rows
             x, y = first[low], first[low + 5_000] if low + 5_000 < len(first) else len(hit)
@@ -269,12 +275,17 @@ def _document_rows(model: Model, column: str, out: str, finish):
         for batch in chain.from_iterable(map(_parts, batches)):
             rows = model.document_rows(kernel, batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column(column), finish(rows)], [column, out])
+            pa.default_memory_pool().release_unused()  # what a slice took, before the next one
 
     return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> Model | None:
     """A model of the label toxic; None when the sample does not hold both labels."""
+    # not at the top: Python workers import this module and never fit
+    from pyspark.ml.classification import LinearSVC, LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
     sample = training_docs(docs, labels, max_docs)
     landmarks = _landmarks(sample)
     if not landmarks:
