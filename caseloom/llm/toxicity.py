@@ -164,9 +164,14 @@ def _spread(text: str) -> str:
     return " ".join(out)
 
 
+def _texts(batch: pa.RecordBatch) -> pa.Array:
+    """The column text, or that field of the rows in doc: a text is sent to a worker once."""
+    return batch.column("text") if "text" in batch.schema.names else pc.struct_field(batch.column("doc"), "text")
+
+
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about CHARS_AT_ONCE bytes of text."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(_texts(batch)), 0).to_numpy(zero_copy_only=False))
     low = 0
     while low < batch.num_rows:
         high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + CHARS_AT_ONCE, "right")))
@@ -252,7 +257,7 @@ def _sampled_sentences(kernel: Kernel, n_telling: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chain.from_iterable(map(_parts, batches)):
             toxic = np.array(batch.column("toxic").to_pylist())
-            doc, likeness = sentences(kernel, batch.column("text"))
+            doc, likeness = sentences(kernel, _texts(batch))
             evidence = likeness[:, :n_telling].max(axis=1, initial=0)
             order = np.lexsort((-evidence, doc))
             doc, likeness, evidence = doc[order], likeness[order], evidence[order]
@@ -273,7 +278,7 @@ def _document_rows(model: Model, column: str, out: str, finish):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = Kernel(model.landmarks)
         for batch in chain.from_iterable(map(_parts, batches)):
-            rows = model.document_rows(kernel, batch.column("text"))
+            rows = model.document_rows(kernel, _texts(batch))
             yield pa.RecordBatch.from_arrays([batch.column(column), finish(rows)], [column, out])
             pa.default_memory_pool().release_unused()  # what a slice took, before the next one
 
@@ -306,11 +311,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -
     return model
 
 
-def with_score(packed: DataFrame, text: str, model: Model | None) -> DataFrame:
-    """The column doc and its score; without a model every score is 0."""
+def with_score(rows: DataFrame, model: Model | None) -> DataFrame:
+    """The column doc and its score, of the column text or else of doc.text; without a model every score is 0."""
     if model is None:
-        return packed.select("doc", F.lit(0.0).alias("score"))
-    rows = packed.select("doc", F.col(text).alias("text"))
+        return rows.select("doc", F.lit(0.0).alias("score"))
     kind = StructType([rows.schema["doc"]]).add("score", DoubleType())
     return rows.mapInArrow(_document_rows(model, "doc", "score", lambda r: pa.array(model.score(r))), kind)
 
@@ -323,7 +327,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAI
     with no labels, or one label only, every score is 0; extra columns are ignored.
     """
     model = fit(docs, labels, max_docs)
-    rows = with_score(docs.select(F.struct(F.col("doc_id"), F.col("text")).alias("doc")), "doc.text", model)
+    rows = with_score(docs.select(F.struct(F.col("doc_id")).alias("doc"), "text"), model)
     return rows.select(F.col("doc.doc_id").alias("doc_id"), held_out(F.col("doc.doc_id")).alias("held_out"), "score",
                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -331,4 +335,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAI
 def drop_toxic(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> DataFrame:
     """Rows whose text scores below 0.5, all columns as they came."""
     model = fit(docs, labels, max_docs)
-    return unpack(with_score(pack(docs), "doc.text", model).where(F.col("score") < 0.5).select("doc"))
+    return unpack(with_score(pack(docs), model).where(F.col("score") < 0.5).select("doc"))
