@@ -61,10 +61,22 @@ def knn_join(spark, sf):
     return found.select("query_id", "corpus_id", F.round("distance", 6).alias("distance"))
 
 
-@query("knn_approx")
+# Centres: the first 16 ids by md5; a query looks into the cells of its 4 nearest centres.
+@query("knn_approx", f"""WITH first AS (SELECT vec_id, embedding::DOUBLE[] AS v,
+ row_number() OVER (ORDER BY md5(vec_id || ':{fv.SAMPLE_SEED}'), vec_id) AS c FROM embeddings QUALIFY c <= 16),
+centres AS (SELECT c, v FROM first QUALIFY row_number() OVER (PARTITION BY v ORDER BY c) = 1),
+reach AS (SELECT e.vec_id, c, list_sum(list_transform(list_zip(e.embedding::DOUBLE[], v), lambda z: pow(z[1] - z[2], 2))) AS d
+ FROM embeddings e CROSS JOIN centres),
+cells AS (SELECT vec_id AS corpus_id, c FROM reach QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1),
+visits AS (SELECT vec_id AS query_id, c FROM reach WHERE c IN (SELECT c FROM cells)
+ QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) <= 4)
+SELECT query_id, corpus_id, round(distance, 6) AS distance,
+ row_number() OVER (PARTITION BY query_id ORDER BY a.distance, corpus_id) AS rank
+FROM ({ALL_DISTANCES}) a JOIN cells USING (corpus_id) JOIN visits USING (query_id, c) QUALIFY rank <= 3""")
 def knn_approx(spark, sf):
     v = t.table(spark, sf, "embeddings")
-    return r.knn_approx(v, v, 3, "vec_id", "vec_id", n_cells=16, probes=4)
+    found = r.knn_approx(v, v, 3, "vec_id", "vec_id", n_cells=16, probes=4)
+    return found.withColumn("distance", F.round("distance", 6))
 
 
 @query("knn_approx_every_cell", f"""SELECT query_id, corpus_id, round(distance, 6) AS distance, rank FROM (SELECT *,

@@ -10,6 +10,7 @@ fetched for the final neighbours alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,23 +18,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.functions.text import truncate_text
 from caseloom.operators.joins import join_lookup
-from caseloom.operators.sampling import first_per_key, sample_order
+from caseloom.operators.sampling import first_per_key, fixed_size_sample, sample_order
 from caseloom.session import materialize
 
 MAX_BROADCAST_FLOATS = 4_000_000  # 32 MB of query vectors in a task
-MAX_CELLS = 1024
 BLOCK_ROWS = 8192
 CHUNK_ROWS = 8192
-TRAIN_ROWS_PER_CELL = 64
+DISTANCES_AT_ONCE = 4_000_000  # of queries to centres, in a task
 
 _FOUND = "query_id bigint, corpus_id bigint, distance double"
 
@@ -132,9 +131,18 @@ def _scan_with_broadcast(queries: DataFrame, corpus: DataFrame, k: int) -> DataF
     return corpus.mapInArrow(scan, _FOUND)
 
 
+def cell_count(n_rows: int) -> int:
+    """Cells of a block each, and as many as the root of the rows once that is fewer.
+
+    From there on cells grow with the root of the corpus too, so what a query
+    compares itself with grows more slowly than the corpus at every size.
+    """
+    return max(1, min(-(-n_rows // BLOCK_ROWS), math.isqrt(n_rows)))
+
+
 @dataclass(frozen=True)
 class _Cells:
-    """Centres of the corpus cells with their extent; at most MAX_CELLS rows."""
+    """Centres of the corpus cells with their extent; see cell_count for their number."""
 
     centers: np.ndarray
     rows: np.ndarray
@@ -159,14 +167,15 @@ def _nearest_cell(centers: np.ndarray):
 
 
 def _fit_cells(corpus: DataFrame, n_cells: int, dim: int, seed: int) -> tuple[DataFrame, _Cells]:
-    """Cell of every corpus row.  Only the placing of centres uses a sample."""
-    if n_cells == 1:
-        centers = np.zeros((1, dim))
-    else:
-        sample = corpus.orderBy(*sample_order("id", seed)).limit(n_cells * TRAIN_ROWS_PER_CELL)
-        model = (KMeans(k=n_cells, seed=seed, maxIter=5)
-                 .fit(sample.select(array_to_vector("v").alias("features"))))
-        centers = np.stack(model.clusterCenters())
+    """Cell of every corpus row.
+
+    The centres are the vectors of the first n_cells rows of the seeded order,
+    equal ones once: nothing is fitted, and any engine finds the same cells.
+    """
+    first = [] if n_cells == 1 else (
+        fixed_size_sample(corpus, n_cells, "id", seed).orderBy(*sample_order("id", seed)).select("v").collect())
+    distinct = list(dict.fromkeys(tuple(r["v"]) for r in first))
+    centers = np.array(distinct, "float64") if distinct else np.zeros((1, dim))
     celled = corpus.withColumn("at", _nearest_cell(centers)(F.col("v"))).select(
         "id", "v", F.col("at.cell").alias("cell"), F.col("at.reach").alias("reach"))
     stats = celled.groupBy("cell").agg(F.count("*").alias("rows"), F.max("reach").alias("radius")).collect()
@@ -177,7 +186,7 @@ def _fit_cells(corpus: DataFrame, n_cells: int, dim: int, seed: int) -> tuple[Da
 
 
 def _blocks_to_visit(cells: _Cells, k: int, probes: int | None):
-    """UDF: the blocks a query has to look into.
+    """UDFs: the blocks a query has to look into, and the block of a corpus row.
 
     probes=None keeps every cell that can hold one of the k nearest: its
     nearest possible point is no farther than a radius known to enclose k rows.
@@ -185,36 +194,52 @@ def _blocks_to_visit(cells: _Cells, k: int, probes: int | None):
     centers, rows, radius = cells.centers, cells.rows, cells.radius
     counts = cells.blocks_per_cell()
     first_block = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    blocks = [np.arange(f, f + n, dtype="int32") for f, n in zip(first_block, counts)]
+    lengths = np.sqrt((centers * centers).sum(1))
+
+    def cells_of(x: np.ndarray) -> np.ndarray:
+        """Queries by cells: whether to look there."""
+        own = np.sqrt((x * x).sum(1))
+        d = np.sqrt(np.maximum((own ** 2)[:, None] + (lengths ** 2)[None, :] - 2.0 * (x @ centers.T), 0.0))
+        d[:, rows == 0] = np.inf
+        if probes is not None:
+            nearest = np.argsort(d, axis=1, kind="stable")[:, :probes]
+            chosen = np.zeros(d.shape, bool)
+            np.put_along_axis(chosen, nearest, True, axis=1)
+            return chosen & (rows > 0)
+        far = d + radius
+        order = np.argsort(far, axis=1)
+        enough = (np.cumsum(rows[order], axis=1) < k).sum(axis=1)  # cells before the one that brings k rows
+        last = np.take_along_axis(order, np.minimum(enough, len(rows) - 1)[:, None], axis=1)
+        limit = np.where(enough < len(rows), np.take_along_axis(far, last, axis=1)[:, 0], np.inf)
+        slack = 1e-6 * (1.0 + own + lengths.max())  # the matrix product rounds
+        return (d - radius <= (limit + slack)[:, None]) & (rows > 0)
 
     @F.pandas_udf("array<int>")
     def visit(v: pd.Series) -> pd.Series:
-        out = []
-        for x in v:
-            d = np.sqrt(((centers - x) ** 2).sum(1))
-            if probes is None:
-                order = np.argsort(d + radius)
-                enough = np.searchsorted(np.cumsum(rows[order]), k)
-                limit = np.inf if enough >= len(order) else (d + radius)[order[enough]]
-                chosen = np.flatnonzero((d - radius <= limit + 1e-9) & (rows > 0))
-            else:
-                chosen = [i for i in np.argsort(d) if rows[i] > 0][:probes]
-            out.append(np.concatenate([blocks[i] for i in chosen]) if len(chosen) else np.empty(0, "int32"))
-        return pd.Series(out)
+        out, step = [], max(1, DISTANCES_AT_ONCE // len(rows))
+        for low in range(0, len(v), step):
+            x = np.stack(v.iloc[low:low + step].to_numpy()).astype("float64")
+            at, cell = np.nonzero(cells_of(x))
+            n = counts[cell]
+            blocks = np.repeat(first_block[cell] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            sizes = np.bincount(at, weights=n, minlength=len(x)).astype("int64")
+            out += np.split(blocks.astype("int32"), np.cumsum(sizes)[:-1])
+        return pd.Series(out, dtype=object)
 
-    return visit, first_block, counts
+    @F.pandas_udf("int")
+    def home(cell: pd.Series, h: pd.Series) -> pd.Series:
+        at = cell.to_numpy()
+        return pd.Series((first_block[at] + h.to_numpy() % counts[at]).astype("int32"))
+
+    return visit, home
 
 
 def _join_by_block(queries: DataFrame, corpus: DataFrame, k: int, dim: int, n_cells: int,
                    probes: int | None, seed: int) -> DataFrame:
     celled, cells = _fit_cells(corpus, n_cells, dim, seed)
-    visit, first_block, counts = _blocks_to_visit(cells, k, probes)
+    visit, home = _blocks_to_visit(cells, k, probes)
     matrix, _, nearest = _kernels(k)
-
-    def spread(values: np.ndarray):
-        return F.array(*[F.lit(int(x)) for x in values])[F.col("cell")]
-
-    block = spread(first_block) + F.pmod(F.xxhash64("id"), spread(counts)).cast("int")
+    block = home("cell", F.xxhash64("id"))
     # A block is copied once per CHUNK_ROWS queries that visit it; blocks without visits stay at home.
     visits = materialize(queries.select("id", "v", F.explode(visit(F.col("v"))).alias("block")), "visits")
     chunks = visits.groupBy("block").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
@@ -248,8 +273,8 @@ def _knn(queries: DataFrame, corpus: DataFrame, k: int, query_key: str, corpus_k
         found = _scan_with_broadcast(q, c, k)
     else:
         if n_cells is None:
-            n_cells = -(-c.count() // BLOCK_ROWS)
-        found = _join_by_block(q, c, k, dim, max(1, min(MAX_CELLS, n_cells)), probes, seed)
+            n_cells = cell_count(c.count())
+        found = _join_by_block(q, c, k, dim, max(1, n_cells), probes, seed)
     return top_k_neighbours(found, k)
 
 
