@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import fingerprints, licenses, minhash, mixing, neighbours, packing, pii, sharding, toxicity, urls
+from caseloom.llm import fingerprints, licenses, minhash, mixing, neighbours, packing, pii, sentencepieces, sharding, toxicity, urls
 from caseloom.llm.common import SEED, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,9 @@ def op9_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences found in every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op13_sentencepiece")
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text that they decode to, as digests."""
+    return sentencepieces.encode(table(spark, sf_dir, "documents"))
