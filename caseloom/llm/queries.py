@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import fingerprints, licenses, minhash, mixing, neighbours, packing, pii, sentencepieces, sharding, toxicity, urls
+from caseloom.llm import conversations, fingerprints, licenses, minhash, mixing, neighbours, packing, pii, sentencepieces, sharding, toxicity, urls
 from caseloom.llm.common import SEED, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,10 @@ def op8_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text that they decode to, as digests."""
     return sentencepieces.encode(table(spark, sf_dir, "documents"))
+
+
+@query("op12_path_ranking")
+def op12_path_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every conversation after damage."""
+    chats = table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damage(chats), chats)
