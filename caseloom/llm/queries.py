@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import conversations, fingerprints, licenses, minhash, mixing, neighbours, packing, pii, sentencepieces, sharding, toxicity, urls
+from caseloom.llm import conversations, fingerprints, licenses, minhash, mixing, negatives, neighbours, packing, pii, sentencepieces, sharding, toxicity, urls
 from caseloom.llm.common import SEED, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,32 @@ def op12_path_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and the cheapest repair of every conversation after damage."""
     chats = table(spark, sf_dir, "conversations")
     return conversations.repair(conversations.damage(chats), chats)
+
+
+#: Every hundredth vector is an anchor; every seventh has the label after its own.
+ANCHOR_STEP, SHIFTED_STEP, LABELS = 100, 7, 10
+
+OP11_SQL = f"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % {SHIFTED_STEP} = 0 THEN (label + 1) % {LABELS} ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM rows a JOIN rows c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % {ANCHOR_STEP} = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= {negatives.POSITIVES})
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INT AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND {negatives.LOW} * positive_score <= 100 * score AND 100 * score <= {negatives.HIGH} * positive_score
+QUALIFY rank <= {negatives.NEGATIVES}"""
+
+
+@query("op11_cover_tree", OP11_SQL)
+def op11_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every hundredth vector."""
+    shifted = F.when(F.col("vec_id") % SHIFTED_STEP == 0, (F.col("label") + 1) % LABELS).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % ANCHOR_STEP == 0, shifted)
