@@ -9,20 +9,23 @@ piece become their UTF-8 bytes.
 
 A merge can never span two characters that stand side by side in no piece.
 Texts are therefore cut there first, and a worker merges a stretch that comes
-again (most words do) only once; its memory of stretches is emptied when full.
+again (most words do) only once; its memory of stretches forgets what was not met for long.
 
-Every text of an Arrow batch is also encoded and decoded by the sentencepiece
-library, and the column `agrees` says whether ids and decoded text are the same.
-The rows always come from the agenda.
+In every Arrow batch the sentencepiece library encodes the stretches that were
+merged there and decodes the ids of every whole text; the column `agrees` says
+whether it has the same ids and the same text.  The rows always come from the
+agenda.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain, pairwise, repeat
 from operator import add
 
 import public_tokenizers
@@ -34,9 +37,12 @@ from pyspark.sql import functions as F
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"  # stands for a blank inside pieces
 BPE_TYPE = 2
-STRETCHES_KEPT = 400_000  # in a worker's memory
+STRETCHES_KEPT = 600_000  # in a worker's memory
 PLACE_BITS = 40
 PLACES = (1 << PLACE_BITS) - 1
+SYMBOL_BITS = 24
+SYMBOLS = (1 << SYMBOL_BITS) - 1
+NO_PAIR = 1 << 62
 LONG_STRETCH = 48  # characters; longer ones are cut further and not remembered
 
 
@@ -88,35 +94,51 @@ class Codec:
         self.byte_of = {i: int(self.pieces[i][3:5], 16) for i, kind in enumerate(types) if kind == 6}
         self.byte_ids = {b: i for i, b in self.byte_of.items()}
         self.control = {i for i, kind in enumerate(types) if kind == 3}
+        # what stands for an id in a text; bytes of longer characters as lone surrogates until they are joined
+        self.surface = [p.replace(SPACE, " ") for p in self.pieces]
+        for i, b in self.byte_of.items():
+            self.surface[i] = chr(b) if b < 128 else chr(0xDC00 + b)
+        self.plain_text = {*plain, *self.byte_of}
+        # numbers of symbols: pieces by their ids, other characters of pieces after them
+        single = {c for p in self.ids for c in p} - set(self.ids)
+        every = {**self.ids, **{c: len(self.pieces) + k for k, c in enumerate(sorted(single))}}
+        self.symbol = {c: i for c, i in every.items() if len(c) == 1}
+        self.pairs = {}  # of two symbols: rank and number of the piece
+        for p, i in self.ids.items():
+            for k in range(1, len(p)):
+                a, b = every.get(p[:k]), every.get(p[k:])
+                if a is not None and b is not None:
+                    self.pairs[a << SYMBOL_BITS | b] = self.rank[p] << SYMBOL_BITS | i
+        ranks = Counter(self.rank[p] for p in self.ids if len(p) > 1)
+        self.tied = {r for r, n in ranks.items() if n > 1}  # ranks of several pieces: the first place decides
         self.side_by_side = {p[i: i + 2] for p in self.ids for i in range(len(p) - 1)}
         if any(x[0] != SPACE and x[1] == SPACE for x in self.side_by_side):
             self.cut = re.compile(r".+", re.S)
         else:
             self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         self.number = [str(i) for i in range(len(self.pieces))]
-        self.known: dict[str, tuple] = {}  # tuples of numbers and strings: nothing the collector has to walk
-        self.decimal: dict[str, str] = {}
-
-    def merge(self, stretch: str) -> list[str]:
-        """Pieces of a stretch by the agenda."""
-        return self._merge_short(stretch) if len(stretch) <= LONG_STRETCH else self._merge_long(stretch)
-
-    def _merge_short(self, stretch: str) -> list[str]:
-        """The agenda as a plain list of the ranks of all pairs, in the order of the text."""
-        parts, rank, none = list(stretch), self.rank.get, len(self.rank)
-        agenda = [rank(p, none) for p in map(add, parts, parts[1:])]
+        self.known: dict[str, tuple] = {}  # tuples of numbers: nothing the collector has to walk
+        self.older: dict[str, tuple] = {}
+        self.wrong: set[str] = set()  # stretches for which the library has other ids
+
+    def _merge_short(self, stretch: str) -> list[int]:
+        """The agenda as a plain list of all pairs' ranks, in the order of the text, over numbers of symbols."""
+        symbols, pairs, none, tied = [*map(self.symbol.get, stretch, repeat(-1))], self.pairs.get, NO_PAIR, self.tied
+        agenda = [pairs(a << SYMBOL_BITS | b, none) for a, b in pairwise(symbols)]
         while agenda:
             best = min(agenda)
             if best == none:
                 break
+            if best >> SYMBOL_BITS in tied:
+                best = next(p for p in agenda if p >> SYMBOL_BITS == best >> SYMBOL_BITS)
             i = agenda.index(best)
-            parts[i] = merged = parts[i] + parts.pop(i + 1)
-            del agenda[i]
+            symbols[i] = merged = best & SYMBOLS
+            del symbols[i + 1], agenda[i]
             if i < len(agenda):
-                agenda[i] = rank(merged + parts[i + 1], none)
+                agenda[i] = pairs(merged << SYMBOL_BITS | symbols[i + 1], none)
             if i:
-                agenda[i - 1] = rank(parts[i - 1] + merged, none)
-        return parts
+                agenda[i - 1] = pairs(symbols[i - 1] << SYMBOL_BITS | merged, none)
+        return symbols
 
     def _merge_long(self, stretch: str) -> list[str]:
         """The agenda as a heap of numbers of rank and left end."""
@@ -145,13 +167,17 @@ class Codec:
         return [p for p in parts if p]
 
     def _ids_of(self, stretch: str) -> tuple[int, ...]:
-        pieces = self.merge(stretch)
-        found = tuple(map(self.ids.get, pieces))
-        if None not in found:
-            return found
-        if not self.byte_ids:
-            return tuple(self.unknown if i is None else i for i in found)
-        return tuple(x for i, p in zip(found, pieces) for x in ((i,) if i is not None else map(self.byte_ids.get, p.encode())))
+        if len(stretch) <= LONG_STRETCH:
+            found = self._merge_short(stretch)
+            if -1 not in found and max(found) < len(self.pieces):
+                return tuple(found)
+        return tuple(x for p in self._merge_long(stretch) for x in self._ids_of_piece(p))
+
+    def _ids_of_piece(self, piece: str) -> tuple[int, ...]:
+        found = self.ids.get(piece)
+        if found is not None:
+            return (found,)
+        return tuple(map(self.byte_ids.get, piece.encode())) if self.byte_ids else (self.unknown,)
 
     def _cuts(self, stretch: str) -> Iterator[str]:
         """A long stretch, cut between characters that are side by side in no piece."""
@@ -162,38 +188,63 @@ class Codec:
                 low = i
         yield stretch[low:]
 
-    def _learn(self, stretch: str) -> None:
-        if len(self.known) >= STRETCHES_KEPT:
-            self.known.clear()
-            self.decimal.clear()
-        if len(stretch) > LONG_STRETCH:
-            ids = tuple(i for part in self._cuts(stretch) for i in self._ids_of(part))
-        else:
-            ids = self._ids_of(stretch)
-        self.known[stretch] = ids
-        self.decimal[stretch] = ",".join(map(self.number.__getitem__, ids))
-
-    def encode(self, text: str) -> tuple[list[int], str]:
-        """Ids of a text and their decimal form, joined by commas."""
+    def _learn(self, stretches: set[str]) -> None:
+        """Ids of stretches, from the older half of the memory or by merging; merged ones are checked."""
+        merged = []
+        for stretch in stretches:
+            ids = self.older.get(stretch)
+            if ids is None:
+                merged.append(stretch)
+                if len(stretch) > LONG_STRETCH:
+                    ids = tuple(i for part in self._cuts(stretch) for i in self._ids_of(part))
+                else:
+                    ids = self._ids_of(stretch)
+            self.known[stretch] = ids
+        self._check(merged)
+
+    def _check(self, stretches: list[str]) -> None:
+        """Holds stretches against the library: those that can stand side by side as one text, the others alone."""
+        beside = [s for s in stretches if s[0] == SPACE != s[-1]]
+        if not self._same(beside):
+            self.wrong.update(s for s in beside if not self._same([s]))
+        self.wrong.update(s for s in stretches if not s[0] == SPACE != s[-1] and not self._same([s]))
+
+    def _same(self, stretches: list[str]) -> bool:
+        text = "".join(stretches)
+        text = text[1:] if self.prefixed and text[:1] == SPACE else text  # the library puts it there again
+        return not text or self.library.encode(text) == [i for s in stretches for i in self.known[s]]
+
+    def encode(self, text: str) -> tuple[list[int], bool]:
+        """Ids of a text, and whether the library has the same ids for all its stretches."""
         stretches = self.cut.findall(self.library.normalize(text))
-        ids, decimal = [], []
-        known, forms = self.known, self.decimal
-        for s in stretches:
-            got = known.get(s)
-            if got is None:
-                self._learn(s)
-                got = known[s]
-            ids += got
-            decimal.append(forms[s])
-            if len(s) > LONG_STRETCH:
-                del known[s], forms[s]
+        found = [*map(self.known.get, stretches)]
+        if None in found:
+            new = {s for s, ids in zip(stretches, found) if ids is None}
+            self._learn(new)
+            found = [*map(self.known.get, stretches)]
+            for s in new:
+                if len(s) > LONG_STRETCH:
+                    del self.known[s]
+        ids = list(chain.from_iterable(found))
+        same = not self.wrong or self.wrong.isdisjoint(stretches)
+        if len(self.known) > STRETCHES_KEPT:  # what was not met again since the last time is forgotten
+            self.older, self.known = self.known, {}
         if not self.byte_ids:  # unknown characters side by side are one id
             ids = [i for k, i in enumerate(ids) if i != self.unknown or not k or ids[k - 1] != self.unknown]
-            return ids, ",".join(map(str, ids))
-        return ids, ",".join(decimal)
+        return ids, same
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: blanks for their sign, bytes joined to characters, the blank put before a text taken off."""
+        if ids and self.plain_text.issuperset(ids):
+            text = "".join(map(self.surface.__getitem__, ids))
+            try:
+                text = text.encode("utf-8", "surrogateescape").decode() if not text.isascii() else text
+                return text[1:] if self.prefixed and not self.trimmed and self.pieces[ids[0]][0] == SPACE else text
+            except UnicodeDecodeError:
+                pass  # broken characters
+        return self._decode_slowly(ids)
+
+    def _decode_slowly(self, ids: list[int]) -> str:
         out, at_start = [], True
         byte_of, pieces = self.byte_of, self.pieces
         run = bytearray()
@@ -217,10 +268,10 @@ class Codec:
                     piece, at_start = piece[1:], self.trimmed
                 if piece:
                     at_start = False
-            out.append(piece)
+            out.append(piece.replace(SPACE, " "))
         if run:
             out.append(_characters(run))
-        return "".join(out).replace(SPACE, " ")
+        return "".join(out)
 
 
 @lru_cache(maxsize=1)
@@ -255,9 +306,10 @@ def _run(model, extra: list[str], keep_ids: bool):
                 rows, lists = [], []
                 for text in part.column("text"):  # one text at a time as a Python string
                     text = text.as_py() or ""
-                    ids, decimal = codec.encode(text)
+                    ids, same = codec.encode(text)
                     decoded = codec.decode(ids)
-                    rows.append((len(ids), _digest(decimal), _digest(decoded), lib.encode(text) == ids and lib.decode(ids) == decoded))
+                    decimal = ",".join(map(codec.number.__getitem__, ids))
+                    rows.append((len(ids), _digest(decimal), _digest(decoded), same and lib.decode(ids) == decoded))
                     if keep_ids:
                         lists.append(ids)
                 columns = [part.column(c) for c in extra]
@@ -276,7 +328,7 @@ def encode(docs: DataFrame, model_path: str | None = None, keep_ids: bool = Fals
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, agrees) for every row; keep_ids adds the ids.
 
     ids_sha256: of the decimal ids joined by commas; decoded_sha256: of the text
-    that the ids decode to; agrees: the library finds the same ids and the same text.
+    that the ids decode to; agrees: the library has the same ids for the text's stretches and decodes them to the same text.
     Null texts count as empty and have no ids; repeated rows and null ids are
     encoded like others; other columns are ignored; an empty table gives no rows.
     Texts are read whole, one at a time; nothing is shuffled.
