@@ -260,9 +260,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = False) -> DataFrame:
-    """(doc_id, class_id, copies, texts) for every row: its class, the class's rows and different texts.
+    """(doc_id, class_id, copies, texts, class_key) for every row: its class, the class's rows and different texts.
 
-    class_id is the least doc_id of the class; classes are the connected
+    class_id is the least doc_id of the class, class_key a digest that no other class has
+    (an id that repeats with unlike texts may be the least of several classes); classes are the connected
     components of pairs whose five-word shingle sets have a Jaccard similarity of
     at least the threshold.  weighted=True throws darts at shingle counts rather
     than at sets; the exact check is on sets either way.  Copies (equal word
@@ -273,6 +274,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
     as empty, empty texts are copies of each other, null ids stay in their class and
     have no say in class_id unless all are null; other columns are ignored.
     """
+    return _classes_of(_rooted(*_linked(docs, threshold, weighted)))
+
+
+def _linked(docs: DataFrame, threshold: float, weighted: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Signed rows, and the root of every text that has a link."""
     docs = docs.select("doc_id", "text")
     least = threshold - SLACK
     signed = materialize(signatures(docs, weighted), "signatures")
@@ -291,7 +297,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
             found = found.union(_across_blocks(rows, classes, sets, least, threshold))
         edges = materialize(found if edges is None else edges.union(found), "edges")
         roots = components(edges)
-    return _classes_of(signed, roots)
+    return signed, roots
 
 
 def _open(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -331,37 +337,30 @@ def _across_blocks(rows: DataFrame, classes: DataFrame, sets: DataFrame, least:
     return full.groupBy("band", "i", "j").applyInArrow(_block_links(least, threshold), "a binary, b binary")
 
 
-def _classes_of(signed: DataFrame, roots: DataFrame | None) -> DataFrame:
-    rows = signed.select("doc_id", "node", F.col("node").alias("root"))
-    if roots is not None:
-        rows = join_lookup(signed.select("doc_id", "node"), roots, "node").withColumn("root", F.coalesce("root", "node"))
+def _rooted(signed: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(doc_id, node, root) of every row."""
+    if roots is None:
+        return signed.select("doc_id", "node", F.col("node").alias("root"))
+    return join_lookup(signed.select("doc_id", "node"), roots, "node").withColumn("root", F.coalesce("root", "node"))
+
+
+def _classes_of(rows: DataFrame) -> DataFrame:
     texts = rows.groupBy("root", "node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     classes = texts.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("copies"), F.count("*").alias("texts"))
-    return join_lookup(rows, classes, "root").select("doc_id", "class_id", "copies", "texts")
+    return join_lookup(rows, classes, "root").select("doc_id", "class_id", "copies", "texts", F.hex("root").alias("class_key"))
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of every near-duplicate class: that of the least doc_id; all columns stay.
+    """One row of every near-duplicate class: the least doc_id's, ids before none; all columns stay.
 
-    Rows that repeat the kept doc_id are dropped too, down to one, the least text
-    first.  Rows without doc_id: of a class without any id, one row stays.
+    A class is told by its text digests, not by ids: rows of one id whose texts are
+    unlike are in different classes and stay.  Of rows that repeat both the kept id
+    and its words, the least text stays; rows without id are in classes like others.
     """
-    classes = near_duplicates(docs, threshold)
-    named = classes.where(F.col("class_id").isNotNull()).select(F.col("class_id").alias("k")).distinct()
-    rows = pack(docs)
-    kept = rows.join(named, F.col("doc.doc_id") == F.col("k"), "left_semi")
-    first = Window.partitionBy("doc.doc_id").orderBy("doc.text")
-    kept = unpack(kept.withColumn("r", F.row_number().over(first)).where("r = 1").select("doc"))
-    return kept.unionByName(_without_id(docs))
-
-
-def _without_id(docs: DataFrame) -> DataFrame:
-    """Of rows without id, one of each word sequence that no row with an id has."""
-    key = F.md5(F.array_join(word_list(F.col("doc.text")), " "))
-    rows = pack(docs).withColumn("k", key)
-    bare = rows.where(F.col("doc.doc_id").isNull())
-    if bare.isEmpty():
-        return docs.limit(0)
-    named = rows.where(F.col("doc.doc_id").isNotNull()).select("k").distinct()
-    first = Window.partitionBy("k").orderBy("doc.text")
-    return unpack(bare.join(named, "k", "left_anti").withColumn("r", F.row_number().over(first)).where("r = 1").select("doc"))
+    rooted = _rooted(*_linked(docs, threshold, False))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "node")).alias("least")
+    won = rooted.groupBy("root").agg(least).select(F.col("least.doc_id").alias("k"), F.col("least.node").alias("won"))
+    node = F.unhex(F.md5(F.array_join(word_list(F.col("doc.text")), " ")))
+    kept = pack(docs).withColumn("node", node).join(won, (F.col("node") == F.col("won")) & F.col("doc.doc_id").eqNullSafe(F.col("k")), "left_semi")
+    first = Window.partitionBy("node").orderBy("doc.text")
+    return unpack(kept.withColumn("r", F.row_number().over(first)).where("r = 1").select("doc"))

@@ -46,6 +46,24 @@ def test_near_duplicates_agree_with_all_pairs(spark, docs):
     assert got == brute.near_classes(texts)
 
 
+A, B = ("some words of a text that is long enough to be a text of its own", "quite another text whose words are not the words of that other one")
+
+
+def test_an_id_of_two_unlike_texts_loses_neither(spark):
+    df = spark.createDataFrame([(5, A), (5, B), (7, B)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["text"]) for r in minhash.drop_near_duplicates(df).collect()) == [(5, B), (5, A)]
+    keys = {(r["doc_id"], r["class_key"]) for r in minhash.near_duplicates(df).collect()}
+    assert len(keys) == 3 and len({k for _, k in keys}) == 2
+
+
+def test_near_copies_without_id_go(spark):
+    long = " ".join(f"w{i}" for i in range(200))
+    rows = [(None, long), (None, long + " more"), (3, long + " end"), (None, A), (None, A), (None, B + "!")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(((r["doc_id"], r["text"]) for r in minhash.drop_near_duplicates(df).collect()), key=repr) == sorted(
+        [(3, long + " end"), (None, A), (None, B + "!")], key=repr)
+
+
 def test_dart_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(5)
     hashes = np.sort(rng.integers(0, 2 ** 63, 60).astype(np.uint64))
