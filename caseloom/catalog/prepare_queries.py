@@ -10,7 +10,7 @@ from caseloom.functions.rules import bucket_intent
 from caseloom.operators import evaluate
 from caseloom.operators import pairs as p
 from caseloom.operators import sampling as s
-from caseloom.operators.retrieval import embed_text
+from caseloom.operators.latent import fit_latent
 from caseloom.plans.evaluation import review_sheet
 from caseloom.plans.prepare import build_index, prepare_pairs
 from caseloom.session import scratch_path
@@ -57,22 +57,32 @@ def write_table(spark, sf):
 def _index(spark, sf):
     path = scratch_path(spark, "index")
     pairs = t.pairs(spark, sf).withColumn("thread_depth", F.lit(1).cast("bigint"))
-    build_index(pairs, t.golden_ids(spark, sf), lambda df: embed_text(df, "customer_text", 64), path)
-    return store.load_retrieval_table(spark, path)
+    build_index(pairs, t.golden_ids(spark, sf), fit_latent(pairs, "customer_text", 64, features=1024), path)
+    return path
 
 
 @query("build_retrieval_table", """SELECT customer_tweet_id, customer_text, is_dm_redirect,
  CAST(1 AS BIGINT) AS thread_depth, 64 AS dim FROM pairs
  WHERE customer_tweet_id NOT IN (SELECT doc_id FROM labels)""", ("pairs",))
 def build_retrieval_table(spark, sf):
-    return _index(spark, sf).select("customer_tweet_id", "customer_text", "is_dm_redirect", "thread_depth",
-                                    F.size("embedding").alias("dim"))
+    return store.load_retrieval_table(spark, _index(spark, sf)).select(
+        "customer_tweet_id", "customer_text", "is_dm_redirect", "thread_depth", F.size("embedding").alias("dim"))
 
 
 @query("load_retrieval_table", """SELECT count(*) AS entries FROM documents
  WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def load_retrieval_table(spark, sf):
-    return store.count_entries(_index(spark, sf))
+    return store.count_entries(store.load_retrieval_table(spark, _index(spark, sf)))
+
+
+# Half of the pairs first, the others appended: the golden ids are half of the rows of neither.
+@query("append_to_index", """SELECT customer_tweet_id, is_dm_redirect FROM pairs""", ("pairs",))
+def append_to_index(spark, sf):
+    path, pairs = scratch_path(spark, "index"), t.pairs(spark, sf).withColumn("thread_depth", F.lit(1).cast("bigint"))
+    golden = t.golden_ids(spark, sf)
+    build_index(pairs, golden, fit_latent(pairs, "customer_text", 32, features=512), path)
+    store.open_index(spark, path).append(pairs.join(golden, "customer_tweet_id", "left_semi"))
+    return store.load_retrieval_table(spark, path).select("customer_tweet_id", "is_dm_redirect")
 
 
 # ---- filters and pairing --------------------------------------------------

@@ -16,24 +16,72 @@ from caseloom.catalog.registry import query
 from caseloom.functions.parsing import let
 from caseloom.operators import retrieval as r
 from caseloom.operators import scoring as sc
+from caseloom.operators.latent import TextModel, fit_latent, fit_weights
+from caseloom.operators.latent import embed_text as embed_texts
 from caseloom.plans.triage import run_triage
 from caseloom.session import scratch_path
+from caseloom.sources.retrieval_store import build_retrieval_table, open_index
 
 VECTORS = ("vectors", "asked", "corpus", "distances", "found")
 
 
 # ---- retrieval ------------------------------------------------------------
 
-@query("embed_text")
+@query("embed_text", r"""WITH words AS (SELECT doc_id, unnest(list_filter(
+  regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}_]+'), lambda w: w <> '')) AS w FROM documents),
+features AS (SELECT doc_id, (('0x' || substr(md5(w), 1, 8))::BIGINT % 128)::INT AS feature, count(*) AS n FROM words GROUP BY ALL),
+rarity AS (SELECT feature, ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (count(*) + 1)) AS idf FROM features GROUP BY feature),
+weights AS (SELECT doc_id, feature, n * idf AS w FROM features JOIN rarity USING (feature) WHERE idf > 0),
+lengths AS (SELECT doc_id, sqrt(sum(w * w)) AS length FROM weights GROUP BY doc_id)
+SELECT doc_id AS customer_tweet_id, feature, (w / length)::FLOAT::DOUBLE AS weight FROM weights JOIN lengths USING (doc_id)""")
 def embed_text(spark, sf):
-    return r.embed_text(t.pairs(spark, sf).select("customer_tweet_id", "customer_text"), "customer_text", 128)
+    vectors = embed_texts(t.pairs(spark, sf).select("customer_tweet_id", "customer_text"), "customer_text", 128)
+    return vectors.select("customer_tweet_id", F.posexplode("embedding").alias("feature", "weight")).where("weight <> 0").withColumn(
+        "weight", F.col("weight").cast("double"))
 
 
 @query("embed_text_unit_length", """SELECT doc_id AS customer_tweet_id, 128 AS dim,
  CASE WHEN regexp_matches(text, '[a-zA-Z]') THEN 1.0 ELSE 0.0 END::DOUBLE AS norm FROM documents""")
 def embed_text_unit_length(spark, sf):
+    vectors = embed_texts(t.pairs(spark, sf).select("customer_tweet_id", "customer_text"), "customer_text", 128)
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
-    return embed_text(spark, sf).select("customer_tweet_id", F.size("embedding").alias("dim"), F.round(norm, 3).alias("norm"))
+    return vectors.select("customer_tweet_id", F.size("embedding").alias("dim"), F.round(norm, 3).alias("norm"))
+
+
+# Texts in, precedents out: embedded by the index's own model, found in the stored index.
+@query("precedents_from_text", r"""WITH words AS (SELECT doc_id, unnest(list_filter(
+  regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}_]+'), lambda w: w <> '')) AS w FROM documents),
+golden AS (SELECT doc_id FROM labels),
+features AS (SELECT doc_id, (('0x' || substr(md5(w), 1, 8))::BIGINT % 128)::INT AS feature, count(*) AS n FROM words GROUP BY ALL),
+entries AS (SELECT count(*) + 1 AS n FROM documents WHERE doc_id NOT IN (FROM golden)),
+seen AS (SELECT feature, count(*) AS df FROM features WHERE doc_id NOT IN (FROM golden) GROUP BY feature),
+weights AS (SELECT doc_id, f.feature, f.n * ln(entries.n::DOUBLE / (coalesce(df, 0) + 1)) AS w
+ FROM features f LEFT JOIN seen USING (feature), entries),
+vecs AS (SELECT doc_id, feature, (w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)))::FLOAT::DOUBLE AS w FROM weights WHERE w > 0),
+lengths AS (SELECT d.doc_id, coalesce(sum(w * w), 0) AS l FROM documents d LEFT JOIN vecs USING (doc_id) GROUP BY d.doc_id),
+products AS (SELECT a.doc_id AS query_id, b.doc_id AS corpus_id, sum(a.w * b.w) AS p FROM vecs a JOIN vecs b USING (feature)
+ WHERE a.doc_id IN (FROM golden) AND b.doc_id NOT IN (FROM golden) GROUP BY ALL)
+SELECT q.doc_id AS query_id, c.doc_id AS corpus_id, row_number() OVER (PARTITION BY q.doc_id
+  ORDER BY round(q.l + c.l - 2 * coalesce(p, 0), 9), c.doc_id)::INT AS rank
+FROM lengths q CROSS JOIN lengths c LEFT JOIN products ON query_id = q.doc_id AND corpus_id = c.doc_id
+WHERE q.doc_id IN (FROM golden) AND c.doc_id NOT IN (FROM golden) QUALIFY rank <= 3""")
+def precedents_from_text(spark, sf):
+    pairs, golden, path = t.pairs(spark, sf), t.golden_ids(spark, sf), scratch_path(spark, "index")
+    known = pairs.join(golden, "customer_tweet_id", "left_anti")
+    build_retrieval_table(pairs, fit_weights(known, "customer_text", 128), path, golden)
+    asked = pairs.join(golden, "customer_tweet_id", "left_semi").select("customer_tweet_id", "customer_text")
+    found = open_index(spark, path).find_precedents(asked, 3, approximate=False)
+    return found.select("query_id", F.explode("precedents").alias("p")).select("query_id", F.col("p.id").alias("corpus_id"), F.col("p.rank").alias("rank"))
+
+
+# A latent vector per text by a model that was stored and loaded again: equal to those of the fitted one.
+@query("embed_latent", """SELECT doc_id AS customer_tweet_id, 32 AS dim, true AS same FROM documents""")
+def embed_latent(spark, sf):
+    texts, path = t.pairs(spark, sf).select("customer_tweet_id", "customer_text"), scratch_path(spark, "model")
+    model = fit_latent(texts, "customer_text", 32, features=512)
+    model.save(spark, path)
+    loaded = TextModel.load(spark, path).embed(model.embed(texts, "customer_text").withColumnRenamed("embedding", "fitted"), "customer_text")
+    return loaded.select("customer_tweet_id", F.size("embedding").alias("dim"), (F.col("embedding") == F.col("fitted")).alias("same"))
 
 
 ALL_DISTANCES = """SELECT a.vec_id AS query_id, c.vec_id AS corpus_id,
@@ -62,29 +110,27 @@ def knn_join(spark, sf):
     return found.select("query_id", "corpus_id", F.round("distance", 6).alias("distance"))
 
 
-# Centres: the first 16 ids by md5; a query looks into the cells of its 4 nearest centres.
-@query("knn_approx", f"""WITH first AS (SELECT vec_id, embedding::DOUBLE[] AS v,
- row_number() OVER (ORDER BY md5(vec_id || ':{fv.SAMPLE_SEED}'), vec_id) AS c FROM embeddings QUALIFY c <= 16),
-centres AS (SELECT c, v FROM first QUALIFY row_number() OVER (PARTITION BY v ORDER BY c) = 1),
-reach AS (SELECT e.vec_id, c, list_sum(list_transform(list_zip(e.embedding::DOUBLE[], v), lambda z: pow(z[1] - z[2], 2))) AS d
- FROM embeddings e CROSS JOIN centres),
-cells AS (SELECT vec_id AS corpus_id, c FROM reach QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1),
-visits AS (SELECT vec_id AS query_id, c FROM reach WHERE c IN (SELECT c FROM cells)
- QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) <= 4)
-SELECT query_id, corpus_id, round(distance, 6) AS distance,
- row_number() OVER (PARTITION BY query_id ORDER BY a.distance, corpus_id) AS rank
-FROM ({ALL_DISTANCES}) a JOIN cells USING (corpus_id) JOIN visits USING (query_id, c) QUALIFY rank <= 3""")
+@query("knn_approx")
 def knn_approx(spark, sf):
     v = t.table(spark, sf, "embeddings")
-    found = r.knn_approx(v, v, 3, "vec_id", "vec_id", n_cells=16, probes=4)
-    return found.withColumn("distance", F.round("distance", 6))
+    return r.knn_approx(v, v, 3, "vec_id", "vec_id").withColumn("distance", F.round("distance", 6))
+
+
+# The share of the exact neighbours that the trained cells and codes find.
+@query("knn_approx_recall", """SELECT count(*) * 3 AS neighbours, true AS nine_in_ten FROM embeddings""")
+def knn_approx_recall(spark, sf):
+    v = t.table(spark, sf, "embeddings")
+    exact = r.knn_exact(v, v, 3, "vec_id", "vec_id").select("query_id", "corpus_id")
+    near = r.knn_approx(v, v, 3, "vec_id", "vec_id").select("query_id", "corpus_id", F.lit(1).alias("hit"))
+    both = exact.join(near, ["query_id", "corpus_id"], "left")
+    return both.agg(F.count("*").alias("neighbours"), (F.count("hit") >= 0.9 * F.count("*")).alias("nine_in_ten"))
 
 
 @query("knn_approx_every_cell", f"""SELECT query_id, corpus_id, round(distance, 6) AS distance, rank FROM (SELECT *,
  row_number() OVER (PARTITION BY query_id ORDER BY distance, corpus_id) AS rank FROM ({ALL_DISTANCES})) WHERE rank <= 3""")
 def knn_approx_every_cell(spark, sf):
     v = t.table(spark, sf, "embeddings")
-    found = r.knn_approx(v, v, 3, "vec_id", "vec_id", n_cells=4, probes=4)
+    found = r.knn_approx(v, v, 3, "vec_id", "vec_id", n_cells=4, probes=4, reranked=None)
     return found.withColumn("distance", F.round("distance", 6))
 
 

@@ -17,14 +17,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.functions.text import truncate_text
+from caseloom.operators import cells as trained
 from caseloom.operators.joins import join_lookup
 from caseloom.operators.sampling import first_per_key, fixed_size_sample, sample_order
 from caseloom.session import materialize
@@ -33,29 +31,12 @@ MAX_BROADCAST_FLOATS = 4_000_000  # 32 MB of query vectors in a task
 BLOCK_ROWS = 8192
 CHUNK_ROWS = 8192
 DISTANCES_AT_ONCE = 4_000_000  # of queries to centres, in a task
+RECALL, MEASURED_QUERIES = 0.93, 200  # share of neighbours whose cell is looked into, measured on so many queries
+RERANKED = 64  # candidates a query, by their codes, whose true distances are computed
 
 _FOUND = "query_id bigint, corpus_id bigint, distance double"
 
 
-def embed_text(df: DataFrame, col: str, dim: int = 256, fit_on: DataFrame | None = None) -> DataFrame:
-    """Adds "embedding": hashed words, weighted by rarity, unit length.
-
-    fit_on gives the texts the word weights are learned from; queries and
-    corpus must share it for their distances to mean anything.
-    """
-    steps = Pipeline(stages=[HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dim),
-                             IDF(inputCol="_counts", outputCol="_weighted"),
-                             Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0)])
-
-    def words(table: DataFrame) -> DataFrame:
-        text = F.lower(F.coalesce(F.col(col), F.lit("")))
-        return table.withColumn("_words", F.array_remove(F.split(text, r"[^\p{L}\p{N}_]+"), ""))
-
-    model = steps.fit(words(fit_on if fit_on is not None else df).select("_words"))
-    vectors = model.transform(words(df)).withColumn("embedding", vector_to_array("_unit", "float32"))
-    return vectors.drop("_words", "_counts", "_weighted", "_unit")
-
-
 def _vectors(df: DataFrame, key: str) -> DataFrame:
     """id, v: one row per id that has a vector, the least of its vectors; written once, as it feeds several steps."""
     rows = df.where(F.col("embedding").isNotNull() & F.col(key).isNotNull()).select(
@@ -148,8 +129,9 @@ class _Cells:
     rows: np.ndarray
     radius: np.ndarray
 
-    def blocks_per_cell(self) -> np.ndarray:
-        return np.maximum(1, -(-self.rows // BLOCK_ROWS))
+
+def _blocks_per_cell(rows: np.ndarray) -> np.ndarray:
+    return np.maximum(1, -(-rows // BLOCK_ROWS))
 
 
 def _nearest_cell(centers: np.ndarray):
@@ -185,27 +167,28 @@ def _fit_cells(corpus: DataFrame, n_cells: int, dim: int, seed: int) -> tuple[Da
     return celled.select("id", "v", "cell"), _Cells(centers, rows, radius)
 
 
-def _blocks_to_visit(cells: _Cells, k: int, probes: int | None):
+def _blocks_to_visit(cells, k: int, probes: int | None):
     """UDFs: the blocks a query has to look into, and the block of a corpus row.
 
-    probes=None keeps every cell that can hold one of the k nearest: its
-    nearest possible point is no farther than a radius known to enclose k rows.
+    cells: centers, rows and radius.  probes=None keeps every cell that can hold one of
+    the k nearest: its nearest possible point is no farther than a radius known to
+    enclose k rows.  Otherwise cells are the trained ones and rank themselves.
     """
     centers, rows, radius = cells.centers, cells.rows, cells.radius
-    counts = cells.blocks_per_cell()
+    counts = _blocks_per_cell(rows)
     first_block = np.concatenate([[0], np.cumsum(counts)[:-1]])
     lengths = np.sqrt((centers * centers).sum(1))
 
     def cells_of(x: np.ndarray) -> np.ndarray:
         """Queries by cells: whether to look there."""
+        if probes is not None:
+            nearest, far = cells.ranked(x, probes)
+            chosen = np.zeros((len(x), len(rows)), bool)
+            np.put_along_axis(chosen, nearest, np.isfinite(far), axis=1)
+            return chosen
         own = np.sqrt((x * x).sum(1))
         d = np.sqrt(np.maximum((own ** 2)[:, None] + (lengths ** 2)[None, :] - 2.0 * (x @ centers.T), 0.0))
         d[:, rows == 0] = np.inf
-        if probes is not None:
-            nearest = np.argsort(d, axis=1, kind="stable")[:, :probes]
-            chosen = np.zeros(d.shape, bool)
-            np.put_along_axis(chosen, nearest, True, axis=1)
-            return chosen & (rows > 0)
         far = d + radius
         order = np.argsort(far, axis=1)
         enough = (np.cumsum(rows[order], axis=1) < k).sum(axis=1)  # cells before the one that brings k rows
@@ -234,28 +217,65 @@ def _blocks_to_visit(cells: _Cells, k: int, probes: int | None):
     return visit, home
 
 
-def _join_by_block(queries: DataFrame, corpus: DataFrame, k: int, dim: int, n_cells: int,
-                   probes: int | None, seed: int) -> DataFrame:
-    celled, cells = _fit_cells(corpus, n_cells, dim, seed)
-    visit, home = _blocks_to_visit(cells, k, probes)
-    matrix, _, nearest = _kernels(k)
-    block = home("cell", F.xxhash64("id"))
-    # A block is copied once per CHUNK_ROWS queries that visit it; blocks without visits stay at home.
-    visits = materialize(queries.select("id", "v", F.explode(visit(F.col("v"))).alias("block")), "visits")
+def _meet_by_block(visits: DataFrame, blocked: DataFrame, meet) -> DataFrame:
+    """Candidates of queries (id, v, block) among blocked rows (id, block, ...), by an equi-join on the block.
+
+    A block is copied once per CHUNK_ROWS queries that visit it; blocks without visits stay at home.
+    """
     chunks = visits.groupBy("block").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
-    left = join_lookup(celled.select("id", "v", block.alias("block")), chunks, "block", "inner").select(
-        "id", "v", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    left = join_lookup(blocked, chunks, "block", "inner").select(
+        *blocked.columns, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     right = join_lookup(visits, chunks, "block", "inner").select(
         "id", "v", "block", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
+    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(meet, _FOUND)
+
+
+def _pairs_table(found) -> pa.Table:
+    return pa.table(dict(zip(("query_id", "corpus_id", "distance"), found or [np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0)])))
+
+
+def search_cells(queries: DataFrame, celled: DataFrame, cells, k: int, probes: int | None) -> DataFrame:
+    """Candidates by true distances in the cells a query looks into; celled: id, v, cell."""
+    visit, home = _blocks_to_visit(cells, k, probes)
+    matrix, _, nearest = _kernels(k)
+    visits = materialize(queries.select("id", "v", F.explode(visit(F.col("v"))).alias("block")), "visits")
 
     def meet(c: pa.Table, q: pa.Table) -> pa.Table:
         if not c.num_rows or not q.num_rows:
-            found = [np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0)]
-        else:
-            found = nearest(q["id"].to_numpy(), matrix(q["v"]), c["id"].to_numpy(), matrix(c["v"]))
-        return pa.table(dict(zip(("query_id", "corpus_id", "distance"), found)))
+            return _pairs_table(None)
+        return _pairs_table(nearest(q["id"].to_numpy(), matrix(q["v"]), c["id"].to_numpy(), matrix(c["v"])))
+
+    return _meet_by_block(visits, celled.select("id", "v", home("cell", F.xxhash64("id")).alias("block")), meet)
 
-    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(meet, _FOUND)
+
+def search_codes(queries: DataFrame, placed: DataFrame, cells: trained.Cells, k: int, probes: int, reranked: int = RERANKED) -> DataFrame:
+    """Candidates by codes in the nearest cells, then true distances of the best `reranked` of each query.
+
+    placed: id, v, cell, code.  Codes alone meet the queries; vectors are fetched for the best candidates.
+    """
+    visit, home = _blocks_to_visit(cells, k, probes)
+    visits = materialize(queries.select("id", "v", F.explode(visit(F.col("v"))).alias("block")), "visits")
+    shared, wanted = queries.sparkSession.sparkContext.broadcast(cells), max(reranked, k)
+
+    def meet(c: pa.Table, q: pa.Table) -> pa.Table:
+        if not c.num_rows or not q.num_rows:
+            return _pairs_table(None)
+        own = shared.value
+        codes = np.frombuffer(b"".join(c["code"].to_pylist()), np.uint8).reshape(c.num_rows, -1)
+        about, ids = own.decode(codes, c["cell"].to_numpy()), c["id"].to_numpy()
+        q_ids, x, out = q["id"].to_numpy(), trained.matrix(q["v"]), []
+        for low in range(0, len(x), 256):
+            d = trained.squared(x[low: low + 256], about)
+            at = np.argpartition(d, wanted - 1, axis=1)[:, :wanted] if d.shape[1] > wanted else np.broadcast_to(np.arange(d.shape[1]), d.shape)
+            out.append((np.repeat(q_ids[low: low + 256], at.shape[1]), ids[at.ravel()], np.take_along_axis(d, at, axis=1).ravel()))
+        return _pairs_table([np.concatenate(o) for o in zip(*out)])
+
+    blocked = placed.select("id", "cell", "code", home("cell", F.xxhash64("id")).alias("block"))
+    best = top_k_neighbours(_meet_by_block(visits, blocked, meet), wanted).select("query_id", "corpus_id")
+    full = (best.join(placed.select(F.col("id").alias("corpus_id"), F.col("v").alias("c")), "corpus_id")
+            .join(queries.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id"))
+    squares = F.zip_with("q", "c", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))
+    return full.select("query_id", "corpus_id", F.aggregate(squares, F.lit(0.0), lambda a, b: a + b).alias("distance"))
 
 
 def top_k_neighbours(found: DataFrame, k: int = fv.TOP_K) -> DataFrame:
@@ -264,32 +284,51 @@ def top_k_neighbours(found: DataFrame, k: int = fv.TOP_K) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(nearest_first)).where(F.col("rank") <= k)
 
 
-def _knn(queries: DataFrame, corpus: DataFrame, k: int, query_key: str, corpus_key: str,
-         probes: int | None, n_cells: int | None, seed: int, max_broadcast_floats: int) -> DataFrame:
-    q, c = _vectors(queries, query_key), _vectors(corpus, corpus_key)
-    size = q.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
-    n_queries, dim = size["n"], size["d"] or 0
-    if probes is None and n_cells is None and n_queries * dim <= max_broadcast_floats:
-        found = _scan_with_broadcast(q, c, k)
-    else:
-        if n_cells is None:
-            n_cells = cell_count(c.count())
-        found = _join_by_block(q, c, k, dim, max(1, n_cells), probes, seed)
-    return top_k_neighbours(found, k)
-
-
 def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
               query_key: str = "id", corpus_key: str = "id", n_cells: int | None = None,
               seed: int = fv.SAMPLE_SEED, max_broadcast_floats: int = MAX_BROADCAST_FLOATS) -> DataFrame:
     """query_id, corpus_id, distance (squared L2), rank of the k nearest corpus rows."""
-    return _knn(queries, corpus, k, query_key, corpus_key, None, n_cells, seed, max_broadcast_floats)
+    q, c = _vectors(queries, query_key), _vectors(corpus, corpus_key)
+    size = q.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
+    dim = size["d"] or 0
+    if n_cells is None and size["n"] * dim <= max_broadcast_floats:
+        return top_k_neighbours(_scan_with_broadcast(q, c, k), k)
+    celled, cells = _fit_cells(c, max(1, cell_count(c.count()) if n_cells is None else n_cells), dim, seed)
+    return top_k_neighbours(search_cells(q, celled, cells, k, None), k)
+
+
+def trained_cells(corpus: DataFrame, n_cells: int | None = None, seed: int = fv.SAMPLE_SEED, codes: bool = True) -> tuple[DataFrame, trained.Cells]:
+    """(id, v, top, cell, reach, code) of a corpus (id, v), written once, and its trained cells; by default three times the root of its rows."""
+    n = corpus.count()
+    cells = trained.fit_cells(corpus, max(1, min(n, n_cells or 3 * math.isqrt(n))), n, seed, codes)
+    placed = materialize(trained.assign(corpus, cells), "placed")
+    return placed, trained.with_extent(cells, placed)
+
+
+def measured_probes(placed: DataFrame, cells: trained.Cells, asked: DataFrame, k: int, recall: float = RECALL, seed: int = fv.SAMPLE_SEED) -> trained.Cells:
+    """The cells with the number of probes that reaches the recall on MEASURED_QUERIES of the asked rows (id, v), against an exact scan."""
+    some = materialize(fixed_size_sample(asked, MEASURED_QUERIES, "id", seed), "measured")
+    truth = top_k_neighbours(_scan_with_broadcast(some, placed.select("id", "v"), k), k)
+    known = truth.join(some.select(F.col("id").alias("query_id"), "v"), "query_id").select("v", "corpus_id")
+    return trained.calibrated(cells, placed, known, recall)
 
 
 def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
                query_key: str = "id", corpus_key: str = "id", n_cells: int | None = None,
-               probes: int = 8, seed: int = fv.SAMPLE_SEED) -> DataFrame:
-    """As knn_exact, looking only into the nearest cells of each query."""
-    return _knn(queries, corpus, k, query_key, corpus_key, probes, n_cells, seed, 0)
+               probes: int | None = None, seed: int = fv.SAMPLE_SEED, reranked: int | None = RERANKED, recall: float = RECALL) -> DataFrame:
+    """As knn_exact, looking only into the nearest trained cells of each query.
+
+    probes: cells a query looks into; by default as many as reach `recall` on a sample
+    of the queries.  reranked: candidates a query, chosen by their codes, whose true
+    distances are computed; None computes those of all rows of the cells.
+    """
+    q, c = _vectors(queries, query_key), _vectors(corpus, corpus_key)
+    placed, cells = trained_cells(c, n_cells, seed, codes=reranked is not None)
+    if probes is None:
+        cells = measured_probes(placed, cells, q, k, recall, seed)
+    probes = max(1, min(probes or cells.probes, len(cells)))
+    found = search_cells(q, placed, cells, k, probes) if reranked is None else search_codes(q, placed, cells, k, probes, reranked)
+    return top_k_neighbours(found, k)
 
 
 def attach_precedents(neighbours: DataFrame, corpus: DataFrame,

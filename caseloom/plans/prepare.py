@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from caseloom import fixed_values as fv
 from caseloom.functions.text import clean_text
 from caseloom.operators import pairs as p
-from caseloom.sources.retrieval_store import Embedder, build_retrieval_table
+from caseloom.operators.latent import TextModel
+from caseloom.sources.retrieval_store import Embedder, RetrievalIndex, build_retrieval_table
 
 
 def prepare_pairs(posts: DataFrame, brand: str, first_only: bool = False,
@@ -30,6 +31,6 @@ def prepare_pairs(posts: DataFrame, brand: str, first_only: bool = False,
                           "is_dm_redirect", "thread_depth")
 
 
-def build_index(pairs: DataFrame, excluded: DataFrame, embedder: Embedder, path: str) -> None:
-    """Retrieval table of all pairs that are not in the golden set."""
-    build_retrieval_table(pairs, embedder, path, excluded)
+def build_index(pairs: DataFrame, excluded: DataFrame, embedder: Embedder | TextModel, path: str, **options) -> RetrievalIndex:
+    """Retrieval index of all pairs that are not in the golden set."""
+    return build_retrieval_table(pairs, embedder, path, excluded, **options)

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.operators import retrieval as r
+from caseloom.operators.latent import embed_text
 
 SCHEMA = "id long, embedding array<float>"
 
@@ -120,7 +121,7 @@ def test_precedents_come_nearest_first_and_may_be_none(spark, clustered):
 def test_embedding(spark):
     texts = ["the battery is dead", "The Battery is dead!", "billing and refund", "", None]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    got = {x.id: np.array(x.embedding) for x in r.embed_text(df, "text", 64).collect()}
+    got = {x.id: np.array(x.embedding) for x in embed_text(df, "text", 64).collect()}
     assert all(v.shape == (64,) for v in got.values())
     assert np.allclose(got[0], got[1]) and np.isclose(np.linalg.norm(got[2]), 1)
     assert not got[3].any() and not got[4].any()

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators.retrieval import embed_text
+from caseloom.operators.latent import embed_text
 from caseloom.plans.prepare import build_index
 from caseloom.session import materialize, scratch_path
 from caseloom.sources import retrieval_store as store
