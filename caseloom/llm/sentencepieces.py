@@ -21,13 +21,14 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain, pairwise, repeat
+from itertools import chain
 from operator import add
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
@@ -43,6 +44,8 @@ PLACES = (1 << PLACE_BITS) - 1
 SYMBOL_BITS = 24
 SYMBOLS = (1 << SYMBOL_BITS) - 1
 NO_PAIR = 1 << 62
+OTHER = 1 << 22  # numbers of symbols that are no piece start here
+ROWS_AT_ONCE, CHARS_AT_ONCE = 8_192, 1 << 20  # bound what a Python worker holds
 LONG_STRETCH = 48  # characters; longer ones are cut further and not remembered
 
 
@@ -99,46 +102,74 @@ class Codec:
         for i, b in self.byte_of.items():
             self.surface[i] = chr(b) if b < 128 else chr(0xDC00 + b)
         self.plain_text = {*plain, *self.byte_of}
-        # numbers of symbols: pieces by their ids, other characters of pieces after them
-        single = {c for p in self.ids for c in p} - set(self.ids)
-        every = {**self.ids, **{c: len(self.pieces) + k for k, c in enumerate(sorted(single))}}
-        self.symbol = {c: i for c, i in every.items() if len(c) == 1}
-        self.pairs = {}  # of two symbols: rank and number of the piece
+        # numbers of symbols: ids of pieces, other characters by their code points
+        every = {**self.ids, **{c: OTHER + ord(c) for c in {c for p in self.ids for c in p} - set(self.ids)}}
+        self.symbol = np.arange(OTHER, OTHER + 0x110000, dtype=np.int64)
+        for c, i in every.items():
+            if len(c) == 1:
+                self.symbol[ord(c)] = i
+        pairs = {}  # of two symbols: rank and number of the piece
         for p, i in self.ids.items():
             for k in range(1, len(p)):
                 a, b = every.get(p[:k]), every.get(p[k:])
                 if a is not None and b is not None:
-                    self.pairs[a << SYMBOL_BITS | b] = self.rank[p] << SYMBOL_BITS | i
-        ranks = Counter(self.rank[p] for p in self.ids if len(p) > 1)
-        self.tied = {r for r, n in ranks.items() if n > 1}  # ranks of several pieces: the first place decides
+                    pairs[a << SYMBOL_BITS | b] = self.rank[p] << SYMBOL_BITS | i
+        self.pair_keys, self.pair_values = _table(pairs)
         self.side_by_side = {p[i: i + 2] for p in self.ids for i in range(len(p) - 1)}
         if any(x[0] != SPACE and x[1] == SPACE for x in self.side_by_side):
-            self.cut = re.compile(r".+", re.S)
+            self.alone, self.cut = "", re.compile(r".+", re.S)
         else:
-            self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+            self.alone = alone = "".join(c for c in "\n\r\t" if not any(c in x for x in self.side_by_side))  # such a character merges with nothing
+            self.cut = re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" + (f"|[{alone}]" if alone else ""))
         self.number = [str(i) for i in range(len(self.pieces))]
         self.known: dict[str, tuple] = {}  # tuples of numbers: nothing the collector has to walk
         self.older: dict[str, tuple] = {}
         self.wrong: set[str] = set()  # stretches for which the library has other ids
 
-    def _merge_short(self, stretch: str) -> list[int]:
-        """The agenda as a plain list of all pairs' ranks, in the order of the text, over numbers of symbols."""
-        symbols, pairs, none, tied = [*map(self.symbol.get, stretch, repeat(-1))], self.pairs.get, NO_PAIR, self.tied
-        agenda = [pairs(a << SYMBOL_BITS | b, none) for a, b in pairwise(symbols)]
-        while agenda:
-            best = min(agenda)
-            if best == none:
-                break
-            if best >> SYMBOL_BITS in tied:
-                best = next(p for p in agenda if p >> SYMBOL_BITS == best >> SYMBOL_BITS)
-            i = agenda.index(best)
-            symbols[i] = merged = best & SYMBOLS
-            del symbols[i + 1], agenda[i]
-            if i < len(agenda):
-                agenda[i] = pairs(merged << SYMBOL_BITS | symbols[i + 1], none)
-            if i:
-                agenda[i - 1] = pairs(symbols[i - 1] << SYMBOL_BITS | merged, none)
-        return symbols
+    def _pairs_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and number of the piece that two symbols make; NO_PAIR where they make none or are none."""
+        key = np.where((left < 0) | (right < 0), -1, left << SYMBOL_BITS | right).ravel()
+        size = len(self.pair_keys) - 1
+        at, out, open_ = _slot(key) & size, np.full(len(key), NO_PAIR), np.flatnonzero(key >= 0)
+        while len(open_):
+            there = self.pair_keys[at[open_]]
+            hit = there == key[open_]
+            out[open_[hit]] = self.pair_values[at[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+            at[open_] = (at[open_] + 1) & size
+        return out.reshape(left.shape)
+
+    def _merge_many(self, stretches: list[str]) -> list[tuple[int, ...]]:
+        """Symbols of many stretches: a row of the matrix is a stretch's agenda, and a round merges every row's best pair."""
+        lengths = np.array([len(s) for s in stretches])
+        width = int(lengths.max())
+        columns = np.arange(width)
+        symbols = np.full((len(stretches), width), -1, np.int64)
+        symbols[columns < lengths[:, None]] = self.symbol[np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32)]
+        agenda = np.full(symbols.shape, NO_PAIR)
+        agenda[:, :-1] = self._pairs_of(symbols[:, :-1], symbols[:, 1:])
+        out: list[tuple[int, ...]] = [()] * len(stretches)
+        rows = np.arange(len(stretches))
+        while len(rows):
+            live = agenda.min(axis=1) < NO_PAIR
+            if not live.all():
+                for r, found in zip(rows[~live].tolist(), symbols[~live].tolist()):
+                    out[r] = tuple(found[: found.index(-1)] if found[-1] < 0 else found)
+                rows, symbols, agenda = rows[live], symbols[live], agenda[live]
+                if not len(rows):
+                    break
+            at = (agenda >> SYMBOL_BITS).argmin(axis=1)  # the first of the best rank
+            every = np.arange(len(rows))
+            merged = agenda[every, at] & SYMBOLS
+            # the pair's right half leaves the row, and its place on the agenda with it
+            symbols = np.take_along_axis(np.pad(symbols, ((0, 0), (0, 1)), constant_values=-1), columns + (columns > at[:, None]), axis=1)
+            agenda = np.take_along_axis(np.pad(agenda, ((0, 0), (0, 1)), constant_values=NO_PAIR), columns + (columns >= at[:, None]), axis=1)
+            symbols[every, at] = merged
+            after = np.where(at + 1 < width, symbols[every, np.minimum(at + 1, width - 1)], -1)
+            agenda[every, at] = self._pairs_of(merged, after)
+            inner = at > 0
+            agenda[every[inner], at[inner] - 1] = self._pairs_of(symbols[every[inner], at[inner] - 1], merged[inner])
+        return out
 
     def _merge_long(self, stretch: str) -> list[str]:
         """The agenda as a heap of numbers of rank and left end."""
@@ -167,12 +198,13 @@ class Codec:
         return [p for p in parts if p]
 
     def _ids_of(self, stretch: str) -> tuple[int, ...]:
-        if len(stretch) <= LONG_STRETCH:
-            found = self._merge_short(stretch)
-            if -1 not in found and max(found) < len(self.pieces):
-                return tuple(found)
         return tuple(x for p in self._merge_long(stretch) for x in self._ids_of_piece(p))
 
+    def _ids_of_symbols(self, symbols: tuple[int, ...]) -> tuple[int, ...]:
+        if max(symbols) < OTHER:
+            return symbols
+        return tuple(x for i in symbols for x in ((i,) if i < OTHER else self._ids_of_piece(chr(i - OTHER))))
+
     def _ids_of_piece(self, piece: str) -> tuple[int, ...]:
         found = self.ids.get(piece)
         if found is not None:
@@ -195,43 +227,51 @@ class Codec:
             ids = self.older.get(stretch)
             if ids is None:
                 merged.append(stretch)
-                if len(stretch) > LONG_STRETCH:
-                    ids = tuple(i for part in self._cuts(stretch) for i in self._ids_of(part))
-                else:
-                    ids = self._ids_of(stretch)
-            self.known[stretch] = ids
+            else:
+                self.known[stretch] = ids
+        merged.sort(key=len)  # rows of a matrix are of about one length
+        short = bisect_right(merged, LONG_STRETCH, key=len)
+        for low in range(0, short, ROWS_AT_ONCE):
+            part = merged[low: min(low + ROWS_AT_ONCE, short)]
+            self.known.update(zip(part, map(self._ids_of_symbols, self._merge_many(part))))
+        for stretch in merged[short:]:
+            self.known[stretch] = tuple(i for part in self._cuts(stretch) for i in self._ids_of(part))
         self._check(merged)
 
     def _check(self, stretches: list[str]) -> None:
-        """Holds stretches against the library: those that can stand side by side as one text, the others alone."""
-        beside = [s for s in stretches if s[0] == SPACE != s[-1]]
-        if not self._same(beside):
-            self.wrong.update(s for s in beside if not self._same([s]))
-        self.wrong.update(s for s in stretches if not s[0] == SPACE != s[-1] and not self._same([s]))
+        """Holds stretches against the library, all in one text if a character that merges with nothing can stand between them."""
+        if not self.alone or not self._same(stretches):
+            self.wrong.update(s for s in stretches if not self._same([s]))
 
     def _same(self, stretches: list[str]) -> bool:
-        text = "".join(stretches)
-        text = text[1:] if self.prefixed and text[:1] == SPACE else text  # the library puts it there again
-        return not text or self.library.encode(text) == [i for s in stretches for i in self.known[s]]
+        if self.alone:
+            between = self._ids_of(self.alone[0])
+            expected = [i for s in stretches for i in chain(between, self.known[s])]
+            text = "".join(self.alone[0] + s for s in stretches)
+            found = self.library.encode(text)
+            return found[len(found) - len(expected):] == expected  # before them stands the blank put before a text
+        text = stretches[0][1:] if self.prefixed and stretches[0][0] == SPACE else stretches[0]
+        return not text or self.library.encode(text) == list(self.known[stretches[0]])
 
     def encode(self, text: str) -> tuple[list[int], bool]:
         """Ids of a text, and whether the library has the same ids for all its stretches."""
-        stretches = self.cut.findall(self.library.normalize(text))
-        found = [*map(self.known.get, stretches)]
-        if None in found:
-            new = {s for s, ids in zip(stretches, found) if ids is None}
-            self._learn(new)
-            found = [*map(self.known.get, stretches)]
-            for s in new:
-                if len(s) > LONG_STRETCH:
-                    del self.known[s]
-        ids = list(chain.from_iterable(found))
-        same = not self.wrong or self.wrong.isdisjoint(stretches)
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[list[int], bool]]:
+        """encode() of every text; what is new in any of them is merged at once."""
+        cut = [self.cut.findall(self.library.normalize(t)) for t in texts]
+        new = set(chain.from_iterable(cut)).difference(self.known)
+        self._learn(new)
+        for stretches in cut:
+            ids = list(chain.from_iterable(map(self.known.__getitem__, stretches)))
+            if not self.byte_ids:  # unknown characters side by side are one id
+                ids = [i for k, i in enumerate(ids) if i != self.unknown or not k or ids[k - 1] != self.unknown]
+            yield ids, not self.wrong or self.wrong.isdisjoint(stretches)
+        for s in new:
+            if len(s) > LONG_STRETCH:
+                del self.known[s]
         if len(self.known) > STRETCHES_KEPT:  # what was not met again since the last time is forgotten
             self.older, self.known = self.known, {}
-        if not self.byte_ids:  # unknown characters side by side are one id
-            ids = [i for k, i in enumerate(ids) if i != self.unknown or not k or ids[k - 1] != self.unknown]
-        return ids, same
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: blanks for their sign, bytes joined to characters, the blank put before a text taken off."""
@@ -280,6 +320,24 @@ def codec_of(model: bytes) -> Codec:
     return Codec(model)
 
 
+def _slot(key: np.ndarray) -> np.ndarray:
+    """A place for a pair's key, well spread."""
+    h = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (h >> np.uint64(40)).astype(np.int64)
+
+
+def _table(pairs: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values in a table of open places; -1: free."""
+    size = 1 << (4 * len(pairs) + 1).bit_length()
+    keys, values = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+    at = _slot(np.array(list(pairs), np.int64)) & (size - 1)
+    for place, (key, value) in zip(at.tolist(), pairs.items()):
+        while keys[place] >= 0:
+            place = (place + 1) & (size - 1)
+        keys[place], values[place] = key, value
+    return keys, values
+
+
 def _characters(run: bytearray) -> str:
     """Characters of bytes; every byte of a broken character is one U+FFFD."""
     try:
@@ -293,6 +351,19 @@ def _digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+def _groups(texts) -> Iterator[list[str]]:
+    """Texts of an Arrow column, about CHARS_AT_ONCE characters at a time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py() or "")
+        size += len(held[-1])
+        if size >= CHARS_AT_ONCE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 _OUT = "n_tokens bigint, ids_sha256 string, decoded_sha256 string, agrees boolean"
 
 
@@ -304,9 +375,7 @@ def _run(model, extra: list[str], keep_ids: bool):
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 rows, lists = [], []
-                for text in part.column("text"):  # one text at a time as a Python string
-                    text = text.as_py() or ""
-                    ids, same = codec.encode(text)
+                for ids, same in chain.from_iterable(map(codec.encode_all, _groups(part.column("text")))):
                     decoded = codec.decode(ids)
                     decimal = ",".join(map(codec.number.__getitem__, ids))
                     rows.append((len(ids), _digest(decimal), _digest(decoded), same and lib.decode(ids) == decoded))
