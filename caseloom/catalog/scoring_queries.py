@@ -20,6 +20,7 @@ from caseloom.operators.latent import TextModel, fit_latent, fit_weights
 from caseloom.operators.latent import embed_text as embed_texts
 from caseloom.plans.triage import run_triage
 from caseloom.session import scratch_path
+from caseloom.sources.response_store import ResponseStore
 from caseloom.sources.retrieval_store import build_retrieval_table, open_index
 
 VECTORS = ("vectors", "asked", "corpus", "distances", "found")
@@ -238,6 +239,31 @@ def score_requests(spark, sf):
     return scored.select("doc_id", F.coalesce("response", F.lit("no valid answer")).alias("response"))
 
 
+# A prompt whose md5 ends in 0 is answered right at the second try, in 1 at the third, else at the first; two tries are made.
+@query("score_requests_again", """SELECT doc_id, CASE right(md5(prompt), 1) WHEN '1' THEN NULL WHEN '0' THEN 'right at 2' ELSE 'right at 1' END AS response
+ FROM requests""", CACHE)
+def score_requests_again(spark, sf):
+    def scorer(asked):
+        digit, attempt = F.right(F.md5("prompt"), F.lit(1)), F.col("attempt")
+        needed = F.when(digit == "0", 2).when(digit == "1", 3).otherwise(1)
+        said = F.when(attempt >= needed, F.concat(F.lit("right at "), attempt.cast("string"))).otherwise("wrong")
+        return asked.select("key", said.alias("response"))
+
+    scored = sc.score_requests(_requests(spark, sf), None, scorer, lambda a: a.startswith("right"), attempts=2)
+    return scored.select("doc_id", "response")
+
+
+# Answers are looked up in a stored log of two segments, of which the second is newer, before and after compaction.
+@query("response_log", """SELECT key, response, segments FROM stored, (SELECT unnest([2, 1]) AS segments)
+ WHERE key IN (SELECT key FROM requests)""", CACHE)
+def response_log(spark, sf):
+    stored = _stored(spark, sf)
+    old = stored.select("key", F.lit("old").alias("response"), F.lit("2000-01-01").cast("timestamp").alias("written_at"))
+    log = ResponseStore.open(spark, scratch_path(spark, "log")).append(old).append(stored)
+    found = [s.lookup(_requests(spark, sf)).withColumn("segments", F.lit(len(s.segments))) for s in (log, log.compact())]
+    return found[0].unionByName(found[1])
+
+
 BATCHES = """SELECT (rn - 1) // 10 AS batch, (rn - 1) % 10 + 1 AS pos, customer_tweet_id, customer_text
  FROM (SELECT *, row_number() OVER (ORDER BY customer_tweet_id) AS rn FROM {})"""
 PROMPTS = f"""SELECT batch, string_agg(pos || '. ' || customer_text, chr(10) ORDER BY pos) AS prompt

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +18,13 @@ from caseloom.functions.parsing import parse_judge_score, parse_label_array, par
 from caseloom.functions.prompts import (classify_system, draft_system, judge_message, judge_system,
                                         precedent_blocks, suggest_message, suggest_system)
 from caseloom.functions.text import (fallback_text, format_examples, numbered_prompt, reply_is_malformed,
-                                     request_key, search, strip_invisible, truncate_text)
+                                     request_key, search, strip_code_fence, strip_invisible, truncate_text)
 from caseloom.operators.joins import join_lookup
 from caseloom.operators.pairs import exclude_golden
 from caseloom.operators.ranks import global_row_number
 from caseloom.operators.sampling import head_per_intent
 from caseloom.session import materialize
+from caseloom.sources.response_store import ResponseStore, newest, without
 from caseloom.sources.tables import RESPONSE_CACHE
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -34,13 +34,12 @@ Validator = Callable[[Column], Column]
 # ---- scorers --------------------------------------------------------------
 
 def python_scorer(answer: Callable[[pd.DataFrame], pd.Series]) -> Scorer:
-    """A scorer from a function over Arrow batches with columns system, prompt."""
+    """A scorer from a function over Arrow batches with columns system, prompt, attempt."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"key": batch["key"], "response": answer(batch)})
 
-    return lambda requests: requests.select("key", "system", "prompt").mapInPandas(
-        run, "key string, response string")
+    return lambda requests: requests.mapInPandas(run, "key string, response string")
 
 
 def column_scorer(answer: Callable[[Column, Column], Column]) -> Scorer:
@@ -60,12 +59,7 @@ def cache_upsert(cache: DataFrame, new: DataFrame, validator: Validator | None =
     accepted = new.where(F.col("response").isNotNull())
     if validator is not None:
         accepted = accepted.where(validator(F.col("response")))
-    return latest_responses(cache.unionByName(accepted.select("key", "response", "written_at")))
-
-
-def latest_responses(cache: DataFrame) -> DataFrame:
-    last = F.max(F.struct("written_at", "response")).alias("last")
-    return cache.groupBy("key").agg(last).select("key", "last.response", "last.written_at")
+    return newest(cache.unionByName(accepted.select("key", "response", "written_at")))
 
 
 def cache_hit(requests: DataFrame, cache: DataFrame, validator: Validator | None = None) -> DataFrame:
@@ -85,13 +79,13 @@ def cache_miss(requests: DataFrame, cache: DataFrame, validator: Validator | Non
 
 def cache_stats(cache: DataFrame) -> DataFrame:
     """One row: stored responses and their size in bytes."""
-    live = latest_responses(cache)
+    live = newest(cache)
     size = F.sum((F.octet_length("key") + F.octet_length("response")).cast("bigint"))
     return live.agg(F.count("*").alias("entries"), F.coalesce(size, F.lit(0)).alias("bytes"))
 
 
 def _usable(cache: DataFrame, validator: Validator | None) -> DataFrame:
-    live = latest_responses(cache).select("key", "response")
+    live = newest(cache).select("key", "response")
     return live if validator is None else live.where(F.coalesce(validator(F.col("response")), F.lit(False)))
 
 
@@ -106,37 +100,61 @@ def make_requests(df: DataFrame, system: Column | str, prompt: Column, model: st
 
 
 def open_store(spark: SparkSession, store: str) -> DataFrame:
-    """The answers kept at a path by earlier runs; none where there is no table yet."""
-    try:
-        return spark.read.schema(RESPONSE_CACHE).parquet(store)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], RESPONSE_CACHE)
+    """The answers kept at a path by earlier runs; none where there is no store yet."""
+    return ResponseStore.open(spark, store).rows()
+
+
+def ask_until_valid(misses: DataFrame, scorer: Scorer, validator: Validator | None = None, attempts: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Valid answers (key, response), and the ledger (key, attempt, response, valid) of everything asked.
+
+    misses: key, system, prompt.  A request without a valid answer goes back to the scorer,
+    up to `attempts` times in all; the scorer sees the number of the try as "attempt".
+    Every round is written before the next reads it, so no try is repeated.
+    """
+    valid = F.col("response").isNotNull()
+    if validator is not None:
+        valid = valid & F.coalesce(validator(F.col("response")), F.lit(False))
+    open_, ledger = materialize(misses, "asked"), None
+    for attempt in range(1, attempts + 1):
+        said = scorer(open_.withColumn("attempt", F.lit(attempt))).select("key", F.lit(attempt).alias("attempt"), "response", valid.alias("valid"))
+        # a scorer that is silent on a request has answered null
+        told = materialize(open_.select("key").join(said, "key", "left").select(
+            "key", F.lit(attempt).alias("attempt"), "response", F.coalesce("valid", F.lit(False)).alias("valid")), "answers")
+        ledger = told if ledger is None else ledger.unionByName(told)
+        if attempt < attempts:
+            open_ = materialize(open_.join(told.where("valid").select("key"), "key", "left_anti"), "asked")
+            if open_.isEmpty():
+                break
+    return ledger.where("valid").select("key", "response"), ledger
 
 
 def score_requests(requests: DataFrame, cache: DataFrame | None, scorer: Scorer,
-                   validator: Validator | None = None, store: str | None = None) -> DataFrame:
-    """requests plus "response"; null where no valid answer came back.
+                   validator: Validator | None = None, store: str | None = None, attempts: int = 1) -> DataFrame:
+    """requests plus "response"; null where no valid answer came back in `attempts` tries.
 
-    With store, answers kept there count as cached, new ones are appended and
-    read back: a lost executor or a second run repeats no call.
+    With store, answers kept there count as cached, new ones are appended, and the
+    ledger of tries is kept beside them: a lost executor or a second run repeats no call.
     """
     spark = requests.sparkSession
-    cache = empty_cache(requests) if cache is None else cache
-    if store is not None:
-        cache = cache.unionByName(open_store(spark, store))
-    misses = cache_miss(requests.select("key", "system", "prompt"), cache, validator)
-    answers = scorer(misses).where(F.col("response").isNotNull())
-    if validator is not None:
-        answers = answers.where(F.coalesce(validator(F.col("response")), F.lit(False)))
-    answers = answers.select("key", "response", F.current_timestamp().alias("written_at"))
-    if store is not None:
-        answers.write.mode("append").parquet(store)
-        known = _usable(cache.unionByName(open_store(spark, store)), validator)
+    distinct = requests.select("key", "system", "prompt").dropDuplicates(["key"])
+    known = None if cache is None else _usable(cache, validator)
+    kept = None if store is None else ResponseStore.open(spark, store)
+    if kept is not None:
+        distinct = materialize(distinct, "requests")
+        stored = kept.lookup(distinct)
+        if validator is not None:
+            stored = stored.where(F.coalesce(validator(F.col("response")), F.lit(False)))
+        known = stored if known is None else known.unionByName(without(stored, known))
+    if known is None:
+        misses = distinct
     else:
-        known = _usable(cache, validator).unionByName(answers.select("key", "response"))
-    return join_lookup(requests, known, "key")
+        known = materialize(known, "known")
+        misses = distinct.join(known.select("key"), "key", "left_anti")
+    answers, ledger = ask_until_valid(misses, scorer, validator, attempts)
+    if kept is not None:
+        kept.append(answers.withColumn("written_at", F.current_timestamp()))
+        ledger.write.mode("append").parquet(f"{store}/ledger")
+    return join_lookup(requests, answers if known is None else known.unionByName(answers), "key")
 
 
 def pack_batches(df: DataFrame, key: str = "customer_tweet_id", text: str = "customer_text",
@@ -156,9 +174,10 @@ def classify_intents(posts: DataFrame, scorer: Scorer, labels: Sequence[str] = f
                      fallback: str = fv.CATCH_ALL, cache: DataFrame | None = None,
                      system: str | None = None, brand: str = "the brand", on_bad_item: str = "stop",
                      key: str = "customer_tweet_id", text: str = "customer_text",
-                     size: int = fv.BATCH_SIZE, model: str = "default", store: str | None = None) -> DataFrame:
+                     size: int = fv.BATCH_SIZE, model: str = "default", store: str | None = None, attempts: int = 1) -> DataFrame:
     """posts plus "predicted_intent", one request per packed batch.
 
+    With more than one attempt, an answer that is no JSON array is asked for again.
     The agent uses the catch-all as fallback; the stand-alone classifier uses
     fallback="FAILED" with on_bad_item="reject".
     """
@@ -167,7 +186,8 @@ def classify_intents(posts: DataFrame, scorer: Scorer, labels: Sequence[str] = f
     batches = _packed(numbered, key, text, size)
     requests = make_requests(batches, system or classify_system(brand, labels),
                              numbered_prompt(F.col("texts")), model)
-    scored = score_requests(requests, cache, scorer, store=store)
+    whole = None if attempts == 1 else lambda r: strip_code_fence(r).rlike(r"(?s)^\[.*\]$")
+    scored = score_requests(requests, cache, scorer, whole, store, attempts)
     named = parse_label_array(F.col("response"), labels, F.size("ids"), fallback, on_bad_item)
     rows = scored.select("batch", F.posexplode(named).alias("_at", "predicted_intent"))
     predicted = rows.select((F.col("batch") * size + F.col("_at") + 1).alias("_pos"), "predicted_intent")
@@ -209,12 +229,12 @@ def fewshot_examples(pairs: DataFrame, excluded: DataFrame,
 
 
 def draft_replies(df: DataFrame, scorer: Scorer, cache: DataFrame | None = None, brand: str = "the brand",
-                  opt_out: str = fv.NO_DM_PATTERN, model: str = "default", store: str | None = None) -> DataFrame:
+                  opt_out: str = fv.NO_DM_PATTERN, model: str = "default", store: str | None = None, attempts: int = 1) -> DataFrame:
     """df (customer_text, predicted_intent, routing_decision, precedents) plus "drafted_reply"."""
     system = draft_system(brand, F.col("customer_text"), F.col("predicted_intent"),
                           F.col("routing_decision"), F.col("precedents"), opt_out)
     requests = make_requests(df, system, F.col("customer_text"), model)
-    scored = score_requests(requests, cache, scorer, lambda r: ~reply_is_malformed(r), store)
+    scored = score_requests(requests, cache, scorer, lambda r: ~reply_is_malformed(r), store, attempts)
     reply = F.when(F.col("response").isNull(), fallback_text(F.col("response"))).otherwise(
         strip_invisible(F.col("response")))
     return scored.withColumn("drafted_reply", reply).select(*df.columns, "drafted_reply")
@@ -222,7 +242,7 @@ def draft_replies(df: DataFrame, scorer: Scorer, cache: DataFrame | None = None,
 
 def judge_replies(df: DataFrame, scorer: Scorer, cache: DataFrame | None = None,
                   precedent: Column | None = None, system: str | None = None,
-                  model: str = "default", store: str | None = None) -> DataFrame:
+                  model: str = "default", store: str | None = None, attempts: int = 1) -> DataFrame:
     """df plus judge_relevance, judge_groundedness, judge_tone (all null on failure).
 
     The rubric is part of the request, so a changed rubric asks again.  By
@@ -235,5 +255,5 @@ def judge_replies(df: DataFrame, scorer: Scorer, cache: DataFrame | None = None,
     requests = make_requests(df, system or judge_system(), judge_message(
         F.col("customer_text"), precedent, F.col("drafted_reply")), model)
     valid = lambda r: parse_judge_score(r)["judge_relevance"].isNotNull()
-    scored = score_requests(requests, cache, scorer, valid, store)
+    scored = score_requests(requests, cache, scorer, valid, store, attempts)
     return (scored.withColumn("_j", parse_judge_score(F.col("response"))).select(*df.columns, "_j.*"))

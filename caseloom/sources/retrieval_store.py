@@ -13,7 +13,6 @@ into, and of their files only the row groups that hold a cell wanted.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
@@ -27,6 +26,7 @@ from caseloom.operators import retrieval as r
 from caseloom.operators.cells import CODEWORDS, SLICE, Cells, assign, with_extent
 from caseloom.operators.latent import TextModel
 from caseloom.session import materialize
+from caseloom.sources import manifests
 
 Embedder = Callable[[DataFrame], DataFrame]  # adds a column "embedding"
 
@@ -39,18 +39,6 @@ def _write_small(spark: SparkSession, rows: list[tuple], schema: str, path: str)
     spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
 
 
-def _manifests(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the complete manifests, least first."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    done = [n for n in names if re.fullmatch(r"[0-9]+", n) and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/manifest/{n}/_SUCCESS"))]
-    return sorted(map(int, done))
-
-
 @dataclass(frozen=True)
 class RetrievalIndex:
     """One state of the index: what its manifest names."""
@@ -127,12 +115,10 @@ class RetrievalIndex:
         return replace(self, generations=(*self.generations, generation), cells=cells)._publish()
 
     def _publish(self) -> RetrievalIndex:
-        number = max(_manifests(self.spark, self.path), default=0) + 1
         rows = [("parts", 0, 0, 0.0, self.parts), ("probes", 0, self.cells.probes, 0.0, "")]
         rows += [("generation", i, 0, 0.0, g) for i, g in enumerate(self.generations)]
         rows += [("cell", i, int(n), float(x), "") for i, (n, x) in enumerate(zip(self.cells.rows, self.cells.radius))]
-        # fails if another writer has taken the number
-        _write_small(self.spark, rows, "what string, at int, n bigint, radius double, name string", f"{self.path}/manifest/{number:010d}")
+        manifests.publish(self.spark, f"{self.path}/manifest", rows, "what string, at int, n bigint, radius double, name string")
         return self
 
 
@@ -185,11 +171,11 @@ def build_retrieval_table(pairs: DataFrame, embedder: Embedder | TextModel, path
 
 def open_index(spark: SparkSession, path: str, number: int | None = None) -> RetrievalIndex:
     """The newest state of the index, or that of a manifest's number.  Centres, codebooks and one number a cell are read to the driver."""
-    known = _manifests(spark, path)
-    if not known:
+    manifest = manifests.read(spark, f"{path}/manifest", number)
+    if manifest is None:
         raise FileNotFoundError(f"no complete manifest under {path}")
     listed: dict[str, list] = {}
-    for row in spark.read.parquet(f"{path}/manifest/{(number or known[-1]):010d}").collect():
+    for row in manifest.collect():
         listed.setdefault(row["what"], []).append(row)
     of = lambda what: sorted(listed.get(what, []), key=lambda x: x["at"])
     parts = of("parts")[0]["name"]
@@ -202,9 +188,7 @@ def open_index(spark: SparkSession, path: str, number: int | None = None) -> Ret
     cells = Cells(np.array([c["v"] for c in tops]), np.array([c["v"] for c in low]), np.array([c["top"] for c in low]),
                   np.array([c["n"] for c in of("cell")], "int64"), np.array([c["radius"] for c in of("cell")]),
                   np.array([w["v"] for w in words]).reshape(-1, CODEWORDS, SLICE), of("probes")[0]["n"])
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{base}/model")
-    stored = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    stored = manifests.exists(spark, f"{base}/model")
     return RetrievalIndex(spark, path, parts, tuple(g["name"] for g in of("generation")), cells, TextModel.load(spark, f"{base}/model") if stored else None)
 
 

@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +7,7 @@ from caseloom.functions.prompts import draft_system
 from caseloom.operators import scoring as sc
 from caseloom.plans.triage import run_triage
 from caseloom.session import scratch_path
-from caseloom.sources.tables import RESPONSE_CACHE
+from caseloom.sources.response_store import ResponseStore
 
 
 @pytest.fixture
@@ -58,7 +59,7 @@ def test_invalid_answers_are_not_used_not_stored_and_asked_again(spark, calls):
     valid = lambda r: r.contains("good") | (r == "ok")
     known = cache(spark, requests(spark, "good"), "stale")
     assert answers(sc.score_requests(reqs, known, echo(calls), valid, store)) == {0: "re: good", 1: None}
-    stored = spark.read.schema(RESPONSE_CACHE).parquet(store)
+    stored = sc.open_store(spark, store)
     assert [r.response for r in stored.collect()] == ["re: good"]
     before = calls.value
     assert answers(sc.score_requests(reqs, stored, echo(calls), valid, store)) == {0: "re: good", 1: None}
@@ -186,3 +187,72 @@ def test_requests_with_null_parts_stay_apart(spark):
     from pyspark.sql import functions as F
     rows = spark.createDataFrame([("a", None), (None, "a"), ("a", ""), ("", "a"), (None, None)], "x string, y string")
     assert rows.select(request_key(F.col("x"), F.col("y")).alias("k")).distinct().count() == 5
+
+
+def stubborn(tries):
+    """Answers "ok" from a prompt's so many-th try on, before that "bad"; silent on "silent"."""
+    def answer(batch):
+        return pd.Series([None if p == "silent" else "ok" if a >= int(p[-1]) + tries else "bad" for p, a in zip(batch["prompt"], batch["attempt"])], dtype=object)
+
+    return sc.python_scorer(answer)
+
+
+@pytest.mark.parametrize("attempts, want", [(1, [None, None, None, None]), (2, ["ok", None, None, None]), (4, ["ok", "ok", "ok", None])])
+def test_invalid_answers_go_back_to_the_scorer(spark, attempts, want):
+    store = scratch_path(spark, "store")
+    reqs = requests(spark, "p0", "p1", "p2", "silent")
+    got = answers(sc.score_requests(reqs, None, stubborn(2), lambda r: r == "ok", store, attempts))
+    assert [got[i] for i in range(4)] == want
+    ledger = spark.read.parquet(f"{store}/ledger").join(reqs.select("key", "id"), "key").collect()
+    tries = {}
+    for r in ledger:
+        tries.setdefault(r.id, []).append((r.attempt, r.valid))
+    for i, w in enumerate(want):
+        n = attempts if w is None else i + 2
+        assert sorted(tries[i]) == [(a, w is not None and a == n) for a in range(1, n + 1)]
+
+
+# ---- the stored log
+
+def key_rows(spark, numbers, response="r", day=1):
+    return spark.createDataFrame([(i,) for i in numbers], "i long").select(
+        F.sha2(F.col("i").cast("string"), 256).alias("key"), F.concat(F.lit(response), "i").alias("response"),
+        F.lit(f"2024-01-0{day}").cast("timestamp").alias("written_at"))
+
+
+def test_store_lookups_appends_and_compaction(spark):
+    store = ResponseStore.open(spark, scratch_path(spark, "log"))
+    assert store.rows().count() == 0 and store.lookup(key_rows(spark, range(3))).count() == 0 and store.compact() is store
+    store = store.append(key_rows(spark, range(500))).append(key_rows(spark, range(100, 200), "new", 2))
+    assert store.append(key_rows(spark, [])) is store
+    asked = key_rows(spark, [5, 150, 9_999, 150]).unionByName(spark.createDataFrame([(None, None, None)], "key string, response string, written_at timestamp"))
+    assert sorted(r.response for r in store.lookup(asked).collect()) == ["new150", "r5"]
+    again = ResponseStore.open(spark, store.path)
+    assert again.segments == store.segments or sorted(again.segments) == sorted(store.segments)
+    small = again.compact()
+    assert len(small.segments) == 1 and small.rows().count() == 500 and again.rows().count() == 600
+    assert sorted(r.response for r in small.lookup(asked).collect()) == ["new150", "r5"]
+    assert ResponseStore.open(spark, store.path).rows().count() == 500
+
+
+def test_a_lookup_reads_the_asked_buckets_only(spark):
+    store = ResponseStore.open(spark, scratch_path(spark, "log")).append(key_rows(spark, range(2_000)))
+    maybe = store.maybe_known(key_rows(spark, [1, 2, 50_000, 50_001, 50_002]))
+    assert 2 <= maybe.count() <= 3  # the filters rule the absent ones out, nearly always
+    plan = store._latest(maybe)._jdf.queryExecution().executedPlan().toString()
+    assert "In(key, " in plan and "PartitionFilters: [" in plan and "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    files = store._read([3]).select(F.input_file_name().alias("f")).distinct().collect()
+    assert files and all("/bucket=3/" in r.f for r in files)
+
+
+def test_filters_never_deny_a_key(spark):
+    store = ResponseStore.open(spark, scratch_path(spark, "log"))
+    for part in range(3):
+        store = store.append(key_rows(spark, range(part * 700, part * 700 + 700 * (part + 1))))
+    assert store.maybe_known(key_rows(spark, range(0, 3_500, 7))).count() == 500
+
+
+def test_keys_that_are_no_digests(spark):
+    rows = spark.createDataFrame([("zz top", "a", None), ("", "b", None), ("é", "c", None)], "key string, response string, written_at timestamp")
+    store = ResponseStore.open(spark, scratch_path(spark, "log")).append(rows)
+    assert sorted(r.response for r in store.lookup(rows).collect()) == ["a", "b", "c"]
