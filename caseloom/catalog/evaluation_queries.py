@@ -176,7 +176,19 @@ def confusion_matrix(spark, sf):
  UNION ALL SELECT 'simple', count(*) FILTER (WHERE true_intent = predicted_intent) / count(*),
  count(*) FILTER (WHERE true_routing = {SIMPLE_ROUTING}) / count(*) FROM {PREDICTED}""", GOLDEN)
 def system_comparison(spark, sf):
-    return e.system_comparison({"trivial": e.trivial_predict(t.golden(spark, sf)), "simple": _simple(spark, sf)})
+    return e.cube_accuracy(_cube(spark, sf))
+
+
+def _cube(spark, sf):
+    return evaluation.system_cube(t.golden(spark, sf), rules=t.LEXICON, default=t.DEFAULT, escalations=["idiot", "license"])
+
+
+@query("confusion_cube", f"""SELECT 'intent' AS task, 'simple' AS system, true_intent AS truth, predicted_intent AS pred, count(*) AS n FROM {PREDICTED} GROUP BY ALL
+ UNION ALL SELECT 'routing', 'simple', true_routing, {SIMPLE_ROUTING}, count(*) FROM {PREDICTED} GROUP BY ALL
+ UNION ALL SELECT 'intent', 'trivial', true_intent, {MAJORITY}, count(*) FROM golden GROUP BY ALL
+ UNION ALL SELECT 'routing', 'trivial', true_routing, 'escalate', count(*) FROM golden GROUP BY ALL""", GOLDEN)
+def confusion_cube(spark, sf):
+    return _cube(spark, sf)
 
 
 # ---- judge and human scores -----------------------------------------------

@@ -33,6 +33,14 @@ def scan_raw_posts(spark, sf):
     return tables.scan_raw_posts(spark, path)
 
 
+# Every type of a table is found again from its CSV.
+@query("scan_inferred", "SELECT event_id, user_id, event_type, value FROM events")
+def scan_inferred(spark, sf):
+    path = scratch_path(spark, "events-csv")
+    tables.write_table(t.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value"), path, "csv")
+    return tables.scan_inferred(spark, path)
+
+
 @query("scan_csv_table", """SELECT customer_tweet_id, customer_text, apple_reply_text, is_dm_redirect,
  true_intent, true_routing, escalation_reason FROM golden""", ("golden",))
 def scan_csv_table(spark, sf):

@@ -79,21 +79,67 @@ def _labels(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     return df.sparkSession.range(1).select(listed)
 
 
+def confusion_cube(df: DataFrame, tasks: Mapping[str, tuple[str, Mapping[str, Column]]]) -> DataFrame:
+    """(task, system, truth, pred, n): every task and system of a table in one scan and one aggregation.
+
+    tasks: name -> (truth column, system -> prediction).  A task's number of cells is that
+    of its label pairs, whatever the number of rows.
+    """
+    cells = F.array(*[F.struct(F.lit(task).alias("task"), F.lit(system).alias("system"), F.col(truth).cast("string").alias("truth"),
+                               pred.cast("string").alias("pred")) for task, (truth, systems) in tasks.items() for system, pred in systems.items()])
+    return df.select(F.explode(cells).alias("c")).groupBy("c.task", "c.system", "c.truth", "c.pred").agg(F.count("*").alias("n"))
+
+
+def cube_with_trivial(cube: DataFrame, of: str, fixed: Mapping[str, Column | None]) -> DataFrame:
+    """The cube with a system "trivial" that says the same of every row.
+
+    fixed: task -> what it says, or None for the task's most frequent truth, the lowest on
+    ties.  Truths are read off the cells of the system `of`, so the rows are not scanned again.
+    """
+    truths = cube.where(F.col("system") == of).groupBy("task", "truth").agg(F.sum("n").alias("n"))
+    known = F.when(F.col("truth").isNotNull(), F.struct((-F.col("n")).alias("n"), "truth"))
+    most = truths.groupBy("task").agg(F.min(known)["truth"].alias("most"))
+    said = F.col("most")
+    for task, value in fixed.items():
+        if value is not None:
+            said = F.when(F.col("task") == task, value).otherwise(said)
+    rows = truths.where(F.col("task").isin(list(fixed))).join(most, "task")
+    return cube.unionByName(rows.select("task", F.lit("trivial").alias("system"), "truth", said.alias("pred"), "n"))
+
+
+def cube_accuracy(cube: DataFrame) -> DataFrame:
+    """A row per system, a column <task>_accuracy per task."""
+    hits = F.sum(F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0))
+    rates = cube.groupBy("system", "task").agg(F.try_divide(hits.cast("double"), F.sum("n").cast("double")).alias("accuracy"))
+    tasks = sorted(r["task"] for r in rates.select("task").distinct().collect())
+    wide = rates.groupBy("system").pivot("task", tasks).agg(F.first("accuracy"))
+    return wide.select("system", *[F.col(f"`{t}`").alias(f"{t}_accuracy") for t in tasks])
+
+
+def cube_pairs(cube: DataFrame, task: str, system: str) -> DataFrame:
+    """(truth, pred, n) of one task and system, for classification_report and confusion_matrix."""
+    return cube.where((F.col("task") == task) & (F.col("system") == system)).select("truth", "pred", "n")
+
+
 def classification_report(df: DataFrame, truth: str, pred: str, labels: Sequence[str]) -> DataFrame:
-    """label, precision, recall, f1, support; 0 where a ratio has no rows.
+    return report_of_pairs(_label_pairs(df, truth, pred), labels)
+
+
+def report_of_pairs(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """label, precision, recall, f1, support of (truth, pred, n); 0 where a ratio has no rows.
 
     After the labels come the accuracy (named micro avg where rows carry labels
     outside the list), the plain mean and the mean weighted by support.
     """
     hit = F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0)
-    sides = _label_pairs(df, truth, pred).select(F.explode(F.array(
+    sides = pairs.select(F.explode(F.array(
         F.struct(F.col("truth").alias("label"), F.col("n").alias("support"),
                  F.lit(0).cast("bigint").alias("predicted"), hit.alias("tp")),
         F.struct(F.col("pred").alias("label"), F.lit(0).cast("bigint").alias("support"),
                  F.col("n").alias("predicted"), F.lit(0).cast("bigint").alias("tp")))).alias("s"))
     totals = sides.groupBy("s.label").agg(
         *[F.sum(f"s.{c}").alias(c) for c in ("support", "predicted", "tp")])
-    listed = _labels(df, labels).join(totals, "label", "full").withColumns(
+    listed = _labels(pairs, labels).join(totals, "label", "full").withColumns(
         {c: F.coalesce(c, F.lit(0)) for c in ("support", "predicted", "tp")})
 
     tp, support, predicted = F.col("tp"), F.col("support"), F.col("predicted")
@@ -128,10 +174,13 @@ def classification_report(df: DataFrame, truth: str, pred: str, labels: Sequence
 
 
 def confusion_matrix(df: DataFrame, truth: str, pred: str, labels: Sequence[str]) -> DataFrame:
-    """A row per true label, a column per predicted label, in list order."""
-    pairs = _label_pairs(df, truth, pred)
+    return matrix_of_pairs(_label_pairs(df, truth, pred), labels)
+
+
+def matrix_of_pairs(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """A row per true label, a column per predicted label, in list order, of (truth, pred, n)."""
     counts = pairs.groupBy(F.col("truth").alias("label")).pivot("pred", list(labels)).agg(F.sum("n"))
-    return _labels(df, labels).join(counts, "label", "left").na.fill(0).select("position", "label", *labels)
+    return _labels(pairs, labels).join(counts, "label", "left").na.fill(0).select("position", "label", *labels)
 
 
 def system_comparison(systems: Mapping[str, DataFrame], intent: tuple[str, str] = ("true_intent", "predicted_intent"),
@@ -191,48 +240,63 @@ def score_spread(df: DataFrame, *cols: str) -> DataFrame:
     return sums.select(line.alias("l")).select("l.*")
 
 
-def _t_two_sided():
-    """UDF for P(|T| > t) of Student's t, called once per report.
+def _gamma_step(a: float) -> float:
+    """Gamma(a + 1/2) / (sqrt(a) Gamma(a)): an asymptotic series, reached from smaller a by the recurrence."""
+    factor = 1.0
+    while a < 40.0:
+        factor *= a / (a + 0.5) * math.sqrt((a + 1.0) / a)
+        a += 1.0
+    z = 1.0 / a
+    return factor * (1.0 + z * (-1 / 8 + z * (1 / 128 + z * (5 / 1024 + z * (-21 / 32768 + z * (-399 / 262144 + z * 869 / 4194304))))))
 
-    It is the regularised incomplete beta function I_x(dof/2, 1/2) with
-    x = dof / (dof + t^2), evaluated by its continued fraction.
-    """
-    def fraction(a, b, x):
-        tiny, h, c = 1e-300, 1.0, 1.0
-        d = 1.0 - (a + b) * x / (a + 1.0)
-        d = h = 1.0 / (d if abs(d) > tiny else tiny)
-        for m in range(1, 20000):
-            even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-            odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-            for step in (even, odd):
-                d = 1.0 + step * d
-                d = 1.0 / (d if abs(d) > tiny else tiny)
-                c = 1.0 + step / c
-                c = c if abs(c) > tiny else tiny
-                h *= d * c
-            if abs(d * c - 1.0) < 1e-15:
-                return h
-        raise ArithmeticError(f"no convergence for a={a}, b={b}, x={x}")
-
-    def p(t2, dof):
-        if pd.isna(t2) or dof < 1:
-            return None
-        if dof > 1e7:  # the normal limit, right to about 1 / dof
-            return math.erfc(math.sqrt(t2 / 2.0))
-        a, b, x = dof / 2.0, 0.5, dof / (dof + t2)
-        if x <= 0.0 or x >= 1.0:
-            return float(x > 0.0)
-        front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                         + a * math.log(x) + b * math.log1p(-x))
-        if x < (a + 1.0) / (a + b + 2.0):
-            return front * fraction(a, b, x) / a
-        return 1.0 - front * fraction(b, a, 1.0 - x) / b
 
+def t_two_sided(t_squared: float, dof: float) -> float:
+    """P(|T| > t) of Student's t, by one formula at every number of degrees of freedom.
+
+    With u = sqrt(dof) sinh(y / sqrt(dof)) the tail is the integral of
+    cosh(y / sqrt(dof)) ** -dof over y, which becomes exp(-y * y / 2) as dof grows; it is
+    summed by double-exponential quadrature, relative to the integrand's first value.
+    """
+    root = math.sqrt(dof)
+    start = math.asinh(math.sqrt(t_squared / dof))
+
+    def log_cosh(z: float) -> float:
+        return z + math.log1p(math.exp(-2.0 * z)) - math.log(2.0) if z > 1.0 else 0.5 * math.log1p(math.sinh(z) ** 2)
+
+    if math.isinf(start):
+        return 0.0
+    base = log_cosh(start)
+    # log cosh(start + s) - log cosh(start) without the difference of two near numbers
+    tanh = math.tanh(start)
+
+    def decay(s: float) -> float:
+        z = s / root
+        if z > 1.0:
+            return dof * (log_cosh(start + z) - base)
+        return dof * math.log1p(2.0 * math.sinh(z / 2.0) ** 2 + tanh * math.sinh(z))
+
+    scale = 1.0 / max(1.0, root * tanh)  # how far the integrand reaches
+    terms, step = [], 1.0 / 64
+    for i in range(-320, 321):
+        u = i * step
+        s = scale * math.exp(math.pi / 2 * math.sinh(u))
+        if 0.0 < s < 1e300:
+            exponent = decay(s) if s / root < 700.0 else math.inf
+            if exponent < 745.0:
+                terms.append(math.exp(-exponent) * s * math.pi / 2 * math.cosh(u))
+    tail = math.fsum(terms) * step
+    # Gamma((dof + 1) / 2) / (sqrt(pi dof) Gamma(dof / 2)), twice
+    front = 2.0 * _gamma_step(dof / 2.0) / math.sqrt(2.0 * math.pi)
+    return min(1.0, front * math.exp(-dof * base) * tail)
+
+
+def _p_value():
+    """UDF of t_two_sided, for the one row of a report."""
     @F.pandas_udf("double")
-    def t_two_sided(t_squared: pd.Series, dof: pd.Series) -> pd.Series:
-        return pd.Series([p(t2, nu) for t2, nu in zip(t_squared, dof)], dtype="float64")
+    def p_value(t_squared: pd.Series, dof: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(t) or nu < 1 else t_two_sided(float(t), float(nu)) for t, nu in zip(t_squared, dof)], dtype="float64")
 
-    return t_two_sided
+    return p_value
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -263,6 +327,6 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     t_squared = F.when(unexplained > 1e-15,
                        F.try_divide(F.col("rho") * F.col("rho") * (F.col("n") - 2), unexplained)
                        ).when(F.col("rho").isNotNull(), F.lit(float("inf")))
-    p_value = _t_two_sided()
+    p_value = _p_value()
     return (sums.select(F.coalesce("n", F.lit(0)).alias("n"), rho.alias("rho"))
             .select("rho", F.when(F.col("n") > 2, p_value(t_squared, (F.col("n") - 2).cast("double"))).alias("p"), "n"))

@@ -9,15 +9,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
+from caseloom.functions.rules import Rules, simple_intent, simple_routing
 from caseloom.operators import evaluate as e
 from caseloom.operators.sampling import spread_sample
+from caseloom.operators.scoring import Scorer, judge_replies
+from caseloom.session import materialize
+
+
+def system_cube(golden: DataFrame, run: bool = False, text: str = "customer_text", rules: Rules = fv.INTENT_RULES, default: str = fv.CATCH_ALL,
+                escalations: Sequence[str] = fv.BASELINE_ESCALATION_PATTERNS) -> DataFrame:
+    """The confusion cube of the baselines, and of the run whose predictions the table holds, over both tasks; one scan."""
+    intents = {"simple": simple_intent(F.col(text), rules, default)} | ({"full": F.col("predicted_intent")} if run else {})
+    routes = {"simple": simple_routing(F.col(text), escalations)} | ({"full": F.col("routing_decision")} if run else {})
+    cube = e.confusion_cube(golden, {"intent": ("true_intent", intents), "routing": ("true_routing", routes)})
+    # every later report reads these few cells
+    return materialize(e.cube_with_trivial(materialize(cube, "cube"), "simple", {"intent": None, "routing": F.lit(fv.ESCALATE)}), "cube")
 
 
 def baseline_comparison(golden: DataFrame, run: DataFrame | None = None) -> DataFrame:
-    systems = {"trivial": e.trivial_predict(golden), "simple": e.simple_predict(golden)}
-    if run is not None:
-        systems["full"] = run
-    return e.system_comparison(systems)
+    """A row per system: intent and routing accuracy.  A run carries the golden columns and its predictions."""
+    return e.cube_accuracy(system_cube(golden if run is None else run, run is not None))
+
+
+def evaluate_run(run: DataFrame, judge: Scorer, human: DataFrame | None = None, labels: Sequence[str] = fv.INTENTS,
+                 store: str | None = None, attempts: int = 1) -> dict[str, DataFrame]:
+    """The judging job: systems compared, the run's report and matrix, judge scores and their means, and agreement with human scores.
+
+    run: golden columns and the run's output.  The rows are scanned once for all label
+    reports, the judge is asked once a reply, and what it said is written before it is reported.
+    """
+    cube = system_cube(run, True)
+    judged = materialize(judge_replies(run, judge, store=store, attempts=attempts), "judged")
+    dimensions = [f"judge_{d}" for d in fv.JUDGE_DIMENSIONS]
+    pairs = e.cube_pairs(cube, "intent", "full")
+    reports = {"systems": e.cube_accuracy(cube), "report": e.report_of_pairs(pairs, labels), "matrix": e.matrix_of_pairs(pairs, labels),
+               "judged": judged, "means": e.mean_judge_scores(judged, dimensions), "review": review_sheet(judged)}
+    if human is not None:
+        reports["agreement"] = judge_agreement(human, judged)
+    return reports
 
 
 def prediction_report(predictions: DataFrame, labels: Sequence[str] = fv.INTENTS, truth: str = "true_intent",

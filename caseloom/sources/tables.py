@@ -1,9 +1,9 @@
 """Typed table reads and writes.
 
 CSV is the exchange format of the jobs' users; between our own jobs use
-Parquet, which prunes columns and splits for any number of executors.  A CSV
-with line breaks inside quotes cannot be split, so a very large export should
-come as many files, or be converted once.
+Parquet, which prunes columns and splits for any number of executors.  The raw
+export, which may be one large file with line breaks inside quotes, is read by
+byte ranges (csv_ranges); the small exchange tables are read a task per file.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseloom.session import materialize
+from caseloom.sources.csv_ranges import infer_types, scan_csv_ranges
+
 
 def _table(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
@@ -54,19 +57,31 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructTy
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    return rows.select([rows[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def scan_csv_table(spark: SparkSession, path: str, schema: T.StructType,
                    multi_line: bool = True) -> DataFrame:
     """Typed CSV read; columns are matched by name, undecodable bytes become U+FFFD."""
-    header = spark.read.options(**{**_CSV, "multiLine": str(multi_line).lower()}).csv(path)
-    return header.select([header[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    return _typed(spark.read.options(**{**_CSV, "multiLine": str(multi_line).lower()}).csv(path), schema)
 
 
 def scan_raw_posts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The raw export; of its columns only the five that are used.
 
-    multi_line=False, for exports without line breaks inside quotes, lets many tasks share a file.
+    Many tasks share a file either way; multi_line=False, for exports without line
+    breaks inside quotes, saves the pass that counts quotes.
     """
-    return scan_csv_table(spark, path, RAW_POSTS, multi_line)
+    if not multi_line:
+        return scan_csv_table(spark, path, RAW_POSTS, False)
+    return _typed(scan_csv_ranges(spark, path, _CSV), RAW_POSTS)
+
+
+def scan_inferred(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of a CSV of any size with the types that all their values have."""
+    rows = materialize(scan_csv_ranges(spark, path, _CSV), "csv")
+    return _typed(rows, infer_types(rows))
 
 
 def scan_optional_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

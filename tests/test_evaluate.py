@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from caseloom import fixed_values as fv
 from caseloom.operators import evaluate as e
 from caseloom.plans import evaluation
 
@@ -156,3 +157,65 @@ def test_report_totals_equal_rows(spark):
     df = predicted(spark, [x for x, _ in combos], [y for _, y in combos])
     matrix = e.confusion_matrix(df, "t", "p", labels).collect()
     assert sum(r[x] for r in matrix for x in labels) == len(combos)
+
+
+# ---- one pass, one formula
+
+@pytest.mark.parametrize("t", [0.0, 1e-6, 0.3, 1.0, 2.5, 12.0, 400.0])
+def test_p_values_of_few_degrees_have_closed_forms(t):
+    assert e.t_two_sided(t * t, 1) == pytest.approx(1 - 2 / math.pi * math.atan(t) if t < 10 else 2 / math.pi * math.atan(1 / t), rel=1e-10)
+    assert e.t_two_sided(t * t, 2) == pytest.approx(2 / ((2 + t * t) * (1 + t / math.sqrt(2 + t * t))), rel=1e-10)
+    # three degrees: a finite sum
+    a = math.atan(t / math.sqrt(3))
+    assert e.t_two_sided(t * t, 3) == pytest.approx(1 - 2 / math.pi * (a + math.sin(a) * math.cos(a)), abs=1e-11)
+
+
+@pytest.mark.parametrize("t", [0.1, 1.0, 2.0, 3.5, 6.0])
+@pytest.mark.parametrize("dof", [9_999_999, 10_000_001, 1e6, 1e9, 1e13])
+def test_p_values_near_the_normal_limit(t, dof):
+    """Two terms of the expansion in 1 / dof, on both sides of ten millions."""
+    bell = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    second = t * (3 * t ** 6 - 7 * t ** 4 - 5 * t ** 2 - 3) / 96
+    want = math.erfc(t / math.sqrt(2)) + 2 * bell * ((t ** 3 + t) / 4 / dof + second / dof ** 2)
+    assert e.t_two_sided(t * t, dof) == pytest.approx(want, rel=1e-10)
+
+
+def test_p_values_do_not_jump():
+    values = [e.t_two_sided(4.0, 1.1 ** k) for k in range(0, 320)]
+    steps = [b - a for a, b in zip(values, values[1:])]
+    assert all(s < 1e-12 for s in steps) and values[-1] == pytest.approx(math.erfc(2 / math.sqrt(2)), rel=1e-10)
+
+
+def test_all_label_reports_come_from_one_scan(spark, tmp_path):
+    df = predicted(spark).withColumns({"r": F.lit("escalate"), "d": F.col("p")})
+    path = str(tmp_path / "run")
+    df.write.parquet(path)
+    stored = spark.read.parquet(path)
+    cube = e.confusion_cube(stored, {"intent": ("t", {"full": F.col("p"), "always b": F.lit("b")}), "routing": ("r", {"full": F.col("d")})})
+    assert cube._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    labels = ["a", "b", "c", "e"]
+    pairs = e.cube_pairs(cube, "intent", "full")
+    assert sorted(e.report_of_pairs(pairs, labels).collect()) == sorted(e.classification_report(df, "t", "p", labels).collect())
+    assert sorted(e.matrix_of_pairs(pairs, labels).collect()) == sorted(e.confusion_matrix(df, "t", "p", labels).collect())
+    rows = {r.system: r for r in e.cube_accuracy(e.cube_with_trivial(cube, "full", {"intent": None, "routing": F.lit("escalate")})).collect()}
+    assert rows["full"].intent_accuracy == e.accuracy(df, "t", "p").first().accuracy and rows["trivial"].routing_accuracy == 1.0
+    assert rows["trivial"].intent_accuracy == e.accuracy(e.trivial_predict(df, "t"), "t", "predicted_intent").first().accuracy
+
+
+def test_the_judging_job(spark):
+    from caseloom.operators.scoring import column_scorer
+    from caseloom.plans.evaluation import evaluate_run
+    rows = [(i, f"my phone {i} will not charge", "reply", False, fv.INTENTS[i % 3], "escalate" if i % 2 else "auto_handle", "", fv.INTENTS[i % 2],
+             "escalate", "", f"Please see {i}.", "none") for i in range(24)]
+    run = spark.createDataFrame(rows, """customer_tweet_id long, customer_text string, apple_reply_text string, is_dm_redirect boolean, true_intent string,
+        true_routing string, escalation_reason string, predicted_intent string, routing_decision string, escalation_reason_predicted string,
+        drafted_reply string, retrieved_precedent string""")
+    scores = lambda s, p: F.concat(F.lit('{"relevance": '), (F.length(p) % 5 + 1).cast("string"), F.lit(', "groundedness": 3, "tone": 4}'))
+    human = run.select("customer_tweet_id", *[(F.col("customer_tweet_id") % 5 + 1).alias(f"human_{d}") for d in fv.JUDGE_DIMENSIONS])
+    out = evaluate_run(run, column_scorer(scores), human)
+    systems = {r.system: r for r in out["systems"].collect()}
+    assert set(systems) == {"trivial", "simple", "full"} and systems["full"].routing_accuracy == 0.5
+    assert out["judged"].where("judge_tone = 4").count() == 24 and out["means"].where("failed = 0").count() == 3
+    assert {r.dimension for r in out["agreement"].collect()} == set(fv.JUDGE_DIMENSIONS)
+    assert out["report"].where("label = 'accuracy'").count() == 1 and out["matrix"].count() == len(fv.INTENTS)
+    assert out["review"].count() == min(24, fv.HUMAN_SAMPLE_SIZE)
