@@ -107,7 +107,7 @@ def knn_exact_by_block(spark, sf):
 
 @query("knn_join", "SELECT query_id, corpus_id, round(distance, 6) AS distance FROM found", VECTORS)
 def knn_join(spark, sf):
-    found = r.knn_exact(t.asked(spark, sf), t.corpus(spark, sf), 3, "customer_tweet_id", "customer_tweet_id")
+    found = r.knn_join(t.asked(spark, sf), t.corpus(spark, sf), 3, "customer_tweet_id", "customer_tweet_id")
     return found.select("query_id", "corpus_id", F.round("distance", 6).alias("distance"))
 
 

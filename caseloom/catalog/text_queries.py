@@ -19,6 +19,15 @@ def repair_mojibake(spark, sf):
     return t.pairs(spark, sf).select("customer_tweet_id", F.md5(x.repair_mojibake(damaged)).alias("repaired"))
 
 
+# Damaged twice, by two code pages in turn.
+@query("repair_two_layers", "SELECT customer_tweet_id, md5(customer_text) AS repaired FROM pairs", ("pairs",))
+def repair_two_layers(spark, sf):
+    damaged = text()
+    for page in ("ISO-8859-1", "ISO-8859-1"):
+        damaged = F.decode(F.encode(damaged, "UTF-8"), page)
+    return t.pairs(spark, sf).select("customer_tweet_id", F.md5(x.repair_mojibake(damaged)).alias("repaired"))
+
+
 @query("repair_keeps_sound_text", """SELECT doc_id AS customer_tweet_id, md5(text) AS repaired FROM documents""")
 def repair_keeps_sound_text(spark, sf):
     return t.pairs(spark, sf).select("customer_tweet_id", F.md5(x.repair_mojibake(text())).alias("repaired"))

@@ -22,14 +22,26 @@ WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 ZERO_WIDTH = "\u200b\u200c\u200d\ufeff"
 
-# The printable characters windows-1252 puts at bytes 80-9F, and the control
-# characters ISO-8859-1 has there.
-_CP1252 = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
-_SPECIALS = bytes(_CP1252).decode("cp1252")
-_CONTROLS = "".join(map(chr, _CP1252))
+#: Code pages that UTF-8 is mistaken for; earlier ones win where two explain a text equally well.
+PAGES = ("cp1252", "latin-1", "cp1250")
+LAYERS = 3  # how often a text may have been mistaken
 
-_BYTE_LIKE = rf"\x00-\xff{_SPECIALS}"
-_SUSPECT = rf"[\xc2-\xf4][\x80-\xbf{_SPECIALS}]"
+
+def _upper_half(page: str) -> list[str]:
+    """The characters of a page's bytes 80 to FF; the control character where a byte has none."""
+    return [bytes([b]).decode(page, "ignore") or chr(b) for b in range(0x80, 0x100)]
+
+
+def _class(chars: Sequence[str]) -> str:
+    """The characters as the inside of a regex class."""
+    return "".join(f"\\x{{{ord(ch):x}}}" for ch in sorted(set(chars)))
+
+
+_UPPER = {page: _upper_half(page) for page in PAGES}
+_LEAD = _class([ch for upper in _UPPER.values() for ch in upper[0x42:0x75]])  # bytes C2 to F4 start a character
+_FOLLOW = _class([ch for upper in _UPPER.values() for ch in upper[:0x40]])  # bytes 80 to BF go on with it
+_SUSPECT = f"[{_LEAD}][{_FOLLOW}]"
+_CONTROL = "[\\x80-\\x9f]"
 
 
 def search(c: Column, pattern: str, ignore_case: bool = True) -> Column:
@@ -72,22 +84,46 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def repair_mojibake(c: Column) -> Column:
-    """Undo UTF-8 text that was once decoded as windows-1252.
+def _undone(c: Column, page: str) -> Column:
+    """UTF-8 that was once decoded as the page, decoded anew.
 
-    The text is cut into runs of characters a single-byte code page can hold.
-    A run whose bytes are valid UTF-8 is decoded as such, any other run stays,
-    so emoji or CJK next to a damaged word do not block its repair.
+    The text is cut into runs of characters the page can hold.  A run whose bytes
+    are valid UTF-8 is decoded as such, any other run stays, so emoji or CJK next to
+    a damaged word do not block its repair.
     """
+    upper = _UPPER[page]
+    moved = [(ch, chr(b)) for b, ch in enumerate(upper, 0x80) if ch != chr(b)]
+    held = f"\\x00-\\x7f{_class(upper)}"
+
     def decode(run: Column) -> Column:
         """Encode only behind the test: it raises on characters it cannot map."""
-        one_byte = F.translate(run, _SPECIALS, _CONTROLS)
+        one_byte = F.translate(run, "".join(a for a, _ in moved), "".join(b for _, b in moved)) if moved else run
         raw = F.encode(one_byte, "ISO-8859-1").cast("string")
-        return F.when(one_byte.rlike(r"\A[\x00-\xff]+\z"), F.coalesce(F.try_validate_utf8(raw), run))
+        return F.when(run.rlike(rf"\A[{held}]+\z"), F.coalesce(F.try_validate_utf8(raw), run))
 
-    runs = F.regexp_extract_all(c, F.lit(rf"[{_BYTE_LIKE}]+|[^{_BYTE_LIKE}]+"), F.lit(0))
+    runs = F.regexp_extract_all(c, F.lit(f"[{held}]+|[^{held}]+"), F.lit(0))
     by_run = F.array_join(F.transform(runs, lambda run: F.coalesce(decode(run), run)), "")
-    return F.when(~c.rlike(_SUSPECT), c).otherwise(F.coalesce(decode(c), by_run))
+    return F.coalesce(decode(c), by_run)
+
+
+def repair_mojibake(c: Column, pages: Sequence[str] = PAGES, layers: int = LAYERS) -> Column:
+    """Undo UTF-8 text that was decoded as another code page, once or several times over.
+
+    A search over pages and layers: of the text as it is and what each page makes of it,
+    the most plausible goes on to the next layer, that with the fewest pairs of
+    characters that look like the bytes of one, and control characters besides; the text as it is wins ties, so
+    a sound text stays, and of two changed ones that with more bytes joined.  Texts without such a pair are not looked at further.
+    """
+    def layer(text: Column) -> Column:
+        tried = F.array(text, *[_undone(text, page) for page in pages])
+        ranked = F.transform(tried, lambda t, i: F.struct(  # every candidate is made once
+            F.regexp_count(t, F.lit(f"{_SUSPECT}|{_CONTROL}")).alias("bad"), (i > 0).alias("changed"), F.length(t).alias("length"), i.alias("i"), t.alias("text")))
+        return F.when(text.rlike(_SUSPECT), F.array_min(ranked)["text"]).otherwise(text)
+
+    found = c
+    for _ in range(layers):
+        found = F.transform(F.array(found), layer)[0]  # each layer is computed once
+    return F.when(~c.rlike(_SUSPECT), c).otherwise(found)
 
 
 def straighten_quotes(c: Column) -> Column:

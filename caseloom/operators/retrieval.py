@@ -284,6 +284,10 @@ def top_k_neighbours(found: DataFrame, k: int = fv.TOP_K) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(nearest_first)).where(F.col("rank") <= k)
 
 
+def _none_found(df: DataFrame, k: int) -> DataFrame:
+    return top_k_neighbours(df.sparkSession.createDataFrame([], _FOUND), k)
+
+
 def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
               query_key: str = "id", corpus_key: str = "id", n_cells: int | None = None,
               seed: int = fv.SAMPLE_SEED, max_broadcast_floats: int = MAX_BROADCAST_FLOATS) -> DataFrame:
@@ -297,6 +301,106 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
     return top_k_neighbours(search_cells(q, celled, cells, k, None), k)
 
 
+def knn_join(left: DataFrame, right: DataFrame, k: int = fv.TOP_K, left_key: str = "id", right_key: str = "id",
+             n_cells: int | None = None, seed: int = fv.SAMPLE_SEED) -> DataFrame:
+    """query_id, corpus_id, distance, rank: the k nearest right rows of every left row, exactly.
+
+    Both sides are put into the same trained cells.  By the triangle inequality a left
+    cell needs a right cell only if the nearest two points they can hold are no farther
+    apart than a distance within which every left row is known to have k right rows; and
+    of the rows of a needed cell a left row meets only those whose distance to the cell's
+    centre differs from its own by no more than that.  See join_pairs for the pairs left.
+    """
+    if _vectors(right, right_key).isEmpty():
+        return _none_found(left, k)
+    meeting, _ = _cell_meetings(left, right, k, left_key, right_key, n_cells, seed)
+    matrix, _, nearest = _kernels(k)
+
+    def meet(c: pa.Table, q: pa.Table) -> pa.Table:
+        if not c.num_rows or not q.num_rows:
+            return _pairs_table(None)
+        # rows in rings around the cell's centre: a query's ring is a run of them
+        reach, limit, away = c["reach"].to_numpy(), q["limit"].to_numpy(), q["away"].to_numpy()
+        order = np.argsort(reach, kind="stable")
+        ids, x, reach = c["id"].to_numpy()[order], matrix(c["v"])[order], reach[order]
+        q_ids, y, found = q["id"].to_numpy(), matrix(q["v"]), []
+        by_place = np.argsort(away, kind="stable")
+        for low in range(0, len(by_place), 64):  # queries at about the same distance from the centre share their ring
+            at = by_place[low: low + 64]
+            slack = 1e-6 * (1.0 + away[at].max() + reach[-1])
+            first = np.searchsorted(reach, (away[at] - limit[at]).min() - slack)
+            end = np.searchsorted(reach, (away[at] + limit[at]).max() + slack, "right")
+            if end > first:
+                found.append(nearest(q_ids[at], y[at], ids[first:end], x[first:end]))
+        return _pairs_table([np.concatenate(f) for f in zip(*found)] if found else None)
+
+    found = meeting[1].groupBy("block", "chunk").cogroup(meeting[0].groupBy("block", "chunk")).applyInArrow(meet, _FOUND)
+    return top_k_neighbours(found, k)
+
+
+def join_pairs(left: DataFrame, right: DataFrame, k: int = fv.TOP_K, left_key: str = "id", right_key: str = "id",
+               n_cells: int | None = None, seed: int = fv.SAMPLE_SEED) -> DataFrame:
+    """One row: pairs of rows in cells that meet in knn_join, and all pairs of the two sides."""
+    (visits, _), cells = _cell_meetings(left, right, k, left_key, right_key, n_cells, seed)
+    sizes = left.sparkSession.createDataFrame([(i, int(n)) for i, n in enumerate(cells.rows)], "cell int, n bigint")
+    met = visits.join(sizes, "cell").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("met"))
+    return met.withColumn("all_pairs", F.lit(int(_vectors(left, left_key).count() * cells.rows.sum())))
+
+
+def _cell_meetings(left: DataFrame, right: DataFrame, k: int, left_key: str, right_key: str, n_cells: int | None, seed: int):
+    """((left rows per block to visit, right rows per block), right cells)."""
+    c = _vectors(right, right_key)
+    placed, cells = trained_cells(c, n_cells, seed, codes=False)
+    q = materialize(trained.assign(_vectors(left, left_key), cells).select("id", "v", "cell", "reach"), "left")
+    extent = {r["cell"]: r["r"] for r in q.groupBy("cell").agg(F.max("reach").alias("r")).collect()}  # a number per cell
+    counts = _blocks_per_cell(cells.rows)
+    first_block = np.concatenate([[0], np.cumsum(counts)[:-1]])
+    shared = q.sparkSession.sparkContext.broadcast((cells, extent, first_block, counts))
+
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Right cells of a left cell, with the distance that bounds its rows' neighbours."""
+        cells, extent, _, _ = shared.value
+        for batch in batches:
+            for own in batch.column("own").to_pylist():
+                apart = np.sqrt(trained.squared(cells.centers[own: own + 1], cells.centers)[0])
+                far = np.where(cells.rows > 0, apart + extent[own] + cells.radius, np.inf)
+                order = np.argsort(far, kind="stable")
+                enough = int((np.cumsum(cells.rows[order]) < k).sum())
+                limit = far[order[enough]] if enough < len(order) else np.inf
+                to = np.flatnonzero((cells.rows > 0) & (apart - extent[own] - cells.radius <= limit + 1e-6 * (1.0 + apart)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(to), own, np.int32)), pa.array(to.astype(np.int32)), pa.array(np.full(len(to), limit))],
+                                                 ["own", "cell", "limit"])
+
+    wanted = q.select(F.col("cell").alias("own")).distinct().mapInArrow(needed, "own int, cell int, limit double")
+
+    @F.pandas_udf("double")
+    def away(v: pd.Series, cell: pd.Series) -> pd.Series:
+        x = np.stack(v.to_numpy()).astype(float) if len(v) else np.zeros((0, 1))
+        return pd.Series(np.sqrt(((x - shared.value[0].centers[cell.to_numpy()]) ** 2).sum(1)) if len(v) else [], dtype="float64")
+
+    visits = q.select("id", "v", F.col("cell").alias("own")).join(wanted, "own").withColumn("away", away("v", "cell"))
+    visits = materialize(visits.select("id", "v", "cell", "limit", "away"), "visits")
+    # a block of a cell is copied once per CHUNK_ROWS left rows that meet the cell
+    chunks = visits.groupBy("cell").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
+
+    @F.pandas_udf("array<int>")
+    def blocks(cell: pd.Series) -> pd.Series:
+        _, _, first, n = shared.value
+        return pd.Series([np.arange(first[c], first[c] + n[c], dtype="int32") for c in cell], dtype=object)
+
+    @F.pandas_udf("int")
+    def home(cell: pd.Series, h: pd.Series) -> pd.Series:
+        _, _, first, n = shared.value
+        at = cell.to_numpy()
+        return pd.Series((first[at] + h.to_numpy() % n[at]).astype("int32"))
+
+    rows = join_lookup(visits, chunks, "cell", "inner").select(
+        "id", "v", "cell", "limit", "away", F.explode(blocks("cell")).alias("block"), F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
+    blocked = join_lookup(placed.select("id", "v", "cell", "reach", home("cell", F.xxhash64("id")).alias("block")), chunks, "cell", "inner").select(
+        "id", "v", "reach", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    return (rows, blocked), cells
+
+
 def trained_cells(corpus: DataFrame, n_cells: int | None = None, seed: int = fv.SAMPLE_SEED, codes: bool = True) -> tuple[DataFrame, trained.Cells]:
     """(id, v, top, cell, reach, code) of a corpus (id, v), written once, and its trained cells; by default three times the root of its rows."""
     n = corpus.count()
@@ -323,6 +427,8 @@ def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
     distances are computed; None computes those of all rows of the cells.
     """
     q, c = _vectors(queries, query_key), _vectors(corpus, corpus_key)
+    if c.isEmpty():
+        return _none_found(q, k)
     placed, cells = trained_cells(c, n_cells, seed, codes=reranked is not None)
     if probes is None:
         cells = measured_probes(placed, cells, q, k, recall, seed)

@@ -87,6 +87,34 @@ def test_few_or_equal_vectors(spark, rows):
     assert sorted(got) == sorted(want)
 
 
+# --- join
+
+@pytest.mark.parametrize("n_cells", [None, 1, 9])
+def test_knn_join_equals_brute_force(spark, n_cells, monkeypatch):
+    monkeypatch.setattr(r, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(r, "CHUNK_ROWS", 25)
+    rng = np.random.default_rng(21)
+    centers = rng.normal(size=(10, 6)) * 6
+    sides = [(centers[rng.integers(0, 10, n)] + rng.normal(size=(n, 6)) * 0.4).astype("float32") for n in (150, 700)]
+    sides[1][:120] = sides[0][0]  # copies of one vector
+    left, right = (spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<float>") for x in sides)
+    got = {(x.query_id, x["rank"], x.corpus_id) for x in r.knn_join(left, right, 4, n_cells=n_cells).collect()}
+    want = set()
+    for i, v in enumerate(sides[0].astype(float)):
+        d = ((sides[1].astype(float) - v) ** 2).sum(1)
+        want |= {(i, rank, int(j)) for rank, j in enumerate(np.lexsort((np.arange(len(d)), d))[:4], 1)}
+    assert got == want
+    if n_cells is None:
+        counts = r.join_pairs(left, right, 4).first()
+        assert counts["all_pairs"] == 150 * 700 and counts["met"] < 0.4 * counts["all_pairs"]
+
+
+def test_knn_join_of_nothing(spark):
+    some = spark.createDataFrame([(1, [1.0, 2.0]), (2, None), (None, [1.0, 1.0])], "id long, embedding array<float>")
+    assert r.knn_join(some, some.limit(0), 2).collect() == [] == r.knn_join(some.limit(0), some, 2).collect()
+    assert [(x.query_id, x.corpus_id) for x in r.knn_join(some, some, 2).collect()] == [(1, 1)]
+
+
 # --- text model
 
 def test_latent_projection_equals_a_full_decomposition(spark):

@@ -1,3 +1,5 @@
+import pytest
+
 from caseloom.functions import text as x
 
 
@@ -34,6 +36,25 @@ def test_mojibake(values):
                    "\U0001f600 café", "naïve Ã©"]
 
 
+def damage(text, *pages):
+    for page in pages:
+        text = "".join(bytes([b]).decode(page, "ignore") or chr(b) for b in text.encode())
+    return text
+
+
+@pytest.mark.parametrize("pages", [("cp1252",), ("latin-1",), ("cp1250",), ("cp1252", "cp1252"), ("latin-1", "latin-1"), ("cp1250", "cp1250"),
+                                   ("cp1252", "latin-1"), ("latin-1", "cp1252"), ("cp1252",) * 3])
+def test_pages_and_layers_of_damage(values, pages):
+    texts = ["it’s café", "žluťoučký kůň", "Größe – naïve", "¿Qué? ¡Sí!", "日本語 text", "\U0001f600 ok", "plain", "“quoted” … 5 €"]
+    got = values(x.repair_mojibake, "string", *[damage(t, *pages) for t in texts])
+    assert got == texts
+
+
+def test_sound_texts_stay(values):
+    texts = ["Ångström Ärger Łódź", "São Tomé", "ÎÏ ÀÉ", "Â", "Ã", "x² ± 5°", "", None, "naïve Ã©", "«Á»", "a" * 5_000]
+    assert values(x.repair_mojibake, "string", *texts) == texts
+
+
 def test_clean_text(spark):
     texts = ["we\u2019ll \u201cgo\u201d", "it\u00e2\u20ac\u2122s", "R&amp;D", "<b>&amp;</b>", "a\r\nb\rc\u2028d", None, "&amp;lt;"]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, c string")
