@@ -37,9 +37,11 @@ def count_missing_labels(spark, sf):
     return c.count_missing_labels(t.audit(spark, sf), ["model_confidence_note", "escalation_reason", "true_intent"])
 
 
-@query("flag_uncertain_notes", """SELECT customer_tweet_id, model_confidence_note FROM audit
- WHERE regexp_matches(lower(model_confidence_note), 'ambiguous|could be|could also|unclear|not clear|doesn''t clearly fit|does not clearly fit|either|uncertain|hard to tell|borderline|might be|slightly ambiguous|not entirely|somewhat unclear')""",
-       AUDIT)
+MARKERS = "|".join(fv.UNCERTAINTY_MARKERS).replace("'", "''")
+
+
+@query("flag_uncertain_notes", f"""SELECT customer_tweet_id, model_confidence_note FROM audit
+ WHERE regexp_matches(lower(model_confidence_note), '{MARKERS}')""", AUDIT)
 def flag_uncertain_notes(spark, sf):
     return c.flag_uncertain_notes(t.audit(spark, sf)).select("customer_tweet_id", "model_confidence_note")
 
