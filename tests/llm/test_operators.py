@@ -115,6 +115,56 @@ def test_trees_as_columns_give_the_models_margin(spark):
     assert spans[1] == "" and spans[2] in ("", "phone:5:19")
 
 
+def test_spans_that_the_rules_miss_are_found(spark):
+    """Numbers that touch another one, lack their plus or have written-out at signs: precision and recall against what was planted."""
+    rng = random.Random(5)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        while True:
+            d = "4" + digits(15)
+            if sum(int(c) if i % 2 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(d)) % 10 == 0:
+                return d
+
+    def phone():
+        return f"({rng.randint(200, 999)}) 555-{digits(4)}"
+
+    word = lambda: "".join(rng.choice("aeiounrst") for _ in range(rng.randint(3, 8)))
+    rows, planted = [], {}
+    for i in range(900):
+        plain = [f"+1 {phone()}", card(), f"{word()}.{digits(2)}@mail{digits(1)}.example.com", f"order {digits(7)}", f"key {digits(16)}"]
+        text = f"{word()} {rng.choice(plain)} {word()} {rng.choice(plain)} {word()}"
+        if i % 9 == 0:
+            at, c, d = len(text) + 1, card(), card()
+            made = [(f"{c} {d}", [("card", 0, 16), ("card", 17, 33)]), (f"+1 {phone()} {c}", [("phone", 0, 17), ("card", 18, 34)]), (phone(), [("phone", 0, 14)]),
+                    (written := f"{word()}.12 [at] mail3.example.com", [("email", 0, len(written))])][i // 9 % 4]
+            text, planted[i] = f"{text} {made[0]} {word()}", {f"{k}:{at + x}:{at + y}" for k, x, y in made[1]}
+        rows.append((i, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    added = {(r["doc_id"], s) for r in pii.find_personal_data(df).collect() for s in r["spans"].split(",") if s} - {
+        (i, s) for i, t in rows for s in brute.joined(brute.base_spans(t)).split(",")}
+    want = {(i, s) for i, spans in planted.items() for s in spans} - {(i, s) for i, t in rows for s in brute.joined(brute.base_spans(t)).split(",")}
+    assert len(want) > 100 and len(added & want) >= 0.9 * len(want) and len(added & want) >= 0.9 * len(added), (len(added), len(want), sorted(added - want)[:5], sorted(want - added)[:5])
+
+
+def test_many_numbers_in_one_text(spark):
+    n = 20_000
+    text = "x a@b.de 1.2.3.4 030 1234 5678 zz\n" * n
+    model = pii.Model([(1.0, (1, 3.0, 0.0, 1.0))], 5.0, 0.0, 0.9)
+    df = spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_chars long")
+    row = pii.with_spans(df.select(F.struct("*").alias("doc")), "doc.text", model).select("base", "spans").first()
+    assert [tuple(b) for b in row["base"]] == brute.base_spans(text)
+    assert [tuple(s) for s in row["spans"]][-3:] == [(len(text) - 32, 0, len(text) - 26), (len(text) - 25, 1, len(text) - 18), (len(text) - 17, 3, len(text) - 4)]
+    assert len(row["spans"]) == 3 * n
+    assert pii.redact(df).first()["text"] == "x [EMAIL] [IP] 030 1234 5678 zz\n" * n
+
+
+def test_a_frequent_candidate_counts_once(spark):
+    rows = [(i, "call +1 (200) 555-0101 now") for i in range(3_000)] + [(10_000 + i, f"dial +1 ({200 + i}) 555-0199 or {10 ** 9 + i}") for i in range(300)]
+    got = pii.training_rows(spark.createDataFrame(rows, "doc_id long, text string"), max_rows=400).count()
+    assert 100 < got < 800
+
+
 # --- toxicity
 
 def test_toxicity_on_held_out_documents(spark):
