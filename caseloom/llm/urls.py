@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from caseloom.operators.joins import join_lookup
 from caseloom.session import materialize
 
-MAX_TRAINING_ROWS = 20_000  # labelled URLs the trees see at most, about; picked by hash of the URL
+MAX_TRAINING_ROWS = 20_000  # different labelled URLs the trees see at most, about; picked by hash of the URL
 TREES, DEPTH, SMOOTHING = 15, 4, 5.0
 MAX_BROADCAST_SUFFIXES = 50_000
 
@@ -82,6 +82,17 @@ def _suffix_rates(judged: DataFrame) -> tuple[DataFrame, float]:
     return stats, (sums[0] / sums[1] if sums[1] else 0.0)
 
 
+def training_urls(described: DataFrame, max_rows: int, n_urls: int) -> DataFrame:
+    """About max_rows labelled URLs at most, each once; n_urls: how many different ones there are, about.
+
+    A URL's rows are alike in label and features, so a frequent one is a single row of the sample.
+    """
+    sample = described.where("label is not null")
+    if n_urls > max_rows:
+        sample = sample.where(F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < math.ceil(1e6 * max_rows / n_urls))
+    return sample.dropDuplicates(["url"])
+
+
 def judge(pages: DataFrame, rules=RULES, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
     """(page_id, url, host, path, rule, verdict, blocked): blocked is the trees' probability, null where a rule decides.
 
@@ -101,14 +112,12 @@ def judge(pages: DataFrame, rules=RULES, max_rows: int = MAX_TRAINING_ROWS) -> D
     rate = (F.coalesce("blocked", F.lit(0.0)) - own + SMOOTHING * share) / (seen + SMOOTHING)
     url = F.coalesce("url", F.lit(""))
     described = known.withColumn("x", F.concat(lexical(url, F.col("host"), F.col("path")), F.array(rate, F.log1p(seen.cast("double")))))
-    n, n_blocked = judged.agg(F.count("label"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    labelled = F.when(F.col("label").isNotNull(), F.col("url"))
+    n, n_blocked, n_urls = judged.agg(F.count("label"), F.coalesce(F.sum("label"), F.lit(0.0)), F.approx_count_distinct(labelled)).first()
     if not 0 < n_blocked < n:
         verdict = F.coalesce("given", F.lit("block" if n and n_blocked == n else "allow"))
         return known.select("page_id", "url", "host", "path", "rule", verdict.alias("verdict"), F.lit(None).cast("double").alias("blocked"))
-    sample = described.where("label is not null")
-    if n > max_rows:
-        sample = sample.where(F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < math.ceil(1e6 * max_rows / n))
-    train = materialize(sample.select("label", "x"), "urls").select("label", array_to_vector("x").alias("features"))
+    train = materialize(training_urls(described, max_rows, n_urls).select("label", "x"), "urls").select("label", array_to_vector("x").alias("features"))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=11).fit(train)
     scored = model.transform(described.withColumn("features", array_to_vector("x")))
     blocked = vector_to_array("probability")[1]

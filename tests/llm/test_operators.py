@@ -345,3 +345,26 @@ def test_stage_keeps_one_of_each_class(spark, docs):
     want = brute.near_classes({r["doc_id"]: r["text"] for r in docs.collect()})
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
     assert sorted(r["doc_id"] for r in kept) == sorted(set(want.values()))
+
+
+def test_a_frequent_url_counts_once_in_the_sample(spark):
+    rows = [("http://hot.com/a", 0.0)] * 5_000 + [(f"http://h{i}.net/es/{i}", 1.0) for i in range(2_000)] + [("http://none.org/", None)]
+    described = spark.createDataFrame(rows, "url string, label double")
+    assert urls.training_urls(described, 10_000, 2_001).count() == 2_001
+    assert 150 < urls.training_urls(described, 300, 2_001).count() < 450
+
+
+def test_trees_judge_held_out_urls_like_their_rules(spark):
+    """Rules on half of the hosts label URLs; the other half's verdicts, which depend on the path's start, are for the trees."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(4_000):
+        bad = rng.random() < 0.4
+        name = "".join(rng.choice("abcdefghij") for _ in range(6)) + ("".join(rng.choice("0123456789") for _ in range(5)) if bad else "")
+        tail = f"?{'&'.join(f'k{j}={rng.randint(0, 999)}' for j in range(6))}" if bad else "/page.html"
+        zone = rng.choice(["seen", "new"])
+        rows.append((i, f"http://{name}.{zone}/{'x' if bad else 'y'}/{rng.randint(0, 99)}{tail}", zone, bad))
+    rules = (("seen/x/", "block"), ("seen/y/", "allow"))
+    got = {r["page_id"]: r for r in urls.judge(spark.createDataFrame([r[:2] for r in rows], "page_id long, url string"), rules).collect()}
+    new = [(got[i], bad) for i, _, zone, bad in rows if zone == "new"]
+    assert all(r["rule"] is None for r, _ in new) and sum((r["verdict"] == "block") == bad for r, bad in new) >= 0.95 * len(new)
