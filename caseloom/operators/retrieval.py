@@ -28,8 +28,10 @@ from caseloom.operators.sampling import first_per_key, fixed_size_sample, sample
 from caseloom.session import materialize
 
 MAX_BROADCAST_FLOATS = 4_000_000  # 32 MB of query vectors in a task
-BLOCK_ROWS = 8192
-CHUNK_ROWS = 8192
+BLOCK_ROWS = 32_768  # corpus rows of a block
+CHUNK_ROWS = 32_768  # queries that meet a block at once
+CODED_CHUNKS = 4  # a block of codes, which are 16 times shorter than vectors, has the rows of so many chunks
+RUN = 64  # distances of which the least is looked at first
 DISTANCES_AT_ONCE = 4_000_000  # of queries to centres, in a task
 RECALL, MEASURED_QUERIES = 0.93, 200  # share of neighbours whose cell is looked into, measured on so many queries
 RERANKED = 64  # candidates a query, by their codes, whose true distances are computed
@@ -55,42 +57,91 @@ def _kernels(k: int):
             raise ValueError("vectors of different lengths cannot be compared")
         return flat.astype("float64").reshape(len(column), -1)
 
-    def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        d = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-        return np.maximum(d, 0.0)
-
-    def nearest(q_ids, q, c_ids, c, slice_rows: int = 256):
-        """k nearest rows of c per row of q, ties by the lower id."""
-        # Of equal vectors only the k lowest ids can matter.
-        order = np.argsort(c_ids, kind="stable")
-        c_ids, c = c_ids[order], np.ascontiguousarray(c[order])
-        _, first = np.unique(c, axis=0, return_inverse=True)
+    def kept(ids: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Places of the rows by id; of equal vectors only the k lowest ids can matter."""
+        order = np.argsort(ids, kind="stable")
+        _, first = np.unique(c[order], axis=0, return_inverse=True)
         groups = pd.Series(first.ravel()).groupby(first.ravel()).cumcount().to_numpy()
-        c_ids, c = c_ids[groups < k], c[groups < k]
-        out = []
-        for lo in range(0, len(q), slice_rows):
-            part = q[lo:lo + slice_rows]
-            approx = squared(part, c)
-            if c.shape[0] > k:
-                kth = np.partition(approx, k - 1, axis=1)[:, k - 1]
-                # The matrix product rounds; everything near the cut is measured again.
-                qi, ci = np.nonzero(approx <= kth[:, None] + 1e-9 * (1.0 + kth[:, None]))
-            else:
-                qi, ci = (x.ravel() for x in np.indices(approx.shape))
-            exact = ((part[qi] - c[ci]) ** 2).sum(1)
-            rank = np.lexsort((c_ids[ci], exact, qi))
-            qi, ci, exact = qi[rank], ci[rank], exact[rank]
-            starts = np.searchsorted(qi, qi, side="left")
-            keep = np.arange(len(qi)) - starts < k
-            out.append((q_ids[lo + qi[keep]], c_ids[ci[keep]], exact[keep]))
-        return [np.concatenate(x) for x in zip(*out)]
-
-    return matrix, squared, nearest
+        return order[groups < k]
+
+    def near_cut(d: np.ndarray, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and columns of all finite entries up to the k-th least of their row, and a slack beyond.
+
+        The k-th least of the minima of runs of columns is no less than the k-th least
+        entry, so only the runs whose minimum lies below it are looked at again.
+        """
+        width = d.shape[1] // RUN
+        body = d[:, : width * RUN].reshape(len(d), RUN, width)
+        least = np.concatenate([body.min(axis=1), d[:, width * RUN:]], axis=1)
+        cut = np.full(len(d), np.inf, d.dtype)
+        if least.shape[1] > k:
+            cut = np.partition(least, k - 1, axis=1)[:, k - 1] + slack
+        row, at = np.nonzero((least <= cut[:, None]) & (least < np.inf))
+        alone = at >= width
+        many, column = row[~alone], at[~alone][:, None] + width * np.arange(RUN)
+        inside = d[many[:, None], column]
+        of_run, place = np.nonzero((inside <= cut[many][:, None]) & (inside < np.inf))
+        return (np.concatenate([many[of_run], row[alone]]),
+                np.concatenate([column[of_run, place], at[alone] - width + width * RUN]))
+
+    def search(c_ids: np.ndarray, c: np.ndarray, slice_rows: int = 256):
+        """A function (query ids, queries, columns, looks) to the k nearest rows of c per query, ties by the lower id.
+
+        c: as kept().  columns: places of the rows to look at, all without; looks: of queries
+        by those rows, false where a query does not look.  Distances are found in single
+        precision first, around the middle of c; what may be within the cut is measured again in double.
+        """
+        plain = len(c) > 0 and np.isfinite(c).all() and np.abs(c).max(initial=0.0) < 1e15
+        middle = c.mean(0) if plain else np.zeros(c.shape[1])
+        norms = np.concatenate([((c[low: low + 4096] - middle) ** 2).sum(1) for low in range(0, max(len(c), 1), 4096)])
+        reach = math.sqrt(norms.max(initial=0.0)) if plain else 0.0
+        sides: dict = {}
+
+        def side(kind) -> np.ndarray:
+            if kind not in sides:
+                sides[kind] = np.empty((len(c), c.shape[1] + 1), kind)
+                for low in range(0, len(c), 4096):
+                    sides[kind][low: low + 4096, :-1] = -2.0 * (c[low: low + 4096] - middle)
+                sides[kind][:, -1] = norms
+            return sides[kind]
+
+        def hits(part: np.ndarray, columns, looks, kind) -> tuple[np.ndarray, np.ndarray]:
+            x = part - middle
+            right = side(kind) if columns is None else side(kind)[columns]
+            d = np.concatenate([x, np.ones((len(x), 1))], axis=1).astype(kind) @ right.T
+            if looks is not None:
+                d[~looks] = np.inf
+            if not plain:
+                d[np.isnan(d)] = np.inf
+            slack = np.zeros(len(x)) if not plain else (x.shape[1] + 8) * np.finfo(kind).eps * (np.sqrt((x * x).sum(1)) + reach) ** 2
+            qi, ci = near_cut(d, slack.astype(kind) + (0 if plain else 1e-9))
+            return qi, ci if columns is None else columns[ci]
+
+        def nearest(q_ids: np.ndarray, q: np.ndarray, columns: np.ndarray | None = None, looks=None):
+            out = []
+            for low in range(0, len(q), slice_rows):
+                part = q[low: low + slice_rows]
+                own, seen = (columns, None) if looks is None else looks(low, low + slice_rows)
+                single = plain and np.abs(part).max(initial=0.0) < 1e15
+                qi, ci = hits(part, own, seen, np.float32 if single else np.float64)
+                if single and len(qi) > len(part) * (32 * k + 256):  # too close together for single precision
+                    qi, ci = hits(part, own, seen, np.float64)
+                exact = ((part[qi] - c[ci]) ** 2).sum(1)
+                rank = np.lexsort((c_ids[ci], exact, qi))
+                qi, ci, exact = qi[rank], ci[rank], exact[rank]
+                first = np.searchsorted(qi, qi, side="left")
+                keep = np.arange(len(qi)) - first < k
+                out.append((q_ids[low + qi[keep]], c_ids[ci[keep]], exact[keep]))
+            return [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0)]
+
+        return nearest
+
+    return matrix, kept, search
 
 
 def _scan_with_broadcast(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """Each task keeps its k best per query while it reads its part of the corpus."""
-    matrix, _, nearest = _kernels(k)
+    matrix, kept, search = _kernels(k)
     table = queries.toArrow()  # counted before: at most MAX_BROADCAST_FLOATS
     shared = corpus.sparkSession.sparkContext.broadcast(
         (table["id"].to_numpy(), matrix(table["v"]) if table.num_rows else None))
@@ -101,8 +152,9 @@ def _scan_with_broadcast(queries: DataFrame, corpus: DataFrame, k: int) -> DataF
         for batch in batches:
             if q is None or batch.num_rows == 0:
                 continue
-            found = pd.DataFrame(dict(zip(("query_id", "corpus_id", "distance"), nearest(
-                q_ids, q, batch.column("id").to_numpy(), matrix(batch.column("v"))))))
+            ids, c = batch.column("id").to_numpy(), matrix(batch.column("v"))
+            at = kept(ids, c)
+            found = pd.DataFrame(dict(zip(("query_id", "corpus_id", "distance"), search(ids[at], c[at])(q_ids, q))))
             best = found if best is None else (
                 pd.concat([best, found]).sort_values(["query_id", "distance", "corpus_id"])
                 .groupby("query_id", sort=False).head(k))
@@ -130,8 +182,44 @@ class _Cells:
     radius: np.ndarray
 
 
-def _blocks_per_cell(rows: np.ndarray) -> np.ndarray:
-    return np.maximum(1, -(-rows // BLOCK_ROWS))
+@dataclass(frozen=True)
+class _Layout:
+    """Blocks of at most `size` rows: neighbouring small cells share one, a larger cell is cut into several by id hash."""
+
+    first: np.ndarray  # of a cell: its first block
+    parts: np.ndarray  # of a cell: the number of its blocks
+    low: np.ndarray  # of a block: its first cell
+    high: np.ndarray  # of a block: the cell after its last one
+
+    def __len__(self) -> int:
+        return len(self.low)
+
+    def home(self):
+        """UDF: the block of a row, by its cell and a hash of its id."""
+        first, parts = self.first, self.parts
+
+        @F.pandas_udf("int")
+        def home(cell: pd.Series, h: pd.Series) -> pd.Series:
+            at = cell.to_numpy()
+            return pd.Series((first[at] + h.to_numpy() % parts[at]).astype("int32"))
+
+        return home
+
+
+def _layout(rows: np.ndarray, size: int) -> _Layout:
+    first, parts, low, high, held = [], [], [], [], size + 1
+    for cell, n in enumerate(rows):
+        pieces = max(1, -(-int(n) // size))
+        if pieces > 1 or held + n > size:
+            first.append(len(low))
+            low += [cell] * pieces
+            high += [cell + 1] * pieces
+            held = size + 1 if pieces > 1 else n
+        else:
+            first.append(len(low) - 1)
+            high[-1], held = cell + 1, held + n
+        parts.append(pieces)
+    return _Layout(*(np.array(x, "int64") for x in (first, parts, low, high)))
 
 
 def _nearest_cell(centers: np.ndarray):
@@ -167,16 +255,14 @@ def _fit_cells(corpus: DataFrame, n_cells: int, dim: int, seed: int) -> tuple[Da
     return celled.select("id", "v", "cell"), _Cells(centers, rows, radius)
 
 
-def _blocks_to_visit(cells, k: int, probes: int | None):
-    """UDFs: the blocks a query has to look into, and the block of a corpus row.
+def _visits(queries: DataFrame, cells, layout: _Layout, k: int, probes: int | None) -> DataFrame:
+    """id, v, block, looks: the blocks a query has to look into, and there its cells, a bit each.
 
     cells: centers, rows and radius.  probes=None keeps every cell that can hold one of
     the k nearest: its nearest possible point is no farther than a radius known to
     enclose k rows.  Otherwise cells are the trained ones and rank themselves.
     """
     centers, rows, radius = cells.centers, cells.rows, cells.radius
-    counts = _blocks_per_cell(rows)
-    first_block = np.concatenate([[0], np.cumsum(counts)[:-1]])
     lengths = np.sqrt((centers * centers).sum(1))
 
     def cells_of(x: np.ndarray) -> np.ndarray:
@@ -197,36 +283,36 @@ def _blocks_to_visit(cells, k: int, probes: int | None):
         slack = 1e-6 * (1.0 + own + lengths.max())  # the matrix product rounds
         return (d - radius <= (limit + slack)[:, None]) & (rows > 0)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<binary>")
     def visit(v: pd.Series) -> pd.Series:
         out, step = [], max(1, DISTANCES_AT_ONCE // len(rows))
         for low in range(0, len(v), step):
-            x = np.stack(v.iloc[low:low + step].to_numpy()).astype("float64")
-            at, cell = np.nonzero(cells_of(x))
-            n = counts[cell]
-            blocks = np.repeat(first_block[cell] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            sizes = np.bincount(at, weights=n, minlength=len(x)).astype("int64")
-            out += np.split(blocks.astype("int32"), np.cumsum(sizes)[:-1])
+            chosen = cells_of(np.stack(v.iloc[low:low + step].to_numpy()).astype("float64"))
+            by_block = []
+            for first, end in zip(layout.low, layout.high):
+                part = chosen[:, first:end]
+                by_block.append([bits.tobytes() if some else None for bits, some in zip(np.packbits(part, axis=1), part.any(axis=1))])
+            out += [list(x) for x in zip(*by_block)]
         return pd.Series(out, dtype=object)
 
-    @F.pandas_udf("int")
-    def home(cell: pd.Series, h: pd.Series) -> pd.Series:
-        at = cell.to_numpy()
-        return pd.Series((first_block[at] + h.to_numpy() % counts[at]).astype("int32"))
+    # written as one row a query; exploded, a vector is repeated for every block
+    looking = materialize(queries.select("id", "v", visit(F.col("v")).alias("looks")), "visits")
+    return looking.select("id", "v", F.posexplode("looks").alias("block", "looks")).where(F.col("looks").isNotNull())
 
-    return visit, home
 
-
-def _meet_by_block(visits: DataFrame, blocked: DataFrame, meet) -> DataFrame:
-    """Candidates of queries (id, v, block) among blocked rows (id, block, ...), by an equi-join on the block.
+def _meet_by_block(visits: DataFrame, blocked: DataFrame, blocks: int, meet) -> DataFrame:
+    """Candidates of queries (id, v, block, looks) among blocked rows (id, block, ...), by an equi-join on the block.
 
     A block is copied once per CHUNK_ROWS queries that visit it; blocks without visits stay at home.
     """
-    chunks = visits.groupBy("block").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
+    counts = np.zeros(blocks, "int64")
+    for r in visits.groupBy("block").count().collect():  # a number per block
+        counts[r["block"]] = -(-r["count"] // CHUNK_ROWS)
+    of_block = F.get(F.array(*[F.lit(int(n)) for n in counts]), F.col("block"))
+    chunks = visits.sparkSession.range(blocks).select(F.col("id").cast("int").alias("block")).withColumn("chunks", of_block).where("chunks > 0")
     left = join_lookup(blocked, chunks, "block", "inner").select(
         *blocked.columns, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    right = join_lookup(visits, chunks, "block", "inner").select(
-        "id", "v", "block", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
+    right = visits.withColumn("chunk", F.pmod(F.xxhash64("id"), of_block).cast("int"))
     return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(meet, _FOUND)
 
 
@@ -234,18 +320,46 @@ def _pairs_table(found) -> pa.Table:
     return pa.table(dict(zip(("query_id", "corpus_id", "distance"), found or [np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0)])))
 
 
+def _looking(q: pa.Table, x: np.ndarray, centers: np.ndarray, cell: np.ndarray, strict: bool):
+    """(order of the queries, function from a slice of them to the places its queries look at, and which query does).
+
+    Queries near the same cell stand together, so that a slice looks at few cells.  Only
+    where strict is the single query kept to its own cells.
+    """
+    width = len(centers)
+    packed = np.frombuffer(b"".join(q["looks"].to_pylist()), np.uint8).reshape(len(x), -1)
+    looks = np.unpackbits(packed, axis=1, count=width).astype(bool)
+    if looks.all():
+        return np.arange(len(x)), None
+    order = np.argsort((np.where(looks, (centers * centers).sum(1) - 2.0 * (x @ centers.T), np.inf)).argmin(1), kind="stable")
+    looks = looks[order]
+
+    def of_slice(low: int, high: int):
+        part = looks[low:high]
+        columns = np.flatnonzero(part.any(axis=0)[cell])
+        seen = part[:, cell[columns]] if strict else None
+        return None if len(columns) == len(cell) else columns, seen
+
+    return order, of_slice
+
+
 def search_cells(queries: DataFrame, celled: DataFrame, cells, k: int, probes: int | None) -> DataFrame:
     """Candidates by true distances in the cells a query looks into; celled: id, v, cell."""
-    visit, home = _blocks_to_visit(cells, k, probes)
-    matrix, _, nearest = _kernels(k)
-    visits = materialize(queries.select("id", "v", F.explode(visit(F.col("v"))).alias("block")), "visits")
+    layout, centers = _layout(cells.rows, BLOCK_ROWS), cells.centers
+    matrix, kept, search = _kernels(k)
 
     def meet(c: pa.Table, q: pa.Table) -> pa.Table:
         if not c.num_rows or not q.num_rows:
             return _pairs_table(None)
-        return _pairs_table(nearest(q["id"].to_numpy(), matrix(q["v"]), c["id"].to_numpy(), matrix(c["v"])))
+        block = c["block"][0].as_py()
+        low, high = layout.low[block], layout.high[block]
+        ids, v, x = c["id"].to_numpy(), matrix(c["v"]), matrix(q["v"])
+        at = kept(ids, v)
+        order, looks = _looking(q, x, centers[low:high], c["cell"].to_numpy()[at] - low, probes is not None)
+        return _pairs_table(search(ids[at], v[at])(q["id"].to_numpy()[order], x[order], looks=looks))
 
-    return _meet_by_block(visits, celled.select("id", "v", home("cell", F.xxhash64("id")).alias("block")), meet)
+    blocked = celled.select("id", "v", "cell", layout.home()("cell", F.xxhash64("id")).alias("block"))
+    return _meet_by_block(_visits(queries, cells, layout, k, probes), blocked, len(layout), meet)
 
 
 def search_codes(queries: DataFrame, placed: DataFrame, cells: trained.Cells, k: int, probes: int, reranked: int = RERANKED) -> DataFrame:
@@ -253,25 +367,27 @@ def search_codes(queries: DataFrame, placed: DataFrame, cells: trained.Cells, k:
 
     placed: id, v, cell, code.  Codes alone meet the queries; vectors are fetched for the best candidates.
     """
-    visit, home = _blocks_to_visit(cells, k, probes)
-    visits = materialize(queries.select("id", "v", F.explode(visit(F.col("v"))).alias("block")), "visits")
-    shared, wanted = queries.sparkSession.sparkContext.broadcast(cells), max(reranked, k)
+    layout, wanted = _layout(cells.rows, CODED_CHUNKS * CHUNK_ROWS), max(reranked, k)
+    shared = queries.sparkSession.sparkContext.broadcast(cells)
+    matrix, kept, search = _kernels(wanted)
 
     def meet(c: pa.Table, q: pa.Table) -> pa.Table:
         if not c.num_rows or not q.num_rows:
             return _pairs_table(None)
-        own = shared.value
+        own, block = shared.value, c["block"][0].as_py()
+        low, high = layout.low[block], layout.high[block]
         codes = np.frombuffer(b"".join(c["code"].to_pylist()), np.uint8).reshape(c.num_rows, -1)
-        about, ids = own.decode(codes, c["cell"].to_numpy()), c["id"].to_numpy()
-        q_ids, x, out = q["id"].to_numpy(), trained.matrix(q["v"]), []
-        for low in range(0, len(x), 256):
-            d = trained.squared(x[low: low + 256], about)
-            at = np.argpartition(d, wanted - 1, axis=1)[:, :wanted] if d.shape[1] > wanted else np.broadcast_to(np.arange(d.shape[1]), d.shape)
-            out.append((np.repeat(q_ids[low: low + 256], at.shape[1]), ids[at.ravel()], np.take_along_axis(d, at, axis=1).ravel()))
-        return _pairs_table([np.concatenate(o) for o in zip(*out)])
-
-    blocked = placed.select("id", "cell", "code", home("cell", F.xxhash64("id")).alias("block"))
-    best = top_k_neighbours(_meet_by_block(visits, blocked, meet), wanted).select("query_id", "corpus_id")
+        ids, cell, x = c["id"].to_numpy(), c["cell"].to_numpy(), matrix(q["v"])
+        # of equal codes only the lowest ids can matter
+        at = kept(ids, np.concatenate([cell[:, None], codes], axis=1))
+        ids, cell, codes = ids[at], cell[at], codes[at]
+        order, looks = _looking(q, x, own.centers[low:high], cell - low, True)
+        # a slice holds its distances to a whole block
+        nearest = search(ids, own.decode(codes, cell), max(16, DISTANCES_AT_ONCE // max(1, len(ids))))
+        return _pairs_table(nearest(q["id"].to_numpy()[order], x[order], looks=looks))
+
+    blocked = placed.select("id", "cell", "code", layout.home()("cell", F.xxhash64("id")).alias("block"))
+    best = top_k_neighbours(_meet_by_block(_visits(queries, cells, layout, k, probes), blocked, len(layout), meet), wanted).select("query_id", "corpus_id")
     full = (best.join(placed.select(F.col("id").alias("corpus_id"), F.col("v").alias("c")), "corpus_id")
             .join(queries.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id"))
     squares = F.zip_with("q", "c", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))
@@ -310,95 +426,94 @@ def knn_join(left: DataFrame, right: DataFrame, k: int = fv.TOP_K, left_key: str
     apart than a distance within which every left row is known to have k right rows; and
     of the rows of a needed cell a left row meets only those whose distance to the cell's
     centre differs from its own by no more than that.  See join_pairs for the pairs left.
+    Cells are packed into chunks of left and blocks of right rows, and a block travels once
+    per chunk that needs one of its cells.
     """
-    if _vectors(right, right_key).isEmpty():
+    c = _vectors(right, right_key)
+    if c.isEmpty():
         return _none_found(left, k)
-    meeting, _ = _cell_meetings(left, right, k, left_key, right_key, n_cells, seed)
-    matrix, _, nearest = _kernels(k)
+    q, placed, cells, extent = _both_in_cells(_vectors(left, left_key), c, n_cells, seed)
+    chunks = _layout(np.array([extent[x][0] if x in extent else 0 for x in range(len(cells))]), CHUNK_ROWS)
+    blocks = _layout(cells.rows, BLOCK_ROWS)
+    meeting = _needed_cells(q, cells, extent, k, blocks, chunks).select("chunk", "block").distinct()
+    meeting = materialize(meeting, "meeting")  # a row per chunk and block
+    matrix, kept, search = _kernels(k)
+    shared = q.sparkSession.sparkContext.broadcast((cells, extent))
 
     def meet(c: pa.Table, q: pa.Table) -> pa.Table:
         if not c.num_rows or not q.num_rows:
             return _pairs_table(None)
-        # rows in rings around the cell's centre: a query's ring is a run of them
-        reach, limit, away = c["reach"].to_numpy(), q["limit"].to_numpy(), q["away"].to_numpy()
-        order = np.argsort(reach, kind="stable")
-        ids, x, reach = c["id"].to_numpy()[order], matrix(c["v"])[order], reach[order]
-        q_ids, y, found = q["id"].to_numpy(), matrix(q["v"]), []
-        by_place = np.argsort(away, kind="stable")
-        for low in range(0, len(by_place), 64):  # queries at about the same distance from the centre share their ring
-            at = by_place[low: low + 64]
-            slack = 1e-6 * (1.0 + away[at].max() + reach[-1])
-            first = np.searchsorted(reach, (away[at] - limit[at]).min() - slack)
-            end = np.searchsorted(reach, (away[at] + limit[at]).max() + slack, "right")
-            if end > first:
-                found.append(nearest(q_ids[at], y[at], ids[first:end], x[first:end]))
+        (cells, extent), block = shared.value, c["block"][0].as_py()
+        low, high = blocks.low[block], blocks.high[block]
+        ids, v = c["id"].to_numpy(), matrix(c["v"])
+        at = kept(ids, v)
+        cell, reach = c["cell"].to_numpy()[at] - low, c["reach"].to_numpy()[at]
+        nearest = search(ids[at], v[at])
+        q_ids, x, own_of, found = q["id"].to_numpy(), matrix(q["v"]), q["cell"].to_numpy(), []
+        for own in np.unique(own_of):
+            mine = np.flatnonzero(own_of == own)
+            to, limit = _bound(cells, extent[own][1], own, k)
+            # rows in rings around each cell's centre
+            away = np.sqrt(trained.squared(x[mine], cells.centers[low:high]))
+            slack = 1e-6 * (1.0 + away.max(axis=0) + cells.radius[low:high])
+            inner, outer = away.min(axis=0) - limit - slack, away.max(axis=0) + limit + slack
+            columns = np.flatnonzero(to[low:high][cell] & (reach >= inner[cell]) & (reach <= outer[cell]))
+            if len(columns):
+                found.append(nearest(q_ids[mine], x[mine], None if len(columns) == len(cell) else columns))
         return _pairs_table([np.concatenate(f) for f in zip(*found)] if found else None)
 
-    found = meeting[1].groupBy("block", "chunk").cogroup(meeting[0].groupBy("block", "chunk")).applyInArrow(meet, _FOUND)
+    asked = q.select("id", "v", "cell", chunks.home()("cell", F.xxhash64("id")).alias("chunk")).join(meeting, "chunk")
+    held = placed.select("id", "v", "cell", "reach", blocks.home()("cell", F.xxhash64("id")).alias("block")).join(meeting, "block")
+    found = held.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInArrow(meet, _FOUND)
     return top_k_neighbours(found, k)
 
 
 def join_pairs(left: DataFrame, right: DataFrame, k: int = fv.TOP_K, left_key: str = "id", right_key: str = "id",
                n_cells: int | None = None, seed: int = fv.SAMPLE_SEED) -> DataFrame:
     """One row: pairs of rows in cells that meet in knn_join, and all pairs of the two sides."""
-    (visits, _), cells = _cell_meetings(left, right, k, left_key, right_key, n_cells, seed)
-    sizes = left.sparkSession.createDataFrame([(i, int(n)) for i, n in enumerate(cells.rows)], "cell int, n bigint")
-    met = visits.join(sizes, "cell").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("met"))
-    return met.withColumn("all_pairs", F.lit(int(_vectors(left, left_key).count() * cells.rows.sum())))
+    q, _, cells, extent = _both_in_cells(_vectors(left, left_key), _vectors(right, right_key), n_cells, seed)
+    one = np.zeros(len(cells), "int64")
+    needed = _needed_cells(q, cells, extent, k, _Layout(one, one + 1, one, one), _Layout(one, one + 1, one, one)).select("pairs", "own").distinct()
+    met = needed.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("met"))
+    return met.withColumn("all_pairs", F.lit(int(sum(n for n, _ in extent.values()) * cells.rows.sum())))
 
 
-def _cell_meetings(left: DataFrame, right: DataFrame, k: int, left_key: str, right_key: str, n_cells: int | None, seed: int):
-    """((left rows per block to visit, right rows per block), right cells)."""
-    c = _vectors(right, right_key)
+def _both_in_cells(q: DataFrame, c: DataFrame, n_cells: int | None, seed: int):
+    """Left rows and right rows in the right side's cells, the cells, and rows and radius of every cell of the left side."""
     placed, cells = trained_cells(c, n_cells, seed, codes=False)
-    q = materialize(trained.assign(_vectors(left, left_key), cells).select("id", "v", "cell", "reach"), "left")
-    extent = {r["cell"]: r["r"] for r in q.groupBy("cell").agg(F.max("reach").alias("r")).collect()}  # a number per cell
-    counts = _blocks_per_cell(cells.rows)
-    first_block = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    shared = q.sparkSession.sparkContext.broadcast((cells, extent, first_block, counts))
+    q = materialize(trained.assign(q, cells).select("id", "v", "cell", "reach"), "left")
+    sizes = q.groupBy("cell").agg(F.count("*").alias("n"), F.max("reach").alias("r")).collect()  # two numbers per cell
+    return q, placed, cells, {r["cell"]: (r["n"], r["r"]) for r in sizes}
+
+
+def _bound(cells: trained.Cells, extent: float, own: int, k: int) -> tuple[np.ndarray, float]:
+    """Whether a left cell needs each right cell, and the distance that bounds its rows' neighbours."""
+    apart = np.sqrt(trained.squared(cells.centers[own: own + 1], cells.centers)[0])
+    far = np.where(cells.rows > 0, apart + extent + cells.radius, np.inf)
+    order = np.argsort(far, kind="stable")
+    enough = int((np.cumsum(cells.rows[order]) < k).sum())
+    limit = far[order[enough]] if enough < len(order) else np.inf
+    return (cells.rows > 0) & (apart - extent - cells.radius <= limit + 1e-6 * (1.0 + apart)), limit
+
+
+def _needed_cells(q: DataFrame, cells: trained.Cells, extent: dict, k: int, blocks: _Layout, chunks: _Layout) -> DataFrame:
+    """own, chunk, block, pairs: blocks that the chunks of a left cell need; pairs of rows in the cells that meet."""
+    shared = q.sparkSession.sparkContext.broadcast((cells, extent))
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Right cells of a left cell, with the distance that bounds its rows' neighbours."""
-        cells, extent, _, _ = shared.value
+        cells, extent = shared.value
         for batch in batches:
             for own in batch.column("own").to_pylist():
-                apart = np.sqrt(trained.squared(cells.centers[own: own + 1], cells.centers)[0])
-                far = np.where(cells.rows > 0, apart + extent[own] + cells.radius, np.inf)
-                order = np.argsort(far, kind="stable")
-                enough = int((np.cumsum(cells.rows[order]) < k).sum())
-                limit = far[order[enough]] if enough < len(order) else np.inf
-                to = np.flatnonzero((cells.rows > 0) & (apart - extent[own] - cells.radius <= limit + 1e-6 * (1.0 + apart)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(to), own, np.int32)), pa.array(to.astype(np.int32)), pa.array(np.full(len(to), limit))],
-                                                 ["own", "cell", "limit"])
-
-    wanted = q.select(F.col("cell").alias("own")).distinct().mapInArrow(needed, "own int, cell int, limit double")
-
-    @F.pandas_udf("double")
-    def away(v: pd.Series, cell: pd.Series) -> pd.Series:
-        x = np.stack(v.to_numpy()).astype(float) if len(v) else np.zeros((0, 1))
-        return pd.Series(np.sqrt(((x - shared.value[0].centers[cell.to_numpy()]) ** 2).sum(1)) if len(v) else [], dtype="float64")
-
-    visits = q.select("id", "v", F.col("cell").alias("own")).join(wanted, "own").withColumn("away", away("v", "cell"))
-    visits = materialize(visits.select("id", "v", "cell", "limit", "away"), "visits")
-    # a block of a cell is copied once per CHUNK_ROWS left rows that meet the cell
-    chunks = visits.groupBy("cell").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
-
-    @F.pandas_udf("array<int>")
-    def blocks(cell: pd.Series) -> pd.Series:
-        _, _, first, n = shared.value
-        return pd.Series([np.arange(first[c], first[c] + n[c], dtype="int32") for c in cell], dtype=object)
-
-    @F.pandas_udf("int")
-    def home(cell: pd.Series, h: pd.Series) -> pd.Series:
-        _, _, first, n = shared.value
-        at = cell.to_numpy()
-        return pd.Series((first[at] + h.to_numpy() % n[at]).astype("int32"))
-
-    rows = join_lookup(visits, chunks, "cell", "inner").select(
-        "id", "v", "cell", "limit", "away", F.explode(blocks("cell")).alias("block"), F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
-    blocked = join_lookup(placed.select("id", "v", "cell", "reach", home("cell", F.xxhash64("id")).alias("block")), chunks, "cell", "inner").select(
-        "id", "v", "reach", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    return (rows, blocked), cells
+                to = np.flatnonzero(_bound(cells, extent[own][1], own, k)[0])
+                parts = [np.arange(blocks.first[c], blocks.first[c] + blocks.parts[c]) for c in to]
+                block = np.unique(np.concatenate(parts)) if parts else np.empty(0, "int64")
+                mine = np.arange(chunks.first[own], chunks.first[own] + chunks.parts[own])
+                n = len(block) * len(mine)
+                pairs = int(extent[own][0] * cells.rows[to].sum())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, own, np.int32)), pa.array(np.repeat(mine, len(block)).astype(np.int32)),
+                                                  pa.array(np.tile(block, len(mine)).astype(np.int32)), pa.array(np.full(n, pairs))], ["own", "chunk", "block", "pairs"])
+
+    return q.select(F.col("cell").alias("own")).distinct().mapInArrow(needed, "own int, chunk int, block int, pairs bigint")
 
 
 def trained_cells(corpus: DataFrame, n_cells: int | None = None, seed: int = fv.SAMPLE_SEED, codes: bool = True) -> tuple[DataFrame, trained.Cells]:

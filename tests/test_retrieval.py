@@ -158,3 +158,41 @@ def test_only_visited_blocks_are_copied(spark):
     finally:
         r.join_lookup, r.CHUNK_ROWS = whole, size
     assert left < 200 * 8
+
+
+@pytest.fixture
+def written(monkeypatch):
+    """Rows of all tables that a search writes."""
+    rows, whole = [], r.materialize
+
+    def counted(df, name):
+        out = whole(df, name)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(r, "materialize", counted)
+    return rows
+
+
+@pytest.mark.parametrize("search", [
+    lambda v: r.knn_approx(v, v, 3, n_cells=40, probes=30),
+    lambda v: r.knn_exact(v, v, 3, n_cells=40),
+    lambda v: r.knn_join(v, v, 3, n_cells=40)])
+def test_no_query_is_written_once_per_cell(spark, written, search):
+    """Vectors without clusters: a query looks into most cells, but its vector is written once."""
+    v = vectors(spark, np.random.default_rng(11).normal(size=(600, 16)))
+    assert len(found(search(v))) == 3 * 600
+    assert max(written) <= 600
+
+
+def test_cells_share_blocks_and_large_ones_are_cut():
+    layout = r._layout(np.array([3, 4, 0, 25, 2, 9]), 10)
+    assert layout.first.tolist() == [0, 0, 0, 1, 4, 5] and layout.parts.tolist() == [1, 1, 1, 3, 1, 1]
+    assert list(zip(layout.low.tolist(), layout.high.tolist())) == [(0, 3), (3, 4), (3, 4), (3, 4), (4, 5), (5, 6)]
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e4, 1e20])
+def test_vectors_too_close_for_single_precision(spark, shift):
+    rng = np.random.default_rng(12)
+    c = (rng.normal(size=(300, 4)) * (1e-3 if shift < 1e9 else 1e18) + shift).astype("float32")
+    assert found(r.knn_exact(vectors(spark, c[:40]), vectors(spark, c), 4, n_cells=3)) == brute(c[:40], c, 4)
