@@ -98,3 +98,14 @@ def test_prompt_and_key(values):
 
 def test_limit(values):
     assert values(x.over_limit, "string", "a" * 280, "a" * 281, None) == [False, True, False]
+
+
+def test_no_pattern_lists_a_character_at_a_time():
+    """Java tests the parts of a class in turn, for every character of a text."""
+    assert x._class("abcdxz") == r"\x{61}-\x{64}\x{78}\x{7a}" and x._class("a") == r"\x{61}"
+
+
+def test_runs_beside_other_scripts(values):
+    """A run that the page holds is repaired, whatever stands beside it; ASCII alone and empty texts stay."""
+    texts = ["日本 " + damage("é ü", "cp1252") + " 日本 " + damage("ö", "cp1252"), "", "a\n\x00\x7f", "Ã\x81 日"]
+    assert values(x.repair_mojibake, "string", *texts) == ["日本 é ü 日本 ö", "", "a\n\x00\x7f", "Á 日"]
