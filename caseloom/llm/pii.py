@@ -36,7 +36,7 @@ from caseloom.llm.common import pack
 from caseloom.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_TRAINING_ROWS = 20_000  # candidates the trees are fitted on at most, about; picked by hash
+MAX_TRAINING_ROWS = None  # candidates the trees are fitted on at most, about; picked by hash; none: all
 TREES, DEPTH, PRECISION, MIN_POSITIVES = 12, 3, 0.98, 20
 LEAST = 0.5  # a selected candidate's probability at least
 CONTEXT = 24  # characters looked at on either side
@@ -241,12 +241,12 @@ def _tree_of(node):
     return (int(split.featureIndex()), float(split.threshold()), _tree_of(node.leftChild()), _tree_of(node.rightChild()))
 
 
-def training_rows(docs: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """(x, label, decided, held) of about max_rows different candidates at most, of all documents.
+def training_rows(docs: DataFrame, max_rows: int | None = MAX_TRAINING_ROWS) -> DataFrame:
+    """(x, label, decided, held) of the different candidates of all documents; with max_rows, of about so many at most.
 
     A candidate that is a rule span is positive.  Half of the positive ones are
     shown once more without their telling mark.  Candidates that look alike, with
-    their surroundings, count once, so a frequent one neither fills the sample nor empties it.
+    their surroundings, count once, so a frequent one does not outweigh the others.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     some = docs.select(text.alias("t")).where("t rlike '[0-9@]' or t rlike '[\\\\[(]at[\\\\])]'")
@@ -259,8 +259,7 @@ def training_rows(docs: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFra
     rows = found.select(F.explode(told).alias("c")).select("c.*")
     look = ["match", "before", "after", "generator"]
     marked = materialize(rows.groupBy(*look).agg(F.max("label").alias("label"), F.max("decided").alias("decided")).withColumn("key", F.xxhash64(*look)), "candidates")
-    n = marked.count()
-    if n > max_rows:
+    if max_rows is not None and (n := marked.count()) > max_rows:
         marked = marked.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < math.ceil(1e6 * max_rows / n))
     plain = F.regexp_replace(F.regexp_replace("match", r"^\+[0-9]{1,3} ?", ""), "@", " [at] ")
     both = F.when((F.col("label") == 1) & (F.col("key") % 2 == 0), F.array("match", plain)).otherwise(F.array("match"))
@@ -268,7 +267,7 @@ def training_rows(docs: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFra
     return shown.select(_features(F.col("c"), F.col("m")).alias("x"), "label", "decided", (F.pmod("key", F.lit(4)) == 0).alias("held"))
 
 
-def fit(docs: DataFrame, max_rows: int = MAX_TRAINING_ROWS, precision: float = PRECISION) -> Model | None:
+def fit(docs: DataFrame, max_rows: int | None = MAX_TRAINING_ROWS, precision: float = PRECISION) -> Model | None:
     """None when there are too few positive or no negative candidates; then only the rules speak."""
     rows = materialize(training_rows(docs, max_rows), "features").select("label", "decided", "held", array_to_vector("x").alias("features"))
     counts = {(r["label"], r["held"]): r["count"] for r in rows.groupBy("label", "held").count().collect()}
@@ -327,7 +326,7 @@ def with_spans(packed: DataFrame, text: str, model: Model | None) -> DataFrame:
     return based.select("doc", "base", F.explode(F.array(all_spans(t, F.col("base"), model))).alias("spans"))
 
 
-def find_personal_data(docs: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
+def find_personal_data(docs: DataFrame, max_rows: int | None = MAX_TRAINING_ROWS) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every row.
 
     Null and empty texts have no spans; repeated rows and ids are answered row by
@@ -344,7 +343,7 @@ def _of_kind(no: int):
     return lambda s: s["kind_no"] == no
 
 
-def redact(docs: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
+def redact(docs: DataFrame, max_rows: int | None = MAX_TRAINING_ROWS) -> DataFrame:
     """All rows and columns, each span of `text` replaced by its kind in brackets; a column n_chars follows the new text.
 
     Overlapping spans are replaced as one, under the kind that starts first.  Texts without spans stay as they are, null stays null.
