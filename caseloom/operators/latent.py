@@ -97,13 +97,16 @@ class TextModel:
 
 def fit_weights(texts: DataFrame, col: str, features: int) -> TextModel:
     """Rarity weights ln((rows + 1) / (rows with the feature + 1)) over all texts."""
-    hashed = texts.select(F.array_distinct(word_features(F.col(f"`{col}`"), features)).alias("f"))
-    counts = hashed.select(F.explode_outer("f").alias("f")).groupBy("f").count().collect()  # a row per feature
-    seen = np.zeros(features)
-    for r in counts:
-        if r["f"] is not None:
-            seen[r["f"]] = r["count"]
-    return TextModel(np.log((texts.count() + 1.0) / (seen + 1.0)))
+    return _weights_of(texts.select(word_features(F.col(f"`{col}`"), features).alias("f")), features)
+
+
+def _weights_of(hashed: DataFrame, features: int) -> TextModel:
+    """The weights from the features (f) of every text, in one pass: texts are counted as a feature of their own."""
+    every = F.concat(F.array_distinct("f"), F.array(F.lit(features)))
+    seen = np.zeros(features + 1)
+    for r in hashed.select(F.explode(every).alias("f")).groupBy("f").count().collect():  # a row per feature
+        seen[r["f"]] = r["count"]
+    return TextModel(np.log((seen[features] + 1.0) / (seen[:features] + 1.0)))
 
 
 def _squared_times(hashed: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -136,11 +139,11 @@ def _squared_times(hashed: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndar
 def fit_latent(texts: DataFrame, col: str, rank: int = RANK, features: int = FEATURES, passes: int = PASSES, seed: int = SEED) -> TextModel:
     """Weights and the leading right singular vectors of the weighted document-feature matrix.
 
-    All texts are read once for the weights and once per pass.  Fewer directions come
+    All texts are read once, their features once for the weights and once per pass.  Fewer directions come
     out where the matrix has a smaller rank; signs are fixed by each direction's largest entry.
     """
-    weights = fit_weights(texts, col, features)
     hashed = materialize(texts.select(word_features(F.col(f"`{col}`"), features).alias("f")), "features")
+    weights = _weights_of(hashed, features)
     q = np.linalg.qr(np.random.default_rng(seed).normal(size=(features, min(rank + EXTRA, features))))[0]
     for _ in range(passes):
         q = np.linalg.qr(_squared_times(hashed, weights.idf, q))[0]

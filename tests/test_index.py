@@ -204,3 +204,11 @@ def test_triage_over_an_index(spark, built, pairs):
     scorer = column_scorer(lambda system, prompt: F.lit("[]"))
     out = run_triage(pairs.limit(5).select("customer_tweet_id", "customer_text"), store.open_index(spark, built), scorer, scorer, keep_precedents=True)
     assert [len(x["precedents"]) for x in out.collect()] == [3] * 5
+
+
+def test_a_latent_fit_hashes_every_text_once(spark, pairs, monkeypatch):
+    calls, whole = [], latent.word_features
+    monkeypatch.setattr(latent, "word_features", lambda *a: calls.append(a) or whole(*a))
+    model = latent.fit_latent(pairs, "customer_text", 4, features=64)
+    assert len(calls) == 1
+    assert np.array_equal(model.idf, latent.fit_weights(pairs, "customer_text", 64).idf)
