@@ -273,9 +273,12 @@ class Codec:
         if len(self.known) > STRETCHES_KEPT:  # what was not met again since the last time is forgotten
             self.older, self.known = self.known, {}
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids: blanks for their sign, bytes joined to characters, the blank put before a text taken off."""
-        if ids and self.plain_text.issuperset(ids):
+    def decode(self, ids: list[int], encoded: bool = False) -> str:
+        """Text of ids: blanks for their sign, bytes joined to characters, the blank put before a text taken off.
+
+        encoded: the ids come from encode(), which has no other than pieces and bytes where there are bytes.
+        """
+        if ids and (encoded and self.byte_ids or self.plain_text.issuperset(ids)):
             text = "".join(map(self.surface.__getitem__, ids))
             try:
                 text = text.encode("utf-8", "surrogateescape").decode() if not text.isascii() else text
@@ -376,7 +379,7 @@ def _run(model, extra: list[str], keep_ids: bool):
                 part = batch.slice(low, 256)
                 rows, lists = [], []
                 for ids, same in chain.from_iterable(map(codec.encode_all, _groups(part.column("text")))):
-                    decoded = codec.decode(ids)
+                    decoded = codec.decode(ids, encoded=True)
                     decimal = ",".join(map(codec.number.__getitem__, ids))
                     rows.append((len(ids), _digest(decimal), _digest(decoded), same and lib.decode(ids) == decoded))
                     if keep_ids:

@@ -109,3 +109,13 @@ def test_round_trip_of_stored_ids(spark):
     df = spark.createDataFrame(texts, "doc_id long, text string")
     ids = sentencepieces.encode(df, keep_ids=True)
     assert {r["doc_id"]: r["text"] for r in sentencepieces.decode(ids).collect()} == {1: "some text, kept", 2: "日本 and 😀", 3: ""}
+
+
+def test_encoded_ids_decode_without_a_look_at_each():
+    import public_tokenizers
+    from caseloom.llm import sentencepieces
+    with open(public_tokenizers.path(sentencepieces.MODEL), "rb") as file:
+        codec = sentencepieces.codec_of(file.read())
+    for text in ["", "a b", " 日本 \U0001f600\x00", "é\n\tü  x"]:
+        ids, same = codec.encode(text)
+        assert same and codec.decode(ids, encoded=True) == codec.decode(ids) == codec.library.decode(ids)
