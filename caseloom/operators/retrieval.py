@@ -11,7 +11,7 @@ fetched for the final neighbours alone.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,11 +30,13 @@ from caseloom.session import materialize
 MAX_BROADCAST_FLOATS = 4_000_000  # 32 MB of query vectors in a task
 BLOCK_ROWS = 32_768  # corpus rows of a block
 CHUNK_ROWS = 32_768  # queries that meet a block at once
+MAX_WIDTH, WIDE_FLOATS = 4, 1 << 24  # blocks and chunks grow up to so many times, and to so many numbers, while every core has a pair of them
 CODED_CHUNKS = 4  # a block of codes, which are 16 times shorter than vectors, has the rows of so many chunks
 RUN = 64  # distances of which the least is looked at first
 DISTANCES_AT_ONCE = 4_000_000  # of queries to centres, in a task
 RECALL, MEASURED_QUERIES = 0.93, 200  # share of neighbours whose cell is looked into, measured on so many queries
 RERANKED = 64  # candidates a query, by their codes, whose true distances are computed
+PRECEDENT_FIELDS = ("customer_text", "apple_reply_text", "is_dm_redirect")
 
 _FOUND = "query_id bigint, corpus_id bigint, distance double"
 
@@ -50,12 +52,12 @@ def _kernels(k: int):
     """The functions tasks run, as closures: executors need no copy of this package."""
 
     def matrix(column) -> np.ndarray:
-        """A list column as a 2-d array of doubles, without going through Python objects."""
+        """A list column as a 2-d array of its own numbers, without going through Python objects."""
         column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
         flat = column.flatten().to_numpy(zero_copy_only=False)
         if len(np.unique(np.diff(column.offsets.to_numpy()))) > 1:
             raise ValueError("vectors of different lengths cannot be compared")
-        return flat.astype("float64").reshape(len(column), -1)
+        return (flat if flat.dtype == np.float32 else flat.astype("float64")).reshape(len(column), -1)
 
     def kept(ids: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Places of the rows by id; of equal vectors only the k lowest ids can matter."""
@@ -92,7 +94,7 @@ def _kernels(k: int):
         precision first, around the middle of c; what may be within the cut is measured again in double.
         """
         plain = len(c) > 0 and np.isfinite(c).all() and np.abs(c).max(initial=0.0) < 1e15
-        middle = c.mean(0) if plain else np.zeros(c.shape[1])
+        middle = c.mean(0, dtype=np.float64) if plain else np.zeros(c.shape[1])
         norms = np.concatenate([((c[low: low + 4096] - middle) ** 2).sum(1) for low in range(0, max(len(c), 1), 4096)])
         reach = math.sqrt(norms.max(initial=0.0)) if plain else 0.0
         sides: dict = {}
@@ -120,7 +122,7 @@ def _kernels(k: int):
         def nearest(q_ids: np.ndarray, q: np.ndarray, columns: np.ndarray | None = None, looks=None):
             out = []
             for low in range(0, len(q), slice_rows):
-                part = q[low: low + slice_rows]
+                part = q[low: low + slice_rows].astype(np.float64)
                 own, seen = (columns, None) if looks is None else looks(low, low + slice_rows)
                 single = plain and np.abs(part).max(initial=0.0) < 1e15
                 qi, ci = hits(part, own, seen, np.float32 if single else np.float64)
@@ -300,14 +302,22 @@ def _visits(queries: DataFrame, cells, layout: _Layout, k: int, probes: int | No
     return looking.select("id", "v", F.posexplode("looks").alias("block", "looks")).where(F.col("looks").isNotNull())
 
 
-def _meet_by_block(visits: DataFrame, blocked: DataFrame, blocks: int, meet) -> DataFrame:
+def _width(n_rows: int, n_queries: int, dim: int, cores: int) -> int:
+    """How many times longer than BLOCK_ROWS and CHUNK_ROWS both sides are cut: what travels shrinks by as much."""
+    width, pairs = 1, -(-n_rows // BLOCK_ROWS) * -(-n_queries // CHUNK_ROWS)
+    while 2 * width <= MAX_WIDTH and pairs >= 4 * width * width * cores and 2 * width * max(BLOCK_ROWS, CHUNK_ROWS) * dim <= WIDE_FLOATS:
+        width *= 2
+    return width
+
+
+def _meet_by_block(visits: DataFrame, blocked: DataFrame, blocks: int, meet, chunk_rows: int) -> DataFrame:
     """Candidates of queries (id, v, block, looks) among blocked rows (id, block, ...), by an equi-join on the block.
 
-    A block is copied once per CHUNK_ROWS queries that visit it; blocks without visits stay at home.
+    A block is copied once per chunk_rows queries that visit it; blocks without visits stay at home.
     """
     counts = np.zeros(blocks, "int64")
     for r in visits.groupBy("block").count().collect():  # a number per block
-        counts[r["block"]] = -(-r["count"] // CHUNK_ROWS)
+        counts[r["block"]] = -(-r["count"] // chunk_rows)
     of_block = F.get(F.array(*[F.lit(int(n)) for n in counts]), F.col("block"))
     chunks = visits.sparkSession.range(blocks).select(F.col("id").cast("int").alias("block")).withColumn("chunks", of_block).where("chunks > 0")
     left = join_lookup(blocked, chunks, "block", "inner").select(
@@ -345,7 +355,9 @@ def _looking(q: pa.Table, x: np.ndarray, centers: np.ndarray, cell: np.ndarray,
 
 def search_cells(queries: DataFrame, celled: DataFrame, cells, k: int, probes: int | None) -> DataFrame:
     """Candidates by true distances in the cells a query looks into; celled: id, v, cell."""
-    layout, centers = _layout(cells.rows, BLOCK_ROWS), cells.centers
+    centers = cells.centers
+    width = _width(int(cells.rows.sum()), queries.count(), centers.shape[1], queries.sparkSession.sparkContext.defaultParallelism)
+    layout = _layout(cells.rows, width * BLOCK_ROWS)
     matrix, kept, search = _kernels(k)
 
     def meet(c: pa.Table, q: pa.Table) -> pa.Table:
@@ -359,7 +371,7 @@ def search_cells(queries: DataFrame, celled: DataFrame, cells, k: int, probes: i
         return _pairs_table(search(ids[at], v[at])(q["id"].to_numpy()[order], x[order], looks=looks))
 
     blocked = celled.select("id", "v", "cell", layout.home()("cell", F.xxhash64("id")).alias("block"))
-    return _meet_by_block(_visits(queries, cells, layout, k, probes), blocked, len(layout), meet)
+    return _meet_by_block(_visits(queries, cells, layout, k, probes), blocked, len(layout), meet, width * CHUNK_ROWS)
 
 
 def search_codes(queries: DataFrame, placed: DataFrame, cells: trained.Cells, k: int, probes: int, reranked: int = RERANKED) -> DataFrame:
@@ -387,7 +399,7 @@ def search_codes(queries: DataFrame, placed: DataFrame, cells: trained.Cells, k:
         return _pairs_table(nearest(q["id"].to_numpy()[order], x[order], looks=looks))
 
     blocked = placed.select("id", "cell", "code", layout.home()("cell", F.xxhash64("id")).alias("block"))
-    best = top_k_neighbours(_meet_by_block(_visits(queries, cells, layout, k, probes), blocked, len(layout), meet), wanted).select("query_id", "corpus_id")
+    best = top_k_neighbours(_meet_by_block(_visits(queries, cells, layout, k, probes), blocked, len(layout), meet, CHUNK_ROWS), wanted).select("query_id", "corpus_id")
     full = (best.join(placed.select(F.col("id").alias("corpus_id"), F.col("v").alias("c")), "corpus_id")
             .join(queries.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id"))
     squares = F.zip_with("q", "c", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))
@@ -449,7 +461,7 @@ def knn_join(left: DataFrame, right: DataFrame, k: int = fv.TOP_K, left_key: str
         at = kept(ids, v)
         cell, reach = c["cell"].to_numpy()[at] - low, c["reach"].to_numpy()[at]
         nearest = search(ids[at], v[at])
-        q_ids, x, own_of, found = q["id"].to_numpy(), matrix(q["v"]), q["cell"].to_numpy(), []
+        q_ids, x, own_of, found = q["id"].to_numpy(), matrix(q["v"]).astype("float64"), q["cell"].to_numpy(), []
         for own in np.unique(own_of):
             mine = np.flatnonzero(own_of == own)
             to, limit = _bound(cells, extent[own][1], own, k)
@@ -552,23 +564,31 @@ def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K,
     return top_k_neighbours(found, k)
 
 
-def attach_precedents(neighbours: DataFrame, corpus: DataFrame,
-                      key: str = "customer_tweet_id") -> DataFrame:
-    """query_id, precedents: array of structs, nearest first."""
-    fields = [F.col(c) for c in ("customer_text", "apple_reply_text", "is_dm_redirect")]
-    # an id that repeats stands for one post: one of its rows speaks for it
-    payload = first_per_key(corpus.select(F.col(key).alias("corpus_id"), *fields), [F.col("corpus_id")], fields)
-    found = neighbours.join(payload, "corpus_id").select(
-        "query_id", F.struct("rank", "distance", F.col("corpus_id").alias("id"), *fields).alias("p"))
-    return found.groupBy("query_id").agg(F.array_sort(F.collect_list("p")).alias("precedents"))
+def attach_precedents(neighbours: DataFrame, corpus: DataFrame, key: str = "customer_tweet_id",
+                      fields: Sequence[str] = PRECEDENT_FIELDS) -> DataFrame:
+    """query_id, precedents: array of structs, nearest first.
+
+    fields: columns of the corpus that a precedent has besides rank, distance and id.  A
+    text goes to every query that found it, so who needs ids alone asks for no fields:
+    the corpus is not read then.
+    """
+    if not fields:
+        found = neighbours
+    else:
+        # an id that repeats stands for one post: one of its rows speaks for it
+        columns = [F.col(c) for c in fields]
+        payload = first_per_key(corpus.select(F.col(key).alias("corpus_id"), *columns), [F.col("corpus_id")], columns)
+        found = neighbours.join(payload, "corpus_id")
+    one = F.struct("rank", "distance", F.col("corpus_id").alias("id"), *fields).alias("p")
+    return found.select("query_id", one).groupBy("query_id").agg(F.array_sort(F.collect_list("p")).alias("precedents"))
 
 
 def find_precedents(queries: DataFrame, corpus: DataFrame, k: int = fv.TOP_K, key: str = "customer_tweet_id",
-                    approximate: bool = False, **options) -> DataFrame:
+                    approximate: bool = False, fields: Sequence[str] = PRECEDENT_FIELDS, **options) -> DataFrame:
     """query_id, precedents for every query that has any."""
     search = knn_approx if approximate else knn_exact
     found = search(queries.select(key, "embedding"), corpus, k, query_key=key, corpus_key=key, **options)
-    return attach_precedents(found, corpus, key)
+    return attach_precedents(found, corpus, key, fields)
 
 
 def join_precedents(queries: DataFrame, found: DataFrame, key: str = "customer_tweet_id") -> DataFrame:

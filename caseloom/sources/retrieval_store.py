@@ -1,6 +1,7 @@
 """The retrieval index: historical pairs with their vectors, in trained cells, on shared storage.
 
-    path/rows/gen=<name>/top=<n>/...   pairs, vectors and codes, sorted by cell
+    path/texts/gen=<name>/             pairs and vectors, as they came
+    path/rows/gen=<name>/top=<n>/...   ids, vectors and codes, sorted by cell
     path/parts/<name>/{cells,codes,model}   centres, codebooks and the text model
     path/manifest/<number>/            the parts, the generations, and the extent of every cell
 
@@ -8,13 +9,14 @@ A manifest is complete once its _SUCCESS file is there; readers take the complet
 one of the highest number, so a rebuild or an append shows at once or not at all,
 and readers of an older manifest keep their files.  Appending places new rows in
 the cells as they are.  Searches read only the folders of the top cells they look
-into, and of their files only the row groups that hold a cell wanted.
+into, and of their files only the row groups that hold a cell wanted.  Texts are
+written once and take part in no shuffle, unless their id repeats.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -52,15 +54,23 @@ class RetrievalIndex:
 
     # --- rows
 
+    def texts(self) -> DataFrame:
+        """All pairs of the index with their embedding."""
+        return _texts(self.spark, self.path, self.generations)
+
+    def placed(self) -> DataFrame:
+        """Id, embedding, code, top and cell of all pairs."""
+        folders = [f"{self.path}/rows/gen={g}" for g in self.generations]
+        return self.spark.read.option("basePath", f"{self.path}/rows").parquet(*folders).select(KEY, "embedding", "code", "top", "cell")
+
     def rows(self) -> DataFrame:
         """All pairs of the index with top, cell, embedding and code."""
-        folders = [f"{self.path}/rows/gen={g}" for g in self.generations]
-        return self.spark.read.option("basePath", f"{self.path}/rows").parquet(*folders).drop("gen")
+        return self.texts().join(self.placed().drop("embedding"), KEY)
 
     def rows_of(self, cells: list[int]) -> DataFrame:
-        """The rows of some cells; the filter prunes folders and row groups."""
+        """The placed rows of some cells; the filter prunes folders and row groups."""
         tops = sorted({int(self.cells.top_of[c]) for c in cells})
-        return self.rows().where(F.col("top").isin(tops) & F.col("cell").isin(sorted(cells)))
+        return self.placed().where(F.col("top").isin(tops) & F.col("cell").isin(sorted(cells)))
 
     # --- searching
 
@@ -75,7 +85,7 @@ class RetrievalIndex:
         """query_id, corpus_id, distance, rank; queries carry their id and "embedding"."""
         q = r._vectors(queries, key)
         probes = max(1, min(probes or self.cells.probes or len(self.cells), len(self.cells)))
-        placed = self._placed(q, probes) if approximate else self.rows().select(F.col(KEY).alias("id"), F.col("embedding").alias("v"), "cell", "code")
+        placed = self._placed(q, probes) if approximate else self.placed().select(F.col(KEY).alias("id"), F.col("embedding").alias("v"), "cell", "code")
         if approximate:
             found = r.search_codes(q, placed, self.cells, k, probes, reranked)
         else:
@@ -94,22 +104,23 @@ class RetrievalIndex:
 
         wanted = queries.select(F.explode(visited("v")).alias("cell")).distinct()
         few = [w["cell"] for w in wanted.limit(MAX_LISTED_CELLS + 1).collect()]
-        rows = self.rows() if len(few) > MAX_LISTED_CELLS else self.rows_of(few)
+        rows = self.placed() if len(few) > MAX_LISTED_CELLS else self.rows_of(few)
         return rows.select(F.col(KEY).alias("id"), F.col("embedding").alias("v"), "cell", "code")
 
-    def find_precedents(self, queries: DataFrame, k: int = fv.TOP_K, key: str = KEY, approximate: bool = True, **options) -> DataFrame:
-        """query_id, precedents of queries that carry their text; a ready "embedding" is used as it is."""
+    def find_precedents(self, queries: DataFrame, k: int = fv.TOP_K, key: str = KEY, approximate: bool = True,
+                        fields: Sequence[str] = r.PRECEDENT_FIELDS, **options) -> DataFrame:
+        """query_id, precedents of queries that carry their text; a ready "embedding" is used as it is.  fields: see attach_precedents."""
         ready = queries if "embedding" in queries.columns else self.embed(queries)
-        return r.attach_precedents(self.neighbours(ready.select(key, "embedding"), k, approximate, key=key, **options), self.rows(), KEY)
+        return r.attach_precedents(self.neighbours(ready.select(key, "embedding"), k, approximate, key=key, **options), self.texts(), KEY, fields)
 
     # --- growing
 
     def append(self, pairs: DataFrame) -> RetrievalIndex:
         """The index with further pairs, embedded by its own model unless they carry "embedding"; ids it has already are left out."""
         ready = pairs if "embedding" in pairs.columns else self.embed(pairs)
-        new = _tidy(ready).join(self.rows().select(KEY), KEY, "left_anti")
-        placed = materialize(_place(new, self.cells), "appended")
-        generation = _write_rows(placed, self.path)
+        generation = _write_texts(ready, self.path, self.placed().select(KEY))
+        placed = materialize(assign(_vectors(_texts(self.spark, self.path, [generation])), self.cells), "appended")
+        _write_rows(placed, self.path, generation)
         grown = with_extent(self.cells, placed)
         cells = replace(self.cells, rows=self.cells.rows + grown.rows, radius=np.maximum(self.cells.radius, grown.radius))
         return replace(self, generations=(*self.generations, generation), cells=cells)._publish()
@@ -123,24 +134,50 @@ class RetrievalIndex:
 
 
 def _tidy(pairs: DataFrame) -> DataFrame:
-    """The index's columns; rows without id or vector stay out, of rows that repeat an id the first by text stays."""
-    kept = pairs.where(F.col(KEY).isNotNull() & F.col("embedding").isNotNull()).select(
+    """The index's columns; rows without id or vector stay out."""
+    return pairs.where(F.col(KEY).isNotNull() & F.col("embedding").isNotNull()).select(
         KEY, "customer_text", "apple_reply_text", F.coalesce("is_dm_redirect", F.lit(False)).alias("is_dm_redirect"),
         "thread_depth" if "thread_depth" in pairs.columns else F.lit(None).cast("bigint").alias("thread_depth"), "embedding")
-    return r.first_per_key(kept, [F.col(KEY)], [F.col(c) for c in kept.columns[1:]])
 
 
-def _place(pairs: DataFrame, cells: Cells) -> DataFrame:
-    return assign(pairs.withColumn("v", F.col("embedding")), cells).drop("v")
+def _texts(spark: SparkSession, path: str, generations: Sequence[str]) -> DataFrame:
+    # an index of an earlier version holds its texts with the rows
+    folders = [new if manifests.exists(spark, new := f"{path}/texts/gen={g}") else f"{path}/rows/gen={g}" for g in generations]
+    return spark.read.parquet(*folders).select(*PAYLOAD, "embedding")
+
 
+def _vectors(texts: DataFrame) -> DataFrame:
+    return texts.select(F.col(KEY).cast("bigint").alias("id"), F.col("embedding").alias("v"))
 
-def _write_rows(placed: DataFrame, path: str) -> str:
+
+def _write_texts(ready: DataFrame, path: str, held: DataFrame | None = None) -> str:
+    """A generation of pairs: of rows that repeat an id the first by text, and none of an id that is held.
+
+    The rows are written as they come, and only ids are counted.  If some have to go, the others are written
+    anew, and the first folder stays without a manifest that names it; only texts of repeated ids are sorted.
+    """
+    spark, generation, rows = ready.sparkSession, uuid.uuid4().hex, _tidy(ready)
+    rows.write.option("compression", "zstd").parquet(f"{path}/texts/gen={generation}")
+    raw = spark.read.schema(rows.schema).parquet(f"{path}/texts/gen={generation}")
+    ids = raw.groupBy(KEY).count()
+    known = ids.withColumn("held", F.lit(False)) if held is None else ids.join(
+        held.withColumn("held", F.lit(True)), KEY, "left").withColumn("held", F.coalesce("held", F.lit(False)))
+    odd = materialize(known.where("held OR count > 1").select(KEY, "held"), "odd")
+    if odd.isEmpty():
+        return generation
+    several = raw.join(odd.where("NOT held").select(KEY), KEY, "left_semi")
+    first = r.first_per_key(several, [F.col(KEY)], [F.col(c) for c in raw.columns[1:]])
     generation = uuid.uuid4().hex
-    ranged = placed.repartitionByRange("top", "cell", F.xxhash64(KEY)).sortWithinPartitions("top", "cell")
-    ranged.drop("reach").write.partitionBy("top").parquet(f"{path}/rows/gen={generation}")
+    raw.join(odd.select(KEY), KEY, "left_anti").unionByName(first).write.option("compression", "zstd").parquet(f"{path}/texts/gen={generation}")
     return generation
 
 
+def _write_rows(placed: DataFrame, path: str, generation: str) -> None:
+    ranged = placed.repartitionByRange("top", "cell", F.xxhash64("id")).sortWithinPartitions("top", "cell")
+    rows = ranged.select(F.col("id").alias(KEY), F.col("v").alias("embedding"), "top", "cell", "code")
+    rows.write.partitionBy("top").parquet(f"{path}/rows/gen={generation}")
+
+
 def build_retrieval_table(pairs: DataFrame, embedder: Embedder | TextModel, path: str, excluded: DataFrame | None = None,
                           n_cells: int | None = None, k: int = fv.TOP_K, recall: float = r.RECALL) -> RetrievalIndex:
     """Build the index from scratch, without the excluded (golden) ids, and publish it as the newest state of path.
@@ -152,8 +189,8 @@ def build_retrieval_table(pairs: DataFrame, embedder: Embedder | TextModel, path
     spark = pairs.sparkSession
     kept = pairs if excluded is None else pairs.join(excluded, KEY, "left_anti")
     model = embedder if isinstance(embedder, TextModel) else None
-    ready = materialize(_tidy(model.embed(kept, "customer_text") if model else embedder(kept)), "pairs")
-    vectors = ready.select(F.col(KEY).cast("bigint").alias("id"), F.col("embedding").alias("v"))
+    generation = _write_texts(model.embed(kept, "customer_text") if model else embedder(kept), path)
+    vectors = _vectors(_texts(spark, path, [generation]))
     placed, cells = r.trained_cells(vectors, n_cells)
     cells = r.measured_probes(placed, cells, vectors, k, recall)
     parts = uuid.uuid4().hex
@@ -165,7 +202,7 @@ def build_retrieval_table(pairs: DataFrame, embedder: Embedder | TextModel, path
     _write_small(spark, words, "slice int, at int, v array<double>", f"{base}/codes")
     if model:
         model.save(spark, f"{base}/model")
-    generation = _write_rows(ready.join(placed.select(F.col("id").alias(KEY), "top", "cell", "reach", "code"), KEY), path)
+    _write_rows(placed, path, generation)
     return RetrievalIndex(spark, path, parts, (generation,), cells, model)._publish()
 
 
@@ -194,7 +231,7 @@ def open_index(spark: SparkSession, path: str, number: int | None = None) -> Ret
 
 def load_retrieval_table(spark: SparkSession, path: str) -> DataFrame:
     """All pairs of the newest state of the index, with their vectors."""
-    return open_index(spark, path).rows().select(*PAYLOAD, "embedding")
+    return open_index(spark, path).texts()
 
 
 def count_entries(store: DataFrame) -> DataFrame:

@@ -212,3 +212,78 @@ def test_a_latent_fit_hashes_every_text_once(spark, pairs, monkeypatch):
     model = latent.fit_latent(pairs, "customer_text", 4, features=64)
     assert len(calls) == 1
     assert np.array_equal(model.idf, latent.fit_weights(pairs, "customer_text", 64).idf)
+
+
+# --- what an index writes and moves
+
+PAIR = "customer_tweet_id long, customer_text string, apple_reply_text string, is_dm_redirect boolean, thread_depth long"
+
+
+def test_building_writes_every_text_once(spark, tmp_path):
+    import os
+    import random
+
+    from caseloom.session import scratch_root
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdefghijklmnop ", k=20_000)) for _ in range(120)]
+    rows = spark.createDataFrame([(i, x, None, None, 1) for i, x in enumerate(texts)], PAIR)
+    rows.write.parquet(f"{tmp_path}/pairs")
+    pairs = spark.read.parquet(f"{tmp_path}/pairs")
+
+    def written(folder):
+        return {os.path.join(at, f) for at, _, files in os.walk(folder) for f in files if f.endswith(".parquet")}
+
+    before, path = written(scratch_root(spark)), f"{tmp_path}/index"
+    store.build_retrieval_table(pairs, latent.fit_weights(pairs, "customer_text", 16), path)
+    new = (written(scratch_root(spark)) - before) | written(path)
+    assert sum(os.path.getsize(f) for f in new) < 1.5 * sum(os.path.getsize(f) for f in written(f"{tmp_path}/pairs"))
+
+
+def test_ids_without_fields_read_no_text(spark, built, pairs):
+    index = store.open_index(spark, built)
+    asked = pairs.where("customer_tweet_id % 3 = 1").limit(30).select("customer_tweet_id", "customer_text")
+    vectors = index.embed(asked).select("customer_tweet_id", "embedding")
+    bare = index.find_precedents(vectors, approximate=False, fields=())
+    whole = index.find_precedents(vectors, approximate=False).selectExpr("query_id", "transform(precedents, p -> struct(p.rank, p.distance, p.id)) AS precedents")
+    assert sorted(bare.collect()) == sorted(whole.collect()) and bare.count() == 30
+    assert "customer_text" not in bare._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_repeated_and_held_ids(spark, tmp_path):
+    """Of rows that repeat an id the first by text stays; null ids stay out; an append leaves ids out that are held."""
+    path = f"{tmp_path}/index"
+    rows = [(1, "b b", "x", True, 1), (1, "a b", "z", None, 2), (1, "a b", "y", None, 3), (2, "c d", "q", False, 1), (None, "e", "e", None, 1), (3, None, "n", None, 1)]
+    first = spark.createDataFrame(rows, PAIR)
+    model = latent.fit_weights(first, "customer_text", 16)
+    built = store.build_retrieval_table(first, model, path)
+    columns = ["customer_tweet_id", "customer_text", "apple_reply_text", "is_dm_redirect", "thread_depth"]
+
+    def held(index):
+        return sorted(tuple(x) for x in index.rows().select(*columns).collect())
+
+    want = [(1, "a b", "y", False, 3), (2, "c d", "q", False, 1), (3, None, "n", False, 1)]
+    assert held(built) == want and built.cells.rows.sum() == 3 == built.placed().count()
+    more = spark.createDataFrame([(2, "new", "new", None, 1), (4, "d", "b", True, 1), (4, "c", "b", True, 1), (5, "e", "e", None, 1)], PAIR)
+    grown = built.append(more)
+    assert held(grown) == [*want, (4, "c", "b", True, 1), (5, "e", "e", False, 1)]
+    assert grown.cells.rows.sum() == 5 == grown.placed().count() and held(store.open_index(spark, path)) == held(grown)
+    assert sorted(tuple(x) for x in store.load_retrieval_table(spark, path).select(*columns).collect()) == held(grown)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_wide_blocks_find_the_same(spark, monkeypatch, kind):
+    monkeypatch.setattr(r, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(r, "CHUNK_ROWS", 40)
+    assert [r._width(n, n, 6, 8) for n in (40, 200, 240, 480, 9_000)] == [1, 1, 2, 4, 4] and r._width(9_000, 9_000, 1 << 18, 8) == 1
+    rng = np.random.default_rng(12)
+    x = np.round(rng.normal(size=(500, 6)), 3).astype("float32" if kind == "float" else "float64")
+    x[:90] = x[90]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"id long, embedding array<{kind}>")
+    seen, whole = [], r._width
+    monkeypatch.setattr(r, "_width", lambda *a: seen.append(whole(*a)) or seen[-1])
+    got = {(f.query_id, f["rank"], f.corpus_id): f.distance for f in r.knn_exact(df, df, 3, n_cells=7).collect()}
+    want = {}
+    for i, v in enumerate(x.astype(float)):
+        d = ((x.astype(float) - v) ** 2).sum(1)
+        want |= {(i, rank, int(j)): float(d[j]) for rank, j in enumerate(np.lexsort((np.arange(len(d)), d))[:3], 1)}
+    assert got == want and seen == [4]
