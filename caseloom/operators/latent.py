@@ -1,7 +1,8 @@
 """Text embeddings: hashed words weighted by rarity, and a latent projection of them.
 
-A word's feature is a number made of its md5, the same in every engine.  The
-latent model is a truncated singular value decomposition of the weighted
+A word's feature is a number made of its md5, the same in every engine.  Spark
+lowers the texts and blanks what separates words beyond ASCII; a task cuts some
+texts at once at the blanks and hashes each of their different words once.  The latent model is a truncated singular value decomposition of the weighted
 document-feature matrix by randomised range finding: a random test matrix is
 multiplied by the matrix's own square, task by task, and only sums of the size
 features x rank leave a task, so no pass needs more than one scan of the texts.
@@ -10,25 +11,66 @@ A model is fitted once, saved with the index that uses it, and loaded again.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.session import materialize
 
 FEATURES, RANK, EXTRA, PASSES, SEED = 4096, 64, 8, 2, 7
-_WORD_BREAK = r"[^\p{L}\p{N}_]+"
+_FAR_BREAK = r"[^\p{L}\p{N}\x00-\x7F]+"  # what separates words and is not ASCII
+_BLANKS = bytes(c if c >= 128 or chr(c).isalnum() or c == ord("_") else ord(" ") for c in range(256))
+PART_BYTES, PART_NUMBERS = 1 << 24, 1 << 19  # texts cut at once; entries of a dense matrix of rows by features
+
+
+def _lowered(text: Column) -> Column:
+    """Lower-case UTF-8 bytes in which words are parted by ASCII alone."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _FAR_BREAK, " ").cast("binary")
+
+
+def _parts(texts: list[bytes], features: int) -> Iterator[list[bytes]]:
+    """Runs of texts that are short enough to be cut, and to be a dense matrix, at once."""
+    most, low, held = max(512, PART_NUMBERS // features), 0, 0
+    for at, text in enumerate(texts):
+        if at - low == most or held > PART_BYTES:
+            yield texts[low:at]
+            low, held = at, 0
+        held += len(text)
+    if len(texts) > low:
+        yield texts[low:]
+
+
+def _hashed(texts: list[bytes], features: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature) of every word of lowered texts: the first 32 bits of its md5, modulo the features."""
+    parted = pa.array([t.translate(_BLANKS) for t in texts], pa.large_binary()).view(pa.large_string())
+    lists = pc.ascii_split_whitespace(parted)
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.view(pa.large_binary()).to_pylist()
+    numbers = np.frombuffer(b"".join(hashlib.md5(w, usedforsecurity=False).digest() for w in words), ">u4")[::4].astype(np.int64) % features
+    row, at = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy())), coded.indices.to_numpy()
+    held = np.array([len(w) > 0 for w in words], bool)[at]  # blanks at an end part an empty word off
+    return row[held], numbers[at[held]]
 
 
 def word_features(text: Column, features: int) -> Column:
     """array<int>: the feature of every word of a text."""
-    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _WORD_BREAK), "")
-    return F.transform(words, lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"), F.lit(features)).cast("int"))
+
+    @F.pandas_udf("array<int>")
+    def hashed(texts: pd.Series) -> pd.Series:
+        out = []
+        for part in _parts(texts.to_list(), features):
+            row, feature = _hashed(part, features)
+            out += np.split(feature.astype(np.int32), np.searchsorted(row, np.arange(1, len(part))))
+        return pd.Series(out, dtype=object)
+
+    return hashed(_lowered(text))
 
 
 def _flat(column) -> tuple[np.ndarray, np.ndarray]:
@@ -38,9 +80,18 @@ def _flat(column) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(column)), sizes), column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _distinct(pair: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different numbers below `most` in order, and how often each occurs."""
+    if most > 16 * len(pair):
+        return np.unique(pair, return_counts=True)
+    count = np.bincount(pair, minlength=most)
+    held = np.flatnonzero(count)
+    return held, count[held]
+
+
 def _weighted(row: np.ndarray, feature: np.ndarray, n: int, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, feature, weight) of the distinct features of rows of unit length; features of no weight are left out."""
-    pair, count = np.unique(row * len(idf) + feature, return_counts=True)
+    pair, count = _distinct(row * len(idf) + feature, n * len(idf))
     row, feature = pair // len(idf), pair % len(idf)
     weight = count * idf[feature]
     held = weight > 0
@@ -65,14 +116,10 @@ class TextModel:
         shared = df.sparkSession.sparkContext.broadcast(self)
 
         @F.pandas_udf("array<float>")
-        def vector(features: pd.Series) -> pd.Series:
+        def vector(texts: pd.Series) -> pd.Series:
             model, out = shared.value, []
-            for low in range(0, len(features), 512):
-                part = features.iloc[low: low + 512].to_list()
-                sizes = [len(p) for p in part]
-                row = np.repeat(np.arange(len(part)), sizes)
-                flat = np.concatenate([np.asarray(p, np.int64) for p in part]) if sum(sizes) else np.zeros(0, np.int64)
-                row, feature, weight = _weighted(row, flat, len(part), model.idf)
+            for part in _parts(texts.to_list(), len(model.idf)):
+                row, feature, weight = _weighted(*_hashed(part, len(model.idf)), len(part), model.idf)
                 dense = np.zeros((len(part), len(model.idf)))
                 dense[row, feature] = weight
                 if model.projection is not None:
@@ -82,7 +129,9 @@ class TextModel:
                 out += list(dense.astype(np.float32))
             return pd.Series(out, dtype=object)
 
-        return df.withColumn("embedding", vector(word_features(F.col(f"`{col}`"), len(self.idf))))
+        # never null, and Spark is told so: else a filter on null vectors has every text embedded
+        # a second time, below the joins that leave texts out
+        return df.withColumn("embedding", F.coalesce(vector(_lowered(F.col(f"`{col}`"))), F.array().cast("array<float>")))
 
     def save(self, spark: SparkSession, path: str) -> None:
         """One row per feature, as Parquet."""
@@ -97,15 +146,37 @@ class TextModel:
 
 def fit_weights(texts: DataFrame, col: str, features: int) -> TextModel:
     """Rarity weights ln((rows + 1) / (rows with the feature + 1)) over all texts."""
-    return _weights_of(texts.select(word_features(F.col(f"`{col}`"), features).alias("f")), features)
 
+    def read(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for part in _parts(batch.column("f").to_pylist(), features):
+            yield len(part), *_hashed(part, features)
+
+    return _weights_of(texts.select(_lowered(F.col(f"`{col}`")).alias("f")), features, read)
+
+
+def _listed(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Rows, and (row, feature) of every word, of lists of features."""
+    for low in range(0, batch.num_rows, 512):
+        part = batch.slice(low, 512)
+        yield part.num_rows, *_flat(part.column("f"))
+
+
+def _weights_of(rows: DataFrame, features: int, read=_listed) -> TextModel:
+    """The weights from the column f of every text, in one pass: texts are counted as a feature of their own; a task sends its own counts only."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(features + 1, np.int64)
+        for batch in batches:
+            for n, row, feature in read(batch):
+                pair = _distinct(row * features + feature, n * features)[0]
+                seen[:features] += np.bincount(pair % features, minlength=features)
+                seen[features] += n
+        held = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(seen[held])], ["f", "n"])
 
-def _weights_of(hashed: DataFrame, features: int) -> TextModel:
-    """The weights from the features (f) of every text, in one pass: texts are counted as a feature of their own."""
-    every = F.concat(F.array_distinct("f"), F.array(F.lit(features)))
     seen = np.zeros(features + 1)
-    for r in hashed.select(F.explode(every).alias("f")).groupBy("f").count().collect():  # a row per feature
-        seen[r["f"]] = r["count"]
+    for r in rows.mapInArrow(count, "f int, n bigint").groupBy("f").agg(F.sum("n").alias("n")).collect():  # a row per feature
+        seen[r["f"]] = r["n"]
     return TextModel(np.log((seen[features] + 1.0) / (seen[:features] + 1.0)))
 
 

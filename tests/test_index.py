@@ -287,3 +287,36 @@ def test_wide_blocks_find_the_same(spark, monkeypatch, kind):
         d = ((x.astype(float) - v) ** 2).sum(1)
         want |= {(i, rank, int(j)): float(d[j]) for rank, j in enumerate(np.lexsort((np.arange(len(d)), d))[:3], 1)}
     assert got == want and seen == [4]
+
+
+# --- what a text costs
+
+def test_words_are_hashed_as_spark_cuts_them(spark):
+    """Cut by Java's letters and digits after lower-casing, of whatever script; null and invalid bytes too."""
+    signs = [chr(c) for c in [*range(0x250), *range(0x2000, 0x2200), 0x130, 0x212A, 0x2160, 0x3042, 0x3002, 0x663, 0xE0001, 0x1D518, 0x1F600]]
+    texts = [f"a{c}B {c}{c}_1" for c in signs] + ["", "  ", None, "Σ ΑΣ, don't--stop"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").unionByName(
+        spark.createDataFrame([(b"ab\xffcd \xc3",)], "b binary").selectExpr("CAST(b AS string) AS text"))
+    words = F.array_remove(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}_]+"), "")
+    plain = F.transform(words, lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"), F.lit(1_000_003)).cast("int"))
+    for got in rows.select(latent.word_features(F.col("text"), 1_000_003).alias("got"), plain.alias("want")).collect():
+        assert got.got == got.want
+
+
+def test_a_filter_on_vectors_embeds_no_text_twice(spark):
+    """Neither does it embed, below a join, the texts that the join leaves out."""
+    pairs = spark.createDataFrame([(i, f"w{i} x", "y", None, 1) for i in range(9)], PAIR)
+    model = latent.TextModel(np.ones(16))
+    golden = pairs.where("customer_tweet_id % 3 = 0").select("customer_tweet_id")
+    plan = store._tidy(model.embed(pairs.join(golden, "customer_tweet_id", "left_anti"), "customer_text"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("vector(") == 1 and plan.index("vector(") < plan.index("LeftAnti")
+
+
+def test_long_texts_are_cut_in_parts(monkeypatch):
+    texts = [b"a b  a", b"", b" x" * 400, b"b", b"c"]
+    whole = latent._hashed(texts, 50)
+    monkeypatch.setattr(latent, "PART_BYTES", 10)
+    parts = list(latent._parts(texts, 50))
+    assert [t for p in parts for t in p] == texts and len(parts) > 1
+    assert np.concatenate([latent._hashed(p, 50)[1] for p in parts]).tolist() == whole[1].tolist()
+    assert np.bincount(whole[0], minlength=5).tolist() == [3, 0, 400, 1, 1]
