@@ -32,7 +32,8 @@ BLOCK_ROWS = 32_768  # corpus rows of a block
 CHUNK_ROWS = 32_768  # queries that meet a block at once
 MAX_WIDTH, WIDE_FLOATS = 4, 1 << 24  # blocks and chunks grow up to so many times, and to so many numbers, while every core has a pair of them
 CODED_CHUNKS = 4  # a block of codes, which are 16 times shorter than vectors, has the rows of so many chunks
-RUN = 64  # distances of which the least is looked at first
+TILE, RUN, RUNS = 1_024, 64, 4  # rows multiplied at once; of a run of distances the least is looked at first; runs for each neighbour at least
+MOST_COLUMNS = 0.8  # a larger share of a block costs more to pick than the rest to look at
 DISTANCES_AT_ONCE = 4_000_000  # of queries to centres, in a task
 RECALL, MEASURED_QUERIES = 0.93, 200  # share of neighbours whose cell is looked into, measured on so many queries
 RERANKED = 64  # candidates a query, by their codes, whose true distances are computed
@@ -60,31 +61,43 @@ def _kernels(k: int):
         return (flat if flat.dtype == np.float32 else flat.astype("float64")).reshape(len(column), -1)
 
     def kept(ids: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """Places of the rows by id; of equal vectors only the k lowest ids can matter."""
+        """Places of the rows by id; of equal vectors only the k lowest ids can matter.
+
+        Equal rows have equal digests, so only rows whose digest occurs more than k times are compared.
+        """
         order = np.argsort(ids, kind="stable")
-        _, first = np.unique(c[order], axis=0, return_inverse=True)
+        bits = np.ascontiguousarray(c).view(np.uint32)
+        odd = np.random.default_rng(0).integers(1, 1 << 63, bits.shape[1], np.uint64) * 2 + 1
+        digest = np.concatenate([(bits[low: low + 4096] * odd).sum(1) for low in range(0, max(len(c), 1), 4096)])
+        _, group, n = np.unique(digest[order], return_inverse=True, return_counts=True)
+        many = np.flatnonzero(n[group] > k)
+        if not len(many):
+            return order
+        _, first = np.unique(c[order[many]], axis=0, return_inverse=True)
         groups = pd.Series(first.ravel()).groupby(first.ravel()).cumcount().to_numpy()
-        return order[groups < k]
+        return np.delete(order, many[groups >= k])
 
-    def near_cut(d: np.ndarray, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and columns of all finite entries up to the k-th least of their row, and a slack beyond.
+    def near_cut(tiles, n: int, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) of all finite distances up to the k-th least of their query, and a slack beyond.
 
-        The k-th least of the minima of runs of columns is no less than the k-th least
-        entry, so only the runs whose minimum lies below it are looked at again.
+        tiles: first row and distances (rows x queries, infinite ones at the end), while they are in
+        the cache.  The k-th least of the minima of runs of rows is no less than the k-th least distance,
+        so only the runs whose minimum lies below it are looked at again; it falls from tile to tile.
         """
-        width = d.shape[1] // RUN
-        body = d[:, : width * RUN].reshape(len(d), RUN, width)
-        least = np.concatenate([body.min(axis=1), d[:, width * RUN:]], axis=1)
-        cut = np.full(len(d), np.inf, d.dtype)
-        if least.shape[1] > k:
-            cut = np.partition(least, k - 1, axis=1)[:, k - 1] + slack
-        row, at = np.nonzero((least <= cut[:, None]) & (least < np.inf))
-        alone = at >= width
-        many, column = row[~alone], at[~alone][:, None] + width * np.arange(RUN)
-        inside = d[many[:, None], column]
-        of_run, place = np.nonzero((inside <= cut[many][:, None]) & (inside < np.inf))
-        return (np.concatenate([many[of_run], row[alone]]),
-                np.concatenate([column[of_run, place], at[alone] - width + width * RUN]))
+        best, found = np.full((k, n), np.inf), []
+        for low, d in tiles:
+            run = min(RUN, max(4, 1 << max(0, ((low + len(d)) // (RUNS * k)).bit_length() - 1)))
+            runs = d.reshape(-1, run, n)
+            least = runs.min(axis=1)
+            best = np.partition(np.concatenate([best, least]), k - 1, axis=0)[:k]
+            cut = (best[k - 1] + slack).astype(d.dtype)
+            at, query = np.nonzero((least <= cut) & (least < np.inf))
+            inside = runs[at, :, query]
+            of_run, place = np.nonzero((inside <= cut[query][:, None]) & (inside < np.inf))
+            found.append((query[of_run], low + at[of_run] * run + place, inside[of_run, place]))
+        query, row, distance = (np.concatenate(f) for f in zip(*found))
+        near = distance <= cut[query]
+        return query[near], row[near]
 
     def search(c_ids: np.ndarray, c: np.ndarray, slice_rows: int = 256):
         """A function (query ids, queries, columns, looks) to the k nearest rows of c per query, ties by the lower id.
@@ -107,16 +120,27 @@ def _kernels(k: int):
                 sides[kind][:, -1] = norms
             return sides[kind]
 
+        def tiles(left: np.ndarray, columns, looks):
+            """First row, and distances of rows to queries, less the squares of the queries: of some rows after the others."""
+            right, n, room = side(left.dtype.type), len(c) if columns is None else len(columns), np.empty((TILE, len(left)), left.dtype)
+            for low in range(0, n, TILE):
+                some = right[low: low + TILE] if columns is None else right[columns[low: low + TILE]]
+                d = np.matmul(some, left.T, out=room[: len(some)])
+                if looks is not None:
+                    d[~looks[:, low: low + TILE].T] = np.inf
+                if not plain:
+                    d[np.isnan(d)] = np.inf
+                whole = -(-len(some) // RUN) * RUN
+                room[len(some): whole] = np.inf
+                yield low, room[:whole]
+
         def hits(part: np.ndarray, columns, looks, kind) -> tuple[np.ndarray, np.ndarray]:
             x = part - middle
-            right = side(kind) if columns is None else side(kind)[columns]
-            d = np.concatenate([x, np.ones((len(x), 1))], axis=1).astype(kind) @ right.T
-            if looks is not None:
-                d[~looks] = np.inf
-            if not plain:
-                d[np.isnan(d)] = np.inf
+            left = np.concatenate([x, np.ones((len(x), 1))], axis=1).astype(kind)
             slack = np.zeros(len(x)) if not plain else (x.shape[1] + 8) * np.finfo(kind).eps * (np.sqrt((x * x).sum(1)) + reach) ** 2
-            qi, ci = near_cut(d, slack.astype(kind) + (0 if plain else 1e-9))
+            if not (len(c) if columns is None else len(columns)):
+                return np.empty(0, "int64"), np.empty(0, "int64")
+            qi, ci = near_cut(tiles(left, columns, looks), len(x), slack.astype(kind) + (0 if plain else 1e-9))
             return qi, ci if columns is None else columns[ci]
 
         def nearest(q_ids: np.ndarray, q: np.ndarray, columns: np.ndarray | None = None, looks=None):
@@ -278,10 +302,12 @@ def _visits(queries: DataFrame, cells, layout: _Layout, k: int, probes: int | No
         d = np.sqrt(np.maximum((own ** 2)[:, None] + (lengths ** 2)[None, :] - 2.0 * (x @ centers.T), 0.0))
         d[:, rows == 0] = np.inf
         far = d + radius
-        order = np.argsort(far, axis=1)
+        # cells without rows are infinitely far, so k of the others have k rows
+        some = np.argpartition(far, k - 1, axis=1)[:, :k] if k < len(rows) else np.broadcast_to(np.arange(len(rows)), far.shape)
+        order = np.take_along_axis(some, np.argsort(np.take_along_axis(far, some, axis=1), axis=1), axis=1)
         enough = (np.cumsum(rows[order], axis=1) < k).sum(axis=1)  # cells before the one that brings k rows
-        last = np.take_along_axis(order, np.minimum(enough, len(rows) - 1)[:, None], axis=1)
-        limit = np.where(enough < len(rows), np.take_along_axis(far, last, axis=1)[:, 0], np.inf)
+        last = np.take_along_axis(order, np.minimum(enough, order.shape[1] - 1)[:, None], axis=1)
+        limit = np.where(enough < order.shape[1], np.take_along_axis(far, last, axis=1)[:, 0], np.inf)
         slack = 1e-6 * (1.0 + own + lengths.max())  # the matrix product rounds
         return (d - radius <= (limit + slack)[:, None]) & (rows > 0)
 
@@ -347,6 +373,8 @@ def _looking(q: pa.Table, x: np.ndarray, centers: np.ndarray, cell: np.ndarray,
     def of_slice(low: int, high: int):
         part = looks[low:high]
         columns = np.flatnonzero(part.any(axis=0)[cell])
+        if not strict and len(columns) > MOST_COLUMNS * len(cell):
+            return None, None
         seen = part[:, cell[columns]] if strict else None
         return None if len(columns) == len(cell) else columns, seen
 

@@ -196,3 +196,51 @@ def test_vectors_too_close_for_single_precision(spark, shift):
     rng = np.random.default_rng(12)
     c = (rng.normal(size=(300, 4)) * (1e-3 if shift < 1e9 else 1e18) + shift).astype("float32")
     assert found(r.knn_exact(vectors(spark, c[:40]), vectors(spark, c), 4, n_cells=3)) == brute(c[:40], c, 4)
+
+
+# --- the kernel of the searches
+
+@pytest.mark.parametrize("k", [1, 3, 64])
+def test_search_by_tiles_equals_brute_force(k):
+    from caseloom.operators import retrieval as r
+    rng = np.random.default_rng(k)
+    search = r._kernels(k)[2]
+    for n in (1, 5, 63, 64, 65, 1023, 1024, 1025, 5000):
+        c, q = (rng.integers(-2, 3, (m, 4)).astype("float32") for m in (n, 300))  # many ties
+        if n == 1025:
+            c[7, 1], c[8, 2] = np.nan, np.inf
+        ids, columns = rng.permutation(n), np.flatnonzero(rng.random(n) < 0.7)
+        for some in (None, columns):
+            at = np.arange(n) if some is None else some
+            q_ids, found, distance = search(ids, c)(np.arange(300), q, some)
+            for i in (0, 255, 256, 299):
+                d = ((q[i].astype(float) - c[at]) ** 2).sum(1)
+                best = [j for j in np.lexsort((ids[at], d)) if np.isfinite(d[j])][:k]
+                assert found[q_ids == i].tolist() == ids[at][best].tolist() and distance[q_ids == i].tolist() == d[best].tolist()
+
+
+def test_search_holds_one_tile_of_distances(monkeypatch):
+    """A slice's distances to a whole block are not in memory at once."""
+    import tracemalloc
+
+    from caseloom.operators import retrieval as r
+    c = np.random.default_rng(2).normal(size=(60_000, 4)).astype("float32")
+    nearest = r._kernels(3)[2](np.arange(len(c)), c)
+    nearest(np.arange(2), c[:2])
+    tracemalloc.start()
+    got = nearest(np.arange(256), c[:256])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6 and got[1][::3].tolist() == list(range(256))
+
+
+def test_rows_are_compared_only_where_many_may_be_equal(monkeypatch):
+    from caseloom.operators import retrieval as r
+    c, ids = np.random.default_rng(3).normal(size=(500, 4)), np.arange(500)[::-1].copy()
+    c[100:140] = c[0]
+    c[200:202] = c[1]
+    compared, whole = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda x, *a, axis=None, **b: (compared.append(len(x)) if axis == 0 else None) or whole(x, *a, axis=axis, **b))
+    at = r._kernels(3)[1](ids, c)
+    assert compared == [41] and len(at) == 500 - 38 and (np.diff(ids[at]) > 0).all()
+    assert sorted(ids[at][(c[at] == c[0]).all(1)]) == sorted(ids[100:140])[:3]
