@@ -290,7 +290,7 @@ def t_two_sided(t_squared: float, dof: float) -> float:
     return min(1.0, front * math.exp(-dof * base) * tail)
 
 
-def _p_value():
+def _t_two_sided():
     """UDF of t_two_sided, for the one row of a report."""
     @F.pandas_udf("double")
     def p_value(t_squared: pd.Series, dof: pd.Series) -> pd.Series:
@@ -327,6 +327,6 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     t_squared = F.when(unexplained > 1e-15,
                        F.try_divide(F.col("rho") * F.col("rho") * (F.col("n") - 2), unexplained)
                        ).when(F.col("rho").isNotNull(), F.lit(float("inf")))
-    p_value = _p_value()
+    p_value = _t_two_sided()
     return (sums.select(F.coalesce("n", F.lit(0)).alias("n"), rho.alias("rho"))
             .select("rho", F.when(F.col("n") > 2, p_value(t_squared, (F.col("n") - 2).cast("double"))).alias("p"), "n"))
