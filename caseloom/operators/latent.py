@@ -27,7 +27,7 @@ from caseloom.session import materialize
 FEATURES, RANK, EXTRA, PASSES, SEED = 4096, 64, 8, 2, 7
 _FAR_BREAK = r"[^\p{L}\p{N}\x00-\x7F]+"  # what separates words and is not ASCII
 _BLANKS = bytes(c if c >= 128 or chr(c).isalnum() or c == ord("_") else ord(" ") for c in range(256))
-PART_BYTES, PART_NUMBERS = 1 << 24, 1 << 19  # texts cut at once; entries of a dense matrix of rows by features
+PART_BYTES, PART_NUMBERS = 1 << 22, 1 << 19  # texts cut at once; entries of a dense matrix of rows by features
 
 
 def _lowered(text: Column) -> Column:
